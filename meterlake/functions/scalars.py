@@ -64,7 +64,8 @@ def floor_minutes(c: Column | str, minutes: int = 30) -> Column:
 def epoch_to_timestamp(c: Column | str) -> Column:
     """Epoch seconds or milliseconds, told apart by magnitude, to a UTC timestamp."""
     value = _col(c).cast("double")
-    return F.timestamp_seconds(F.when(value > EPOCH_MILLIS_ABOVE, value / 1000).otherwise(value))
+    micros = F.when(value > EPOCH_MILLIS_ABOVE, value * 1e3).otherwise(value * 1e6)
+    return F.timestamp_micros(F.round(micros).cast("bigint"))
 
 
 def shift_days_back(c: Column | str, days: Column | str) -> Column:

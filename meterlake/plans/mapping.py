@@ -71,8 +71,8 @@ def tariff_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly observations for the hours that have view, click or signup events, with measures from those events."""
-    events = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "click", "signup"))
+    """Hourly observations for the hours that have events, with measures from those events."""
+    events = table(spark, sf_dir, "events")
     hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
     return (
         events.groupBy(hour.alias("hour"))
