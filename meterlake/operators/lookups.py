@@ -1,7 +1,7 @@
-"""Lookups of a large fact side in a keyed side, safe against hot keys.
+"""Lookups of a large fact side in keyed sides, safe against hot keys.
 
-A keyed side is broadcast only after a bounded probe proved it small.  Beyond that bound both sides are shuffled on the
-key plus a salt: the fact side takes its salt from the partition a row sits in, which stays the same when a task is
+A keyed side is broadcast only after its rows were counted and found few.  Beyond that bound both sides are shuffled on
+the key plus a salt: the fact side takes its salt from the partition a row sits in, which stays the same when a task is
 retried and spreads even exact copies of one row; the keyed side is repeated once per salt.
 """
 
@@ -16,26 +16,35 @@ _SALT = "__salt"
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no more than it must to know."""
-    return df.select(F.lit(1).alias("one")).limit(rows + 1).count() <= rows
+    """Whether ``df`` has at most ``rows`` rows.  A plain count: on stored Parquet it only reads footers."""
+    return df.select(F.lit(1)).count() <= rows
 
 
 def lookup_join(
     facts: DataFrame,
-    keyed: DataFrame,
+    keyed: DataFrame | list[DataFrame],
     on: str | list[str],
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
     probe: bool = True,
 ) -> DataFrame:
-    """Equi-join ``facts`` with a side holding one row per key.  NULL keys do not match.
+    """Equi-join ``facts`` with one or more sides that each hold one row per key.  NULL keys do not match.
 
-    ``probe=False`` skips the size probe, for keyed sides that are themselves costly to evaluate.
+    Several sides on the same key share one salted shuffle of the facts.  ``probe=False`` skips the count, for keyed
+    sides that are themselves costly to evaluate.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if probe and at_most(keyed, broadcast_rows):
-        return facts.join(F.broadcast(keyed), keys, how)
-    salted = facts.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
-    repeated = keyed.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*keys, _SALT], how).drop(_SALT)
+    sides = keyed if isinstance(keyed, list) else [keyed]
+    small = [probe and at_most(side, broadcast_rows) for side in sides]
+    for side, is_small in zip(sides, small):
+        if is_small:
+            facts = facts.join(F.broadcast(side), keys, how)
+    if all(small):
+        return facts
+    facts = facts.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    for side, is_small in zip(sides, small):
+        if not is_small:
+            facts = facts.join(side.withColumn(_SALT, every_salt), [*keys, _SALT], how)
+    return facts.drop(_SALT)

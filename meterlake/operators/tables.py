@@ -6,8 +6,10 @@ leaves the old version in place.  Partitioned tables are merged by rewriting onl
 
 from __future__ import annotations
 
+import operator
 import uuid
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from meterlake.operators import merge
 from meterlake.operators.drift import align_schemas, empty_from_contract
 from meterlake.sources.staging import stage
 
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 SCHEMAS = ("bronze", "silver", "gold", "audit")
 
 
@@ -93,8 +96,8 @@ class Lake:
     ) -> None:
         """Create the table or merge ``source`` into it; new source columns widen the table.
 
-        For a partitioned table a key must not change its partition: the partition column is part of the key or
-        derived from it.
+        In a partitioned table the partition follows from the key, so only the partitions the source has rows in can
+        change; the others are neither read nor written.
         """
         if not self.exists(table):
             # As in a merge, the first load holds one row per key.
@@ -109,15 +112,31 @@ class Lake:
             self.replace(table, merge.upsert(target, source, keys, unique=True))
             return
         source = stage(source, "merge_source")
-        touched = source.select(*partitions).distinct()
-        # Semi join on the partition columns: the scan prunes to the touched partitions at run time.
-        affected = target.join(touched, partitions, "left_semi")
+        affected = target.filter(self._touched(source, partitions))
         self._overwrite_partitions(table, merge.upsert(affected, source, keys, unique=True), partitions)
 
+    def _touched(self, df: DataFrame, partitions: list[str]) -> Column:
+        """Literal predicate for the partitions ``df`` has rows in, so the scan prunes statically.
+
+        Only partition values reach the driver; their number is bounded by the partitions of the batch.
+        """
+        present = df.select(*partitions).distinct().collect()
+        if len(partitions) == 1:
+            column, values = F.col(partitions[0]), [row[0] for row in present]
+            listed = column.isin(*[v for v in values if v is not None])
+            return listed | column.isNull() if None in values else listed
+        tuples = [[F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(partitions, row)] for row in present]
+        return reduce(operator.or_, [reduce(operator.and_, parts) for parts in tuples], F.lit(False))
+
     def _overwrite_partitions(self, table: str, df: DataFrame, partitions: list[str]) -> None:
         columns = self.read(table).columns
         spread = df.select(*columns).hint("rebalance", *partitions)
-        spread.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+        before = self.spark.conf.get(_OVERWRITE_MODE)
+        self.spark.conf.set(_OVERWRITE_MODE, "dynamic")
+        try:
+            spread.write.insertInto(table, overwrite=True)
+        finally:
+            self.spark.conf.set(_OVERWRITE_MODE, before)
 
     def insert_missing(self, table: str, source: DataFrame, keys: list[str], **options) -> None:
         """Insert-only merge: existing files are not touched, only new rows are appended."""
@@ -135,8 +154,7 @@ class Lake:
             return False
         partitions = self._partition_columns(table)
         if partitions:
-            gaps = stage(target.filter(F.col(column).isNull()).select(*partitions).distinct(), "gaps")
-            affected = target.join(gaps, partitions, "left_semi").select(*target.columns)
+            affected = target.filter(self._touched(target.filter(F.col(column).isNull()), partitions))
             self._overwrite_partitions(table, merge.fill_from(affected, lookup, key, column), partitions)
         else:
             self.replace(table, merge.fill_from(target, lookup, key, column))

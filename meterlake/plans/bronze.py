@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions.classify import EVENT_TYPES, severity
-from meterlake.functions.scalars import active_power, business_key, pick, portable_hash, shift_days_back
+from meterlake.functions.scalars import active_power, business_key, pick, portable_hash, safe_timestamp, shift_days_back
 from meterlake.operators.dedup import dedup_latest, hash_sample
 from meterlake.operators.grid import FEEDERS, distinct_slots, grid
 
@@ -47,9 +47,8 @@ def bronze_tariff(raw: DataFrame) -> DataFrame:
     return raw.withColumn("source_system", F.lit(TARIFF_SOURCE))
 
 
-def feeder_measures(*seed: Column | str) -> dict[str, Column]:
-    """Telemetry derived from the slot and feeder, in the usual ranges: 225..235 V, 150..200 A."""
-    spread = portable_hash(*seed)
+def feeder_measures(spread: Column) -> dict[str, Column]:
+    """Telemetry derived from one number per slot and feeder, in the usual ranges: 225..235 V, 150..200 A."""
     return {
         "voltage_v": F.round(F.lit(225.0) + F.pmod(spread, F.lit(1000)) / 100, 2),
         "current_a": F.round(F.lit(150.0) + F.pmod(spread, F.lit(5000)) / 100, 2),
@@ -63,14 +62,14 @@ def bronze_feeder_readings(readings: DataFrame, measures: dict[str, Column] | No
         distinct_slots(readings, "DateTime"),
         FEEDERS,
         ["feeder_id", "substation_id"],
-        measures or feeder_measures("feeder_id", "DateTime"),
+        measures or feeder_measures(F.xxhash64("feeder_id", "DateTime")),
     )
     columns = ["feeder_id", "substation_id", "DateTime", "voltage_v", "current_a", "active_power_kw"]
     return expanded.select(*columns, F.lit(FEEDER_SOURCE).alias("source_system"))
 
 
-def bronze_meter_events(readings: DataFrame, reference_ts: Column) -> DataFrame:
-    """Events for a fixed sample of (meter, time) pairs.
+def bronze_meter_events(readings: DataFrame) -> DataFrame:
+    """Events for a fixed sample of (meter, time) pairs, 0 to 29 days before the reading.
 
     Type and age come from the pair's hash, so a repeated run yields the same events and the insert-only merge adds none.
     """
@@ -82,6 +81,6 @@ def bronze_meter_events(readings: DataFrame, reference_ts: Column) -> DataFrame:
         "LCLid",
         event_type.alias("event_type"),
         severity(event_type).alias("severity"),
-        shift_days_back(reference_ts, F.pmod(spread, F.lit(30))).alias("event_timestamp"),
+        shift_days_back(safe_timestamp("DateTime"), F.pmod(spread, F.lit(30))).alias("event_timestamp"),
         F.lit(EVENT_SOURCE).alias("source_system"),
     )

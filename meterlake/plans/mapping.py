@@ -11,11 +11,25 @@ from pyspark.sql import functions as F
 from meterlake.functions.scalars import padded_id
 from meterlake.operators.lookups import lookup_join
 
+# Declared columns of the sample tables: no footer is read to infer them.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
 STD_SEGMENTS = ("BUILDING", "MACHINERY", "FURNITURE")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def meter_id(c: str = "user_id") -> Column:
@@ -28,12 +42,14 @@ def stamp(c: str) -> Column:
 
 
 def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer attributes: LCLid, stdorToU, region.  Nation and region are fixed lists of 25 and 5."""
-    nations = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
+    """Customer attributes: LCLid, stdorToU, region.
+
+    Nation and region hold 25 and 5 rows at every scale factor, hence the unprobed broadcasts.
+    """
+    regions = F.broadcast(table(spark, sf_dir, "region"))
+    nations = table(spark, sf_dir, "nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
     places = nations.select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("region"))
-    customers = lookup_join(table(spark, sf_dir, "customer"), places, "c_nationkey")
+    customers = table(spark, sf_dir, "customer").join(F.broadcast(places), "c_nationkey", "left")
     segment = F.col("c_mktsegment")
     return customers.select(
         F.col("c_custkey").alias("user_id"),

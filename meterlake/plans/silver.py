@@ -74,11 +74,12 @@ def clean_readings(readings: DataFrame) -> DataFrame:
     return typed.filter(F.col("consumption_kwh").isNotNull() & F.col("LCLid").isNotNull())
 
 
-def fact_consumption(readings: DataFrame, customers: DataFrame, meters: DataFrame) -> DataFrame:
-    """One row per meter and reading time with surrogate keys.
+def fact_consumption(
+    readings: DataFrame, customers: DataFrame, meters: DataFrame, single: bool = True
+) -> DataFrame:
+    """One row per meter and reading time with surrogate keys; both dimensions are looked up in one go.
 
-    Rows are reduced to one per key before the lookup.  Both dimensions share the meter id, so they are joined with each
-    other first and the readings are looked up once.
+    ``single=False`` leaves repeated keys in, for checks that must see them.
     """
     typed = clean_readings(readings).select(
         business_key("LCLid", F.col("DateTime").cast("string")).alias("consumption_business_key"),
@@ -86,11 +87,10 @@ def fact_consumption(readings: DataFrame, customers: DataFrame, meters: DataFram
         safe_timestamp("DateTime").alias("reading_timestamp"),
         "consumption_kwh",
     )
-    single = dedup_latest(typed, ["consumption_business_key"])
-    members = customers.select("LCLid", "customer_key", "region").join(
-        meters.select("LCLid", "meter_key"), "LCLid", "full_outer"
-    )
-    return lookup_join(single, members, "LCLid").select(
+    if single:
+        typed = dedup_latest(typed, ["consumption_business_key"])
+    sides = [customers.select("LCLid", "customer_key", "region"), meters.select("LCLid", "meter_key")]
+    return lookup_join(typed, sides, "LCLid").select(
         "consumption_business_key",
         "customer_key",
         "meter_key",
@@ -101,8 +101,8 @@ def fact_consumption(readings: DataFrame, customers: DataFrame, meters: DataFram
     )
 
 
-def fact_weather(weather: DataFrame) -> DataFrame:
-    """One row per weather hour with unit-named measures."""
+def fact_weather(weather: DataFrame, single: bool = True) -> DataFrame:
+    """One row per weather hour with unit-named measures: the last observation of the hour."""
     ts = F.col("weather_timestamp")
     typed = weather.filter(F.col("timestamp").isNotNull()).withColumn("weather_timestamp", safe_timestamp("timestamp"))
     hourly = typed.select(
@@ -117,10 +117,10 @@ def fact_weather(weather: DataFrame) -> DataFrame:
         safe_number("wind_speed").alias("wind_speed_kmh"),
         safe_number("precipitation").alias("precipitation_mm"),
     )
-    return dedup_latest(hourly, ["weather_business_key"], [ts.desc_nulls_last()])
+    return dedup_latest(hourly, ["weather_business_key"], [ts.desc_nulls_last()]) if single else hourly
 
 
-def fact_demand(demand: DataFrame) -> DataFrame:
+def fact_demand(demand: DataFrame, single: bool = True) -> DataFrame:
     """One row per respondent, period and type."""
     present = F.col("period").isNotNull() & F.col("respondent").isNotNull() & F.col("type").isNotNull()
     ts = F.col("demand_timestamp")
@@ -137,7 +137,7 @@ def fact_demand(demand: DataFrame) -> DataFrame:
         F.hour(ts).alias("hour_of_day"),
         safe_number("value").alias("demand_mwh"),
     )
-    return dedup_latest(facts, ["demand_business_key"])
+    return dedup_latest(facts, ["demand_business_key"]) if single else facts
 
 
 def fact_feeder_readings(feeders: DataFrame) -> DataFrame:

@@ -19,7 +19,6 @@ from meterlake.queries.registry import (
     WEATHER,
     query,
     r6,
-    sql_hash,
 )
 from meterlake.sources.staging import stage
 
@@ -81,7 +80,7 @@ FEEDER_SQL = f"""{READINGS}, feeders(feeder_id, substation_id) AS (VALUES ('FDR_
     ('FDR_LDN_SOUTH_01', 'SUB_SOUTH_BRIXTON'), ('FDR_LDN_EAST_01', 'SUB_EAST_STRATFORD'),
     ('FDR_LDN_WEST_01', 'SUB_WEST_ACTON')),
   slots AS (SELECT DISTINCT "DateTime" FROM readings),
-  hashed AS (SELECT *, {sql_hash('''feeder_id || '|' || "DateTime"''')} AS h FROM feeders, slots),
+  hashed AS (SELECT *, CAST(substr("DateTime", 21, 6) AS BIGINT) + length(substation_id) AS h FROM feeders, slots),
   measured AS (SELECT feeder_id, substation_id, "DateTime", round(225.0::DOUBLE + (h % 1000) / 100, 2) AS voltage_v,
     round(150.0::DOUBLE + (h % 5000) / 100, 2) AS current_a FROM hashed),
   feeder_grid AS (SELECT *, round(voltage_v * current_a * 0.95::DOUBLE / 1000.0::DOUBLE, 3) AS active_power_kw
@@ -90,7 +89,9 @@ FEEDER_SQL = f"""{READINGS}, feeders(feeder_id, substation_id) AS (VALUES ('FDR_
 
 @query("feeder_grid", f"WITH {FEEDER_SQL} SELECT *, 'SCADA_GRID_MONITOR' AS source_system FROM feeder_grid")
 def feeder_grid(spark, sf_dir):
-    return bronze.bronze_feeder_readings(mapping.readings(spark, sf_dir))
+    """Telemetry whose measures follow from the slot's microseconds and the substation."""
+    spread = F.substring("DateTime", 21, 6).cast("bigint") + F.length("substation_id")
+    return bronze.bronze_feeder_readings(mapping.readings(spark, sf_dir), bronze.feeder_measures(spread))
 
 
 @query(
@@ -102,7 +103,7 @@ def feeder_grid(spark, sf_dir):
 )
 def fact_feeder(spark, sf_dir):
     """Telemetry with untidy ids, delivered twice."""
-    untidy = bronze.bronze_feeder_readings(mapping.readings(spark, sf_dir)).withColumn(
+    untidy = feeder_grid(spark, sf_dir).withColumn(
         "feeder_id", F.concat(F.lit(" "), F.lower("feeder_id"))
     )
     return silver.fact_feeder_readings(grid.multiply_rows(untidy, 2).drop("copy_no"))
@@ -177,7 +178,7 @@ def typed_readings(spark, sf_dir):
 
 RATED_COLUMNS = ["consumption_business_key", "customer_type", "applied_rate_per_kwh"]
 RATED_SQL = f"""WITH {BILLING} SELECT consumption_business_key, customer_type, applied_rate_per_kwh,
-  round(consumption_kwh * applied_rate_per_kwh, 6) AS half_hour_cost FROM rated"""
+  round(consumption_kwh * applied_rate_per_kwh + 1e-9, 6) AS half_hour_cost FROM rated"""
 
 
 @query("rate_readings", RATED_SQL)
@@ -195,7 +196,7 @@ def rate_readings(spark, sf_dir):
       f AS (SELECT k.*, c.customer_type FROM consumption k LEFT JOIN dim_customer c ON k.customer_key = c.customer_key)
       SELECT consumption_business_key, customer_type,
         CASE WHEN customer_type = 'Std' THEN 0.15::DOUBLE ELSE s.rate_per_kwh END AS applied_rate_per_kwh,
-        round(consumption_kwh * CASE WHEN customer_type = 'Std' THEN 0.15::DOUBLE ELSE s.rate_per_kwh END, 6)
+        round(consumption_kwh * CASE WHEN customer_type = 'Std' THEN 0.15::DOUBLE ELSE s.rate_per_kwh END + 1e-9, 6)
           AS half_hour_cost
       FROM f ASOF LEFT JOIN changes s ON f.reading_timestamp >= s.tariff_half_hour""",
 )

@@ -22,8 +22,8 @@ def billing(spark, sf_dir):
 
 @query(
     "fact_billing",
-    f"""WITH {BILLING} SELECT * REPLACE (round(consumption_kwh, 6) AS consumption_kwh,
-      round(bill_amount, 6) AS bill_amount) FROM billing""",
+    f"""WITH {BILLING} SELECT * REPLACE (round(consumption_kwh + 1e-9, 6) AS consumption_kwh,
+      round(bill_amount + 1e-9, 6) AS bill_amount) FROM billing""",
 )
 def fact_billing(spark, sf_dir):
     return rounded(billing(spark, sf_dir), "consumption_kwh", "bill_amount")
@@ -33,9 +33,9 @@ def fact_billing(spark, sf_dir):
     "billing_flat_rate",
     f"""WITH {CONSUMPTION}, m AS (SELECT customer_key, meter_key, strftime(reading_timestamp, '%Y-%m') AS billing_period,
         sum(consumption_kwh) AS kwh FROM consumption GROUP BY ALL)
-      SELECT m.billing_period, c."LCLid", c.customer_id, d.meter_id, c.tariff_id, round(m.kwh, 6) AS consumption_kwh,
+      SELECT m.billing_period, c."LCLid", c.customer_id, d.meter_id, c.tariff_id, round(m.kwh + 1e-9, 6) AS consumption_kwh,
         CASE WHEN c.tariff_id = 'TAR002' THEN 0.18::DOUBLE ELSE 0.15::DOUBLE END AS rate_per_kwh,
-        round(m.kwh * CASE WHEN c.tariff_id = 'TAR002' THEN 0.18::DOUBLE ELSE 0.15::DOUBLE END, 6) AS bill_amount
+        round(m.kwh * CASE WHEN c.tariff_id = 'TAR002' THEN 0.18::DOUBLE ELSE 0.15::DOUBLE END + 1e-9, 6) AS bill_amount
       FROM m LEFT JOIN dim_customer_ids c ON m.customer_key = c.customer_key
       LEFT JOIN dim_meter_ids d ON m.meter_key = d.meter_key""",
 )
@@ -54,9 +54,9 @@ def billing_flat_rate(spark, sf_dir):
 
 
 REVENUE_SQL = f"""{BILLING}, revenue AS (SELECT billing_period, count(DISTINCT customer_key) AS customer_count,
-  count(DISTINCT meter_key) AS meter_count, round(sum(consumption_kwh), 6) AS total_consumption_kwh,
-  round(sum(bill_amount), 6) AS total_revenue, round(avg(consumption_kwh), 6) AS avg_consumption_kwh,
-  round(avg(bill_amount), 6) AS avg_bill_amount FROM billing GROUP BY billing_period)"""
+  count(DISTINCT meter_key) AS meter_count, round(sum(consumption_kwh) + 1e-9, 6) AS total_consumption_kwh,
+  round(sum(bill_amount) + 1e-9, 6) AS total_revenue, round(avg(consumption_kwh) + 1e-9, 6) AS avg_consumption_kwh,
+  round(avg(bill_amount) + 1e-9, 6) AS avg_bill_amount FROM billing GROUP BY billing_period)"""
 REVENUE_MEASURES = ["total_consumption_kwh", "total_revenue", "avg_consumption_kwh", "avg_bill_amount"]
 
 
@@ -79,7 +79,7 @@ def secure_revenue(spark, sf_dir):
     "peak_load",
     f"""WITH {CONSUMPTION} SELECT date_key, strftime(reading_timestamp, '%Y-%m-%d') AS reading_date,
       CAST(hour(reading_timestamp) AS INTEGER) AS hour_of_day, count(consumption_business_key) AS reading_count,
-      round(sum(consumption_kwh), 6) AS total_consumption_kwh, round(avg(consumption_kwh), 6) AS avg_consumption_kwh,
+      round(sum(consumption_kwh) + 1e-9, 6) AS total_consumption_kwh, round(avg(consumption_kwh) + 1e-9, 6) AS avg_consumption_kwh,
       max(consumption_kwh) AS max_meter_consumption_kwh FROM consumption GROUP BY 1, 2, 3""",
 )
 def peak_load(spark, sf_dir):
@@ -96,8 +96,8 @@ def peak_load(spark, sf_dir):
       peers AS (SELECT billing_period, tariff_id, avg(kwh) AS mean, stddev_pop(kwh) AS sd FROM monthly GROUP BY ALL),
       j AS (SELECT m.*, mean, sd, coalesce(kwh < mean - 2 * sd AND kwh < mean * 0.5::DOUBLE, false) AS flag FROM monthly m
         LEFT JOIN peers p ON m.billing_period = p.billing_period AND m.tariff_id = p.tariff_id)
-      SELECT billing_period, tariff_id, customer_key, "LCLid", round(kwh, 6) AS consumption_kwh,
-        round(mean, 6) AS peer_avg_consumption_kwh, round(sd, 6) AS peer_stddev_consumption_kwh,
+      SELECT billing_period, tariff_id, customer_key, "LCLid", round(kwh + 1e-9, 6) AS consumption_kwh,
+        round(mean + 1e-9, 6) AS peer_avg_consumption_kwh, round(sd + 1e-9, 6) AS peer_stddev_consumption_kwh,
         round(kwh - mean, 6) AS variance_from_peer_kwh, flag AS theft_flag,
         CASE WHEN flag THEN 'Consumption is materially below tariff peer usage'
           ELSE 'Within expected tariff peer range' END AS detection_reason FROM j""",
@@ -118,7 +118,7 @@ def theft_detection(spark, sf_dir):
         CAST(hour(reading_timestamp) AS INTEGER) AS hour_of_day, sum(consumption_kwh) AS total,
         avg(consumption_kwh) AS mean FROM consumption GROUP BY 1, 2)
       SELECT w.date_key, w.hour_of_day, temperature_c, humidity_pct, wind_speed_kmh, precipitation_mm,
-        round(total, 6) AS total_consumption_kwh, round(mean, 6) AS avg_meter_consumption_kwh
+        round(total + 1e-9, 6) AS total_consumption_kwh, round(mean + 1e-9, 6) AS avg_meter_consumption_kwh
       FROM fact_weather w LEFT JOIN hourly h ON w.date_key = h.date_key AND w.hour_of_day = h.hour_of_day""",
 )
 def weather_impact(spark, sf_dir):

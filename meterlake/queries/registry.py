@@ -33,8 +33,13 @@ def oracle_sql() -> dict[str, str]:
 
 
 def r6(c: Column | str) -> Column:
-    """Six decimals: sums of doubles differ in the last bits with the order of addition."""
-    return F.round(c, 6)
+    """Six decimals: sums of doubles differ in the last bits with the order of addition.
+
+    The nudge moves means off exact decimal ties, which engines round differently.
+    """
+    return F.round((F.col(c) if isinstance(c, str) else c) + 1e-9, 6)
+
+
 
 
 # --- SQL fragments ---------------------------------------------------------------------------------------------------

@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake.sources.readers import with_provenance
+
 
 def new_load_id(now: datetime | None = None) -> str:
     return (now or datetime.now()).strftime("%Y%m%d_%H%M%S")
@@ -29,7 +31,8 @@ def land_raw(df: DataFrame, root: str, source: str, load_id: str) -> str:
     return root
 
 
-def read_landed(spark: SparkSession, root: str) -> DataFrame:
-    """Every load below ``root``; the load id stays text although it looks numeric."""
+def read_landed(spark: SparkSession, root: str, provenance: bool = False) -> DataFrame:
+    """Every load below ``root``, schemas merged; optionally with the file each row came from."""
     df = spark.read.option("mergeSchema", True).parquet(root)
+    df = with_provenance(df) if provenance else df
     return df.withColumn("_load_id", F.col("_load_id").cast("string"))
