@@ -49,6 +49,11 @@ def date_key(c: Column | str) -> Column:
     return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
+def month_start(c: Column | str) -> Column:
+    """First day of the month: the cheap grouping form of a period, formatted only after the aggregation."""
+    return F.trunc(F.to_date(_col(c)), "month").alias("month_start")
+
+
 def month_period(c: Column | str) -> Column:
     """yyyy-MM text."""
     return F.date_format(F.to_date(_col(c)), "yyyy-MM")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.functions.scalars import month_period
+from meterlake.functions.scalars import month_period, month_start
 from meterlake.operators.dedup import dedup_latest
 from meterlake.operators.lookups import lookup_join
 
@@ -29,23 +29,21 @@ def revenue_summary(billing: DataFrame) -> DataFrame:
 def peak_load(consumption: DataFrame) -> DataFrame:
     """Reading count, total, mean and maximum consumption per day and hour."""
     ts = F.col("reading_timestamp")
-    return consumption.groupBy(
-        "date_key",
-        F.date_format(F.to_date(ts), "yyyy-MM-dd").alias("reading_date"),
-        F.hour(ts).alias("hour_of_day"),
-    ).agg(
+    hourly = consumption.groupBy("date_key", F.to_date(ts).alias("reading_date"), F.hour(ts).alias("hour_of_day")).agg(
         F.count("consumption_business_key").alias("reading_count"),
         F.sum("consumption_kwh").alias("total_consumption_kwh"),
         F.avg("consumption_kwh").alias("avg_consumption_kwh"),
         F.max("consumption_kwh").alias("max_meter_consumption_kwh"),
     )
+    return hourly.withColumn("reading_date", F.col("reading_date").cast("string"))
 
 
 def monthly_by_customer(consumption: DataFrame, customers: DataFrame) -> DataFrame:
     """Monthly consumption per customer; the customer attributes join the monthly sums."""
-    monthly = consumption.groupBy("customer_key", month_period("reading_timestamp").alias("billing_period")).agg(
+    monthly = consumption.groupBy("customer_key", month_start("reading_timestamp")).agg(
         F.sum("consumption_kwh").alias("consumption_kwh")
     )
+    monthly = monthly.withColumn("billing_period", month_period("month_start")).drop("month_start")
     return lookup_join(monthly, customers.select("customer_key", "LCLid", "tariff_id"), "customer_key")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions.classify import FLAT_CLASS, FLAT_RATE, tariff_attribute
-from meterlake.functions.scalars import business_key, floor_minutes, month_period
+from meterlake.functions.scalars import business_key, floor_minutes, month_period, month_start
 from meterlake.operators.dedup import dedup_latest
 from meterlake.operators.keys import dense_number
 from meterlake.operators.lookups import lookup_join
@@ -105,12 +105,11 @@ def bill(consumption: DataFrame, customers: DataFrame, meters: DataFrame, schedu
     are summed both plainly and at the schedule rate first; customers and meters join the monthly sums, not the readings.
     """
     scheduled = attach_schedule(consumption, schedule)
-    monthly = scheduled.groupBy(
-        "customer_key", "meter_key", month_period("reading_timestamp").alias("billing_period"), "region"
-    ).agg(
+    monthly = scheduled.groupBy("customer_key", "meter_key", month_start("reading_timestamp"), "region").agg(
         F.sum("consumption_kwh").alias("consumption_kwh"),
         F.sum(F.col("consumption_kwh") * F.col("schedule_rate")).alias("__schedule_cost"),
     )
+    monthly = monthly.withColumn("billing_period", month_period("month_start"))
     named = lookup_join(
         monthly, customers.select("customer_key", "customer_id", "tariff_id", "customer_type"), "customer_key"
     )
@@ -137,9 +136,10 @@ def bill(consumption: DataFrame, customers: DataFrame, meters: DataFrame, schedu
 
 def bill_flat(consumption: DataFrame, customers: DataFrame, meters: DataFrame) -> DataFrame:
     """The older rule: monthly consumption times one rate per tariff class."""
-    monthly = consumption.groupBy(
-        "customer_key", "meter_key", month_period("reading_timestamp").alias("billing_period")
-    ).agg(F.sum("consumption_kwh").alias("consumption_kwh"))
+    monthly = consumption.groupBy("customer_key", "meter_key", month_start("reading_timestamp")).agg(
+        F.sum("consumption_kwh").alias("consumption_kwh")
+    )
+    monthly = monthly.withColumn("billing_period", month_period("month_start")).drop("month_start")
     named = lookup_join(monthly, customers.select("customer_key", "customer_id", "LCLid", "tariff_id"), "customer_key")
     named = lookup_join(named, meters.select("meter_key", "meter_id"), "meter_key")
     rate = F

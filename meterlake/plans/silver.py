@@ -81,14 +81,16 @@ def fact_consumption(
 
     ``single=False`` leaves repeated keys in, for checks that must see them.
     """
-    typed = clean_readings(readings).select(
+    cleaned = clean_readings(readings)
+    if single:
+        # Everything else follows from meter and time, so one hash aggregation removes repeats, without a sort.
+        cleaned = cleaned.groupBy("LCLid", "DateTime").agg(F.min("consumption_kwh").alias("consumption_kwh"))
+    typed = cleaned.select(
         business_key("LCLid", F.col("DateTime").cast("string")).alias("consumption_business_key"),
         "LCLid",
         safe_timestamp("DateTime").alias("reading_timestamp"),
         "consumption_kwh",
     )
-    if single:
-        typed = dedup_latest(typed, ["consumption_business_key"])
     sides = [customers.select("LCLid", "customer_key", "region"), meters.select("LCLid", "meter_key")]
     return lookup_join(typed, sides, "LCLid").select(
         "consumption_business_key",
