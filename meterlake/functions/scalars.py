@@ -62,8 +62,8 @@ def month_period(c: Column | str) -> Column:
 def floor_minutes(c: Column | str, minutes: int = 30) -> Column:
     """Start of the ``minutes``-long slot (a divisor of 60) holding a wall-clock timestamp."""
     ts = _col(c).cast("timestamp_ntz")
-    into_slot = F.make_dt_interval(F.lit(0), F.lit(0), F.pmod(F.minute(ts), F.lit(minutes)), F.lit(0))
-    return F.date_trunc("minute", ts).cast("timestamp_ntz") - into_slot
+    seconds = F.date_part(F.lit("SECOND"), ts)
+    return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.pmod(F.minute(ts), F.lit(minutes)), seconds)
 
 
 def epoch_to_timestamp(c: Column | str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake.sources.staging import stage
 
-_PLACE, _PART, _BASE = "__place", "__part", "__base"
+_PLACE = "__place"
 # monotonically_increasing_id: partition number in the upper bits, position in the partition in the lower 33.
 _POSITION_BITS = 33
 
@@ -25,21 +25,16 @@ def dense_number(df: DataFrame, order_by: list[str], column: str, start: int = 0
         .withColumn(_PLACE, F.monotonically_increasing_id()),
         "numbering",
     )
-    part = F.shiftright(F.col(_PLACE), _POSITION_BITS)
-    sizes = placed.groupBy(part.alias(_PART)).agg(F.count(F.lit(1)).alias("n")).collect()
+    part = F.shiftright(F.col(_PLACE), _POSITION_BITS).cast("int")
+    sizes = dict(placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
     bases, base = [], start
-    for row in sorted(sizes):
-        bases.append((row[0], base))
-        base += row[1]
-    # One row per partition: bounded by the partition number.
-    offsets = spark.createDataFrame(bases, f"{_PART} bigint, {_BASE} bigint")
+    for number in range(max(sizes, default=0) + 1):
+        bases.append(base)
+        base += sizes.get(number, 0)
+    # One literal per partition, bounded by the partition number.
+    offset = F.element_at(F.lit(bases).cast("array<bigint>"), part + 1)
     position = F.col(_PLACE).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    return (
-        placed.withColumn(_PART, part)
-        .join(F.broadcast(offsets), _PART)
-        .withColumn(column, F.col(_BASE) + position + 1)
-        .drop(_PART, _BASE, _PLACE)
-    )
+    return placed.withColumn(column, offset + position + 1).drop(_PLACE)
 
 
 def max_key(df: DataFrame, key_col: str) -> DataFrame:

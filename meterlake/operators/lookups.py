@@ -28,15 +28,20 @@ def lookup_join(
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
     probe: bool = True,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join ``facts`` with one or more sides that each hold one row per key.  NULL keys do not match.
 
     Several sides on the same key share one salted shuffle of the facts.  ``probe=False`` skips the count, for keyed
-    sides that are themselves costly to evaluate.
+    sides that are themselves costly to evaluate.  ``sized_by`` names a frame with at least as many rows as any keyed
+    side that is cheaper to count.
     """
     keys = [on] if isinstance(on, str) else list(on)
     sides = keyed if isinstance(keyed, list) else [keyed]
-    small = [probe and at_most(side, broadcast_rows) for side in sides]
+    if sized_by is not None:
+        small = [at_most(sized_by, broadcast_rows)] * len(sides)
+    else:
+        small = [probe and at_most(side, broadcast_rows) for side in sides]
     for side, is_small in zip(sides, small):
         if is_small:
             facts = facts.join(F.broadcast(side), keys, how)

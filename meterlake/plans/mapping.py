@@ -64,7 +64,8 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("user_id", "ts", "value", "event_type")
     members = customer_regions(spark, sf_dir).select("user_id", "stdorToU", "region")
     value = F.when(F.col("event_type") == "error", F.lit("Null")).otherwise(F.col("value").cast("string"))
-    return lookup_join(events, members, "user_id").select(
+    customers = table(spark, sf_dir, "customer")
+    return lookup_join(events, members, "user_id", sized_by=customers).select(
         meter_id().alias("LCLid"), "stdorToU", stamp("ts").alias("DateTime"), value.alias("kwh_hh"), "region"
     )
 

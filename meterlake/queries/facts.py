@@ -176,6 +176,11 @@ def typed_readings(spark, sf_dir):
     return lookup_join(fact, customers.select("customer_key", "customer_type"), "customer_key")
 
 
+def stored_schedule(spark, sf_dir):
+    """The schedule as a stored table: it is counted and then joined."""
+    return stage(rating.tariff_schedule(mapping.tariff_entries(spark, sf_dir)), "schedule")
+
+
 RATED_COLUMNS = ["consumption_business_key", "customer_type", "applied_rate_per_kwh"]
 RATED_SQL = f"""WITH {BILLING} SELECT consumption_business_key, customer_type, applied_rate_per_kwh,
   round(consumption_kwh * applied_rate_per_kwh + 1e-9, 6) AS half_hour_cost FROM rated"""
@@ -183,8 +188,7 @@ RATED_SQL = f"""WITH {BILLING} SELECT consumption_business_key, customer_type, a
 
 @query("rate_readings", RATED_SQL)
 def rate_readings(spark, sf_dir):
-    schedule = rating.tariff_schedule(mapping.tariff_entries(spark, sf_dir))
-    rated = rating.rate_readings(typed_readings(spark, sf_dir), schedule)
+    rated = rating.rate_readings(typed_readings(spark, sf_dir), stored_schedule(spark, sf_dir))
     return rated.select(*RATED_COLUMNS, r6("half_hour_cost").alias("half_hour_cost"))
 
 

@@ -71,7 +71,8 @@ def gappy_facts(spark, sf_dir):
     from meterlake.operators.lookups import lookup_join
 
     places = mapping.customer_regions(spark, sf_dir).select(F.col("user_id").alias("o_custkey"), "region")
-    facts = lookup_join(mapping.table(spark, sf_dir, "orders"), places, "o_custkey")
+    customers = mapping.table(spark, sf_dir, "customer")
+    facts = lookup_join(mapping.table(spark, sf_dir, "orders"), places, "o_custkey", sized_by=customers)
     known = F.when(F.col("o_orderstatus") == "F", F.col("region"))
     return facts.select("o_orderkey", "o_custkey", "o_totalprice", known.alias("region"))
 

@@ -34,6 +34,8 @@ def local_session(cores: int | str = 8, app: str = "meterlake", memory: str = "1
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Small local data: let AQE keep every core busy instead of merging partitions up to 1 MB.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
     )
     for key, value in {**SQL_SETTINGS, **extra}.items():
