@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +56,16 @@ def watermark(snapshots: DataFrame, columns: tuple[str, ...] = WATERMARK_COLUMNS
     return None
 
 
+def loads_since(df: DataFrame, high_water: datetime | None, margin: timedelta = timedelta(days=1)) -> DataFrame:
+    """Landed loads from the last run on, a margin earlier to be safe; all on the first run.
+
+    Load ids sort like their times and are partition folders, so older loads are not even listed for reading.
+    """
+    if high_water is None:
+        return df
+    return df.filter(F.col("_load_id") >= (high_water - margin).strftime("%Y%m%d_%H%M%S"))
+
+
 def since(df: DataFrame, ts_col: str, high_water: datetime | None, unit: str = "hour") -> DataFrame:
     """Rows from the watermark's hour or day on; everything on the first run.
 

@@ -49,9 +49,18 @@ def insert_missing(
     keys: list[str],
     order_by: list[Column] | None = None,
     unique: bool = False,
+    prune_by: str | None = None,
 ) -> DataFrame:
-    """The source rows an insert-only merge adds: those whose key the target does not hold."""
+    """The source rows an insert-only merge adds: those whose key the target does not hold.
+
+    ``prune_by`` names a key column, usually a time: target rows outside the source's range of it cannot match, and the
+    literal bounds let the scan skip their row groups.
+    """
     source = _one_per_key(source, keys, order_by, unique)
+    if prune_by:
+        low, high = source.agg(F.min(prune_by), F.max(prune_by)).first()
+        kind = target.schema[prune_by].dataType
+        target = target.filter(F.col(prune_by).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
     # Reduce the big side first: only target keys that occur in the source take part in the anti join.
     held = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
     return source.join(held, keys, "left_anti").select(*source.columns)

@@ -139,7 +139,7 @@ class Lake:
             self.spark.conf.set(_OVERWRITE_MODE, before)
 
     def insert_missing(self, table: str, source: DataFrame, keys: list[str], **options) -> None:
-        """Insert-only merge: existing files are not touched, only new rows are appended."""
+        """Insert-only merge (options of `merge.insert_missing`): existing files stay, only new rows are appended."""
         if not self.exists(table):
             self.create(table, merge._one_per_key(source, keys, options.get("order_by"), options.get("unique", False)))
         else:

@@ -15,7 +15,7 @@ class Layout:
     """Merge key, partition columns, quality checks and the name of the load-time column of one table.
 
     ``repeats`` marks batches that may hold a key more than once when they are checked; the merge then keeps the row
-    with the highest ``latest_by``.
+    with the highest ``latest_by``.  ``prune_by`` bounds the part of the target an insert-only merge reads.
     """
 
     keys: list[str]
@@ -26,6 +26,7 @@ class Layout:
     insert_only: bool = False
     repeats: bool = False
     latest_by: str | None = None
+    prune_by: str | None = None
 
 
 def _non_negative(column: str, name: str) -> dict:
@@ -74,6 +75,7 @@ LAYOUTS = {
         ["LCLid", "event_timestamp"],
         [not_null("event_id"), not_null("LCLid"), not_null("event_timestamp"), unique("event_id")],
         insert_only=True,
+        prune_by="event_timestamp",
     ),
     "silver.dim_customer": Layout(
         ["LCLid"],

@@ -30,7 +30,11 @@ UNDATED = date(1900, 1, 1)
 
 @dataclass(frozen=True)
 class RawInputs:
-    """Where raw data lands: a CSV glob of readings and the roots of landed Parquet loads."""
+    """Where raw data lands: a CSV glob of readings and the roots of landed Parquet loads.
+
+    Of weather and demand only loads since the last run are read.  Give the glob of the new reading files, or use the
+    streaming ingestion, which remembers the files it has seen; repeated files do no harm.
+    """
 
     readings_csv: str
     weather: str
@@ -50,7 +54,7 @@ def load(lake: Lake, table: str, df: DataFrame, fail_on_error: bool = False) ->
         batch, table, layout.checks, log=lambda rows: lake.append(FAILURE_LOG, rows), fail_on_error=fail_on_error
     )
     if layout.insert_only:
-        lake.insert_missing(table, checked, layout.keys)
+        lake.insert_missing(table, checked, layout.keys, prune_by=layout.prune_by)
     else:
         order = [F.col(layout.latest_by).desc_nulls_last()] if layout.latest_by else None
         lake.upsert(table, checked, layout.keys, layout.partition_by, order, unique=not layout.repeats)
@@ -76,8 +80,12 @@ def land_tables(lake: Lake, raw: RawInputs) -> dict[str, DataFrame]:
     """The bronze layer; returns the batch of each table."""
     spark = lake.spark
     readings = readers.scan_csv(spark, raw.readings_csv, bronze.RAW_READING_COLUMNS, bronze.READING_RENAMES)
-    weather = landing.read_landed(spark, raw.weather, provenance=True)
-    demand = landing.read_landed(spark, raw.demand, provenance=True)
+    runs = lake.read_or_none(LINEAGE)
+    last_run = audit.watermark(runs).first()[0] if runs is not None else None
+    weather, demand = (
+        audit.loads_since(landing.read_landed(spark, root, provenance=True), last_run)
+        for root in (raw.weather, raw.demand)
+    )
     tariff_schema = readers.T.StructType.fromDDL("TariffDateTime TIMESTAMP_NTZ, Tariff STRING")
     tariff = readers.with_provenance(readers.scan_csv(spark, raw.tariff_csv, tariff_schema))
     weather = bronze.bronze_weather(weather).withColumn("load_timestamp", F.current_timestamp())

@@ -191,7 +191,7 @@ def lineage_snapshot(spark, sf_dir):
     """Save the sample's order and event totals as catalog tables, then snapshot the catalog."""
     from meterlake.sources.staging import stage_path
 
-    spark.sql("CREATE SCHEMA IF NOT EXISTS sample_gold")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS sample_gold LOCATION '{stage_path(spark, 'sample_gold')}'")
     for name, key in (("orders", "o_orderpriority"), ("events", "event_type")):
         totals = mapping.table(spark, sf_dir, name).groupBy(key).count()
         path = stage_path(spark, name)

@@ -29,6 +29,9 @@ def ordered(columns, rows):
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query_matches_sql(spark, con, name):
     df = contract.queries()[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
+        assert unwanted not in plan
     got = [tuple(r) for r in df.collect()]
     sql = contract.oracle_sql().get(name)
     if sql is None:
