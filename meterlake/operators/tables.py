@@ -7,6 +7,7 @@ leaves the old version in place.  Partitioned tables are merged by rewriting onl
 from __future__ import annotations
 
 import operator
+import threading
 import uuid
 from datetime import datetime
 from functools import reduce
@@ -18,7 +19,6 @@ from meterlake.operators import merge
 from meterlake.operators.drift import align_schemas, empty_from_contract
 from meterlake.sources.staging import stage
 
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 SCHEMAS = ("bronze", "silver", "gold", "audit")
 
 
@@ -27,6 +27,9 @@ class Lake:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._appending = threading.Lock()
+        # Inserts with overwrite replace the partitions they write and no others.
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         for schema in SCHEMAS:
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{self.root}/{schema}'")
 
@@ -63,10 +66,11 @@ class Lake:
             self.create(table, empty_from_contract(self.spark, contract), partition_by)
 
     def append(self, table: str, df: DataFrame) -> None:
-        """Add rows; creates the table on first use."""
-        if not self.exists(table):
-            self.create(table, df)
-        else:
+        """Add rows; creates the table on first use.  One append at a time: they share the table's commit folder."""
+        with self._appending:
+            if not self.exists(table):
+                self.create(table, df)
+                return
             self.add_missing_columns(table, df)
             columns = self.read(table).columns
             align_schemas(df, self.read(table))[0].select(*columns).write.insertInto(table)
@@ -131,12 +135,7 @@ class Lake:
     def _overwrite_partitions(self, table: str, df: DataFrame, partitions: list[str]) -> None:
         columns = self.read(table).columns
         spread = df.select(*columns).hint("rebalance", *partitions)
-        before = self.spark.conf.get(_OVERWRITE_MODE)
-        self.spark.conf.set(_OVERWRITE_MODE, "dynamic")
-        try:
-            spread.write.insertInto(table, overwrite=True)
-        finally:
-            self.spark.conf.set(_OVERWRITE_MODE, before)
+        spread.write.insertInto(table, overwrite=True)
 
     def insert_missing(self, table: str, source: DataFrame, keys: list[str], **options) -> None:
         """Insert-only merge (options of `merge.insert_missing`): existing files stay, only new rows are appended."""

@@ -7,6 +7,7 @@ touched; whole groups are recomputed, so the outcome equals a full rebuild.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -26,6 +27,7 @@ from meterlake.sources.staging import stage
 FAILURE_LOG = "silver.dq_failures"
 LINEAGE = "audit.pipeline_lineage"
 UNDATED = date(1900, 1, 1)
+TABLES_AT_ONCE = 4
 
 
 @dataclass(frozen=True)
@@ -61,6 +63,13 @@ def load(lake: Lake, table: str, df: DataFrame, fail_on_error: bool = False) ->
     return checked
 
 
+def load_all(lake: Lake, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Load independent tables side by side, so small ones use the cores a large one leaves idle."""
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        batches = pool.map(lambda item: load(lake, *item), frames.items())
+        return dict(zip(frames, batches))
+
+
 def _members(column: str, batch: DataFrame) -> list:
     """Distinct dates or months of a batch: bounded by the calendar, so they may become a literal filter."""
     return [row[0] for row in batch.select(column).filter(F.col(column).isNotNull()).distinct().collect()]
@@ -89,31 +98,35 @@ def land_tables(lake: Lake, raw: RawInputs) -> dict[str, DataFrame]:
     tariff_schema = readers.T.StructType.fromDDL("TariffDateTime TIMESTAMP_NTZ, Tariff STRING")
     tariff = readers.with_provenance(readers.scan_csv(spark, raw.tariff_csv, tariff_schema))
     weather = bronze.bronze_weather(weather).withColumn("load_timestamp", F.current_timestamp())
-    batches = {
-        "bronze.bronze_meter_readings": load(lake, "bronze.bronze_meter_readings", dated_readings(readings)),
-        "bronze.bronze_weather": load(lake, "bronze.bronze_weather", weather),
-        "bronze.bronze_eia": load(lake, "bronze.bronze_eia", bronze.bronze_demand(demand)),
-        "bronze.bronze_tariff": load(lake, "bronze.bronze_tariff", bronze.bronze_tariff(tariff)),
-    }
+    batches = load_all(
+        lake,
+        {
+            "bronze.bronze_meter_readings": dated_readings(readings),
+            "bronze.bronze_weather": weather,
+            "bronze.bronze_eia": bronze.bronze_demand(demand),
+            "bronze.bronze_tariff": bronze.bronze_tariff(tariff),
+        },
+    )
     fresh = batches["bronze.bronze_meter_readings"]
-    for table, build in (
-        ("bronze.bronze_feeder_readings", bronze.bronze_feeder_readings),
-        ("bronze.bronze_meter_events", bronze.bronze_meter_events),
-    ):
-        batches[table] = load(lake, table, build(fresh))
-    return batches
+    derived = {
+        "bronze.bronze_feeder_readings": bronze.bronze_feeder_readings(fresh),
+        "bronze.bronze_meter_events": bronze.bronze_meter_events(fresh),
+    }
+    return batches | load_all(lake, derived)
 
 
 def build_dimensions(lake: Lake, fresh_readings: DataFrame) -> None:
     """Dimensions: members seen in this refresh are merged, all others keep their rows and keys."""
-    customers = silver.dim_customer(fresh_readings, lake.read_or_none("silver.dim_customer"))
-    load(lake, "silver.dim_customer", customers)
-    load(lake, "silver.dim_meter", silver.dim_meter(fresh_readings, lake.read_or_none("silver.dim_meter")))
     tariff = lake.read("bronze.bronze_tariff")
-    load(lake, "silver.dim_tariff", rating.dim_tariff(tariff))
-    load(lake, "silver.tariff_schedule", rating.tariff_schedule(tariff))
+    frames = {
+        "silver.dim_customer": silver.dim_customer(fresh_readings, lake.read_or_none("silver.dim_customer")),
+        "silver.dim_meter": silver.dim_meter(fresh_readings, lake.read_or_none("silver.dim_meter")),
+        "silver.dim_tariff": rating.dim_tariff(tariff),
+        "silver.tariff_schedule": rating.tariff_schedule(tariff),
+    }
     if not lake.exists("silver.dim_date"):
-        load(lake, "silver.dim_date", calendar.date_dimension(lake.spark))
+        frames["silver.dim_date"] = calendar.date_dimension(lake.spark)
+    load_all(lake, frames)
 
 
 def build_facts(lake: Lake, fresh: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -128,7 +141,7 @@ def build_facts(lake: Lake, fresh: dict[str, DataFrame]) -> dict[str, DataFrame]
         "silver.fact_feeder_readings": silver.fact_feeder_readings(fresh["bronze.bronze_feeder_readings"]),
         "silver.fact_meter_events": silver.fact_meter_events(fresh["bronze.bronze_meter_events"]),
     }
-    batches = {table: load(lake, table, df) for table, df in built.items()}
+    batches = load_all(lake, built)
     consumption = lake.read("silver.fact_consumption")
     touched = {d // 100 for d in _members("date_key", batches["silver.fact_consumption"])}
     months = consumption.filter(_month_of("date_key").isin(*touched)) if touched else consumption.limit(0)
@@ -143,15 +156,18 @@ def build_marts(lake: Lake, fresh: dict[str, DataFrame]) -> None:
     weather_days = _members("date_key", fresh["silver.fact_weather"])
     consumption, weather = lake.read("silver.fact_consumption"), lake.read("silver.fact_weather")
     bills, periods = lake.read("silver.fact_billing"), _members("billing_period", fresh["silver.fact_billing"])
+    frames = {}
     if days:
-        load(lake, "gold.gold_peak_load", marts.peak_load(consumption.filter(F.col("date_key").isin(*days))))
         months = consumption.filter(_month_of("date_key").isin(*{d // 100 for d in days}))
-        load(lake, "gold.gold_theft_detection", marts.theft_detection(months, lake.read("silver.dim_customer")))
+        frames["gold.gold_peak_load"] = marts.peak_load(consumption.filter(F.col("date_key").isin(*days)))
+        frames["gold.gold_theft_detection"] = marts.theft_detection(months, lake.read("silver.dim_customer"))
     if periods:
-        load(lake, "gold.gold_revenue_summary", marts.revenue_summary(bills.filter(F.col("billing_period").isin(*periods))))
+        touched = bills.filter(F.col("billing_period").isin(*periods))
+        frames["gold.gold_revenue_summary"] = marts.revenue_summary(touched)
     if {*days, *weather_days}:
         touched = F.col("date_key").isin(*{*days, *weather_days})
-        load(lake, "gold.gold_weather_impact", marts.weather_impact(consumption.filter(touched), weather.filter(touched)))
+        frames["gold.gold_weather_impact"] = marts.weather_impact(consumption.filter(touched), weather.filter(touched))
+    load_all(lake, frames)
 
 
 def refresh(lake: Lake, raw: RawInputs, run_id: str = "manual", started: datetime | None = None) -> None:

@@ -12,7 +12,7 @@ from meterlake.operators.tables import SCHEMAS, Lake
 from meterlake.plans import bronze
 from meterlake.plans.contracts import CONTRACTS
 from meterlake.plans.layout import LAYOUTS
-from meterlake.plans.refresh import FAILURE_LOG, LINEAGE, RawInputs, refresh
+from meterlake.plans.refresh import FAILURE_LOG, LINEAGE, RawInputs, load, refresh
 from meterlake.sources import calendar, landing, payloads, readers
 from meterlake.streaming.ingest import ingest_readings
 
@@ -77,6 +77,22 @@ def test_check_names_are_unique_per_table():
         assert len(names) == len(set(names)), table
 
 
+def test_a_load_evaluates_its_transformation_once(spark, lake):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    raw = [("2024-01", 1, 2, 3.0, 4.0, 5.0, 6.0), ("2024-02", 1, 2, 3.0, 4.0, 5.0, 6.0)]
+    ddl = "billing_period string, customer_count long, meter_count long, total_consumption_kwh double, "
+    ddl += "total_revenue double, avg_consumption_kwh double, avg_bill_amount double"
+    for expected in (2, 4):  # create, then merge
+        load(lake, "gold.gold_revenue_summary", frame(spark, raw, ddl).mapInPandas(count, ddl))
+        assert seen.value == expected
+
+
 # --- the whole refresh --------------------------------------------------------------------------------------------
 
 
