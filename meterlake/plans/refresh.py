@@ -7,9 +7,9 @@ touched; whole groups are recomputed, so the outcome equals a full rebuild.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from meterlake.operators.tables import Lake
 from meterlake.plans import bronze, silver
 from meterlake.plans.layout import LAYOUTS
 from meterlake.sources import calendar, landing, readers
-from meterlake.sources.staging import stage
+from meterlake.sources.staging import side_by_side, stage
 
 FAILURE_LOG = "silver.dq_failures"
 LINEAGE = "audit.pipeline_lineage"
@@ -65,9 +65,8 @@ def load(lake: Lake, table: str, df: DataFrame, fail_on_error: bool = False) ->
 
 def load_all(lake: Lake, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Load independent tables side by side, so small ones use the cores a large one leaves idle."""
-    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
-        batches = pool.map(lambda item: load(lake, *item), frames.items())
-        return dict(zip(frames, batches))
+    batches = side_by_side([partial(load, lake, table, df) for table, df in frames.items()], TABLES_AT_ONCE)
+    return dict(zip(frames, batches))
 
 
 def _members(column: str, batch: DataFrame) -> list:
@@ -118,9 +117,15 @@ def land_tables(lake: Lake, raw: RawInputs) -> dict[str, DataFrame]:
 def build_dimensions(lake: Lake, fresh_readings: DataFrame) -> None:
     """Dimensions: members seen in this refresh are merged, all others keep their rows and keys."""
     tariff = lake.read("bronze.bronze_tariff")
+    customers, meters = side_by_side(
+        [
+            partial(silver.dim_customer, fresh_readings, lake.read_or_none("silver.dim_customer")),
+            partial(silver.dim_meter, fresh_readings, lake.read_or_none("silver.dim_meter")),
+        ]
+    )
     frames = {
-        "silver.dim_customer": silver.dim_customer(fresh_readings, lake.read_or_none("silver.dim_customer")),
-        "silver.dim_meter": silver.dim_meter(fresh_readings, lake.read_or_none("silver.dim_meter")),
+        "silver.dim_customer": customers,
+        "silver.dim_meter": meters,
         "silver.dim_tariff": rating.dim_tariff(tariff),
         "silver.tariff_schedule": rating.tariff_schedule(tariff),
     }

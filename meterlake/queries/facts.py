@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from meterlake.functions import classify
@@ -20,18 +22,24 @@ from meterlake.queries.registry import (
     query,
     r6,
 )
-from meterlake.sources.staging import stage
+from meterlake.sources.staging import side_by_side, stage
 
 
-def dimensions(spark, sf_dir):
-    """Readings with their two dimensions; all three staged because several consumers follow."""
+def consumption(spark, sf_dir):
+    """The consumption fact and its dimensions.  The readings are staged: three consumers follow."""
     readings = stage(mapping.readings(spark, sf_dir), "readings")
-    return readings, silver.dim_customer(readings), silver.dim_meter(readings)
+    customers, meters = side_by_side([partial(silver.dim_customer, readings), partial(silver.dim_meter, readings)])
+    return silver.fact_consumption(readings, customers, meters), customers, meters
 
 
-def consumption(spark, sf_dir):
-    readings, customers, meters = dimensions(spark, sf_dir)
-    return silver.fact_consumption(readings, customers, meters), customers, meters
+def stored_schedule(spark, sf_dir):
+    """The schedule as a stored table: it is counted and then joined."""
+    return stage(rating.tariff_schedule(mapping.tariff_entries(spark, sf_dir)), "schedule")
+
+
+def consumption_and_schedule(spark, sf_dir):
+    """The fact with its dimensions, and the schedule, built side by side."""
+    return side_by_side([partial(consumption, spark, sf_dir), partial(stored_schedule, spark, sf_dir)])
 
 
 @query("bronze_readings", f"WITH {READINGS} SELECT *, 'LONDON_SMART_METER' AS source_system FROM readings")
@@ -171,16 +179,10 @@ def fact_demand(spark, sf_dir):
     return silver.fact_demand(mapping.demand(spark, sf_dir))
 
 
-def typed_readings(spark, sf_dir):
-    fact, customers, meters = consumption(spark, sf_dir)
+def typed_readings(fact, customers):
     return lookup_join(fact, customers.select("customer_key", "customer_type"), "customer_key")
 
 
-def stored_schedule(spark, sf_dir):
-    """The schedule as a stored table: it is counted and then joined."""
-    return stage(rating.tariff_schedule(mapping.tariff_entries(spark, sf_dir)), "schedule")
-
-
 RATED_COLUMNS = ["consumption_business_key", "customer_type", "applied_rate_per_kwh"]
 RATED_SQL = f"""WITH {BILLING} SELECT consumption_business_key, customer_type, applied_rate_per_kwh,
   round(consumption_kwh * applied_rate_per_kwh + 1e-9, 6) AS half_hour_cost FROM rated"""
@@ -188,7 +190,8 @@ RATED_SQL = f"""WITH {BILLING} SELECT consumption_business_key, customer_type, a
 
 @query("rate_readings", RATED_SQL)
 def rate_readings(spark, sf_dir):
-    rated = rating.rate_readings(typed_readings(spark, sf_dir), stored_schedule(spark, sf_dir))
+    (fact, customers, _), schedule = consumption_and_schedule(spark, sf_dir)
+    rated = rating.rate_readings(typed_readings(fact, customers), schedule)
     return rated.select(*RATED_COLUMNS, r6("half_hour_cost").alias("half_hour_cost"))
 
 
@@ -207,8 +210,8 @@ def rate_readings(spark, sf_dir):
 def rate_readings_asof(spark, sf_dir):
     """The schedule lists only the times the rate changes."""
     at = F.col("tariff_half_hour")
-    schedule = rating.tariff_schedule(mapping.tariff_entries(spark, sf_dir))
+    (fact, customers, _), schedule = consumption_and_schedule(spark, sf_dir)
     changes = schedule.filter((F.minute(at) == 0) & F.hour(at).isin(0, 7, 17, 21))
-    readings = stage(typed_readings(spark, sf_dir), "typed")
+    readings = stage(typed_readings(fact, customers), "typed")
     rated = rating.rate_readings(readings, changes.select("tariff_half_hour", "rate_per_kwh"), asof=True)
     return rated.select(*RATED_COLUMNS, r6("half_hour_cost").alias("half_hour_cost"))

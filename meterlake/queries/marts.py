@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from meterlake.operators import marts, rating, security
 from meterlake.plans import mapping, silver
-from meterlake.queries.facts import consumption, stored_schedule
+from meterlake.queries.facts import consumption, consumption_and_schedule
 from meterlake.queries.guards import READERS, READERS_SQL, _per_reader
 from meterlake.queries.registry import BILLING, CONSUMPTION, FACT_WEATHER, query, r6
 from meterlake.sources.staging import stage
@@ -16,8 +16,8 @@ def rounded(df, *columns):
 
 
 def billing(spark, sf_dir):
-    fact, customers, meters = consumption(spark, sf_dir)
-    return rating.bill(fact, customers, meters, stored_schedule(spark, sf_dir))
+    (fact, customers, meters), schedule = consumption_and_schedule(spark, sf_dir)
+    return rating.bill(fact, customers, meters, schedule)
 
 
 @query(

@@ -9,9 +9,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
 _local_fallback: dict[str, str] = {}
 
 
@@ -39,6 +43,12 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(builders: list[Callable[[], T]], at_once: int = 4) -> list[T]:
+    """Run independent builders in threads of the driver, so that the jobs they start share the cluster."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(lambda build: build(), builders))
+
+
 def release(spark: SparkSession) -> None:
     """Drop every frame this application staged; call when no staged frame is needed any more."""
     root = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/meterlake/{spark.sparkContext.applicationId}")
