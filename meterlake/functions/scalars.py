@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values.
 POWER_FACTOR = 0.95
@@ -15,6 +18,16 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def literal_of(value: object, kind: T.DataType) -> Column:
+    """A value fetched from a column of type ``kind`` as a literal of that type.
+
+    Zone-free timestamps go through text: a plain datetime literal would be shifted by the session time zone.
+    """
+    if isinstance(value, datetime) and isinstance(kind, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(kind)
+    return F.lit(value).cast(kind)
+
+
 def safe_number(c: Column | str, kind: str = "double") -> Column:
     """Text that is not a number becomes NULL instead of failing the job."""
     return _col(c).try_cast(kind)

@@ -7,6 +7,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake.functions.scalars import literal_of
+
 WATERMARK_COLUMNS = ("pipeline_start_ts", "run_ts")
 LAYERS = ("bronze", "silver", "gold", "audit")
 
@@ -75,4 +77,4 @@ def since(df: DataFrame, ts_col: str, high_water: datetime | None, unit: str = "
         return df
     floor = {"hour": dict(minute=0, second=0, microsecond=0), "day": dict(hour=0, minute=0, second=0, microsecond=0)}
     bound = high_water.replace(**floor[unit])
-    return df.filter(F.col(ts_col) >= F.lit(bound).cast(df.schema[ts_col].dataType))
+    return df.filter(F.col(ts_col) >= literal_of(bound, df.schema[ts_col].dataType))

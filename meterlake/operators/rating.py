@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions.classify import FLAT_CLASS, FLAT_RATE, tariff_attribute
-from meterlake.functions.scalars import business_key, floor_minutes, month_period, month_start
+from meterlake.functions.scalars import business_key, floor_minutes, literal_of, month_period, month_start
 from meterlake.operators.dedup import dedup_latest
 from meterlake.operators.keys import dense_number
 from meterlake.operators.lookups import lookup_join
@@ -49,7 +49,7 @@ def dim_tariff(bronze_tariff: DataFrame) -> DataFrame:
     )
 
 
-def densify_schedule(changes: DataFrame, until: Column | object, minutes: int = SLOT_MINUTES) -> DataFrame:
+def densify_schedule(changes: DataFrame, until: Column, minutes: int = SLOT_MINUTES) -> DataFrame:
     """Schedule of change points -> one row per slot, each slot carrying the last change at or before it.
 
     Change points must sit on slot boundaries.  Each point finds its successor by an equi-join on a dense number, so no
@@ -61,7 +61,7 @@ def densify_schedule(changes: DataFrame, until: Column | object, minutes: int =
     numbered = dense_number(dedup_latest(aligned, ["tariff_half_hour"]), ["tariff_half_hour"], "__n")
     following = numbered.select((F.col("__n") - 1).alias("__n"), F.col("tariff_half_hour").alias("__next"))
     slot = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes), F.lit(0))
-    last = F.coalesce(F.col("__next") - slot, floor_minutes(F.lit(until), minutes))
+    last = F.coalesce(F.col("__next") - slot, floor_minutes(until, minutes))
     slots = F.sequence(F.col("tariff_half_hour"), F.greatest(last, F.col("tariff_half_hour")), slot)
     carried = [c for c in changes.columns if c != "tariff_half_hour"]
     return numbered.join(following, "__n", "left").select(F.explode(slots).alias("tariff_half_hour"), *carried)
@@ -90,7 +90,8 @@ def rate_readings(
     """
     if asof:
         until = readings.agg(F.max("reading_timestamp")).first()[0]
-        schedule = densify_schedule(schedule, until) if until is not None else schedule
+        kind = readings.schema["reading_timestamp"].dataType
+        schedule = densify_schedule(schedule, literal_of(until, kind)) if until is not None else schedule
     rated = attach_schedule(readings, schedule)
     rate = F.when(F.col(class_col) == flat_class, F.lit(flat_rate)).otherwise(F.col("schedule_rate"))
     return rated.withColumn("applied_rate_per_kwh", rate).withColumn(

@@ -105,12 +105,12 @@ class Lake:
         """
         if not self.exists(table):
             # As in a merge, the first load holds one row per key.
-            self.create(table, merge._one_per_key(source, keys, order_by, unique), partition_by)
+            self.create(table, merge.one_per_key(source, keys, order_by, unique), partition_by)
             return
         self.add_missing_columns(table, source)
         target = self.read(table)
         source, _ = align_schemas(source, target)
-        source = merge._one_per_key(source, keys, order_by, unique)
+        source = merge.one_per_key(source, keys, order_by, unique)
         partitions = self._partition_columns(table)
         if not partitions:
             self.replace(table, merge.upsert(target, source, keys, unique=True))
@@ -140,7 +140,7 @@ class Lake:
     def insert_missing(self, table: str, source: DataFrame, keys: list[str], **options) -> None:
         """Insert-only merge (options of `merge.insert_missing`): existing files stay, only new rows are appended."""
         if not self.exists(table):
-            self.create(table, merge._one_per_key(source, keys, options.get("order_by"), options.get("unique", False)))
+            self.create(table, merge.one_per_key(source, keys, options.get("order_by"), options.get("unique", False)))
         else:
             self.append(table, stage(merge.insert_missing(self.read(table), source, keys, **options), "inserts"))
 

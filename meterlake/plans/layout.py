@@ -33,6 +33,7 @@ def _non_negative(column: str, name: str) -> dict:
     return within(column, min_val=0, name=f"{name}_non_negative")
 
 
+# Check names, bounds and merge keys appear in the failure log and decide which rows replace which.
 LAYOUTS = {
     "bronze.bronze_meter_readings": Layout(
         ["LCLid", "DateTime"],

@@ -13,6 +13,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlake.functions.scalars import safe_timestamp
 from meterlake.operators import audit, marts, rating
@@ -94,7 +95,7 @@ def land_tables(lake: Lake, raw: RawInputs) -> dict[str, DataFrame]:
         audit.loads_since(landing.read_landed(spark, root, provenance=True), last_run)
         for root in (raw.weather, raw.demand)
     )
-    tariff_schema = readers.T.StructType.fromDDL("TariffDateTime TIMESTAMP_NTZ, Tariff STRING")
+    tariff_schema = T.StructType.fromDDL("TariffDateTime TIMESTAMP_NTZ, Tariff STRING")
     tariff = readers.with_provenance(readers.scan_csv(spark, raw.tariff_csv, tariff_schema))
     weather = bronze.bronze_weather(weather).withColumn("load_timestamp", F.current_timestamp())
     batches = load_all(

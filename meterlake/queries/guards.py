@@ -23,7 +23,9 @@ LINE_CHECKS = [
     {"name": "unbounded", "check_type": "range", "column": "l_tax"},
     {"name": "unknown", "check_type": "no_such_type", "column": "l_tax"},
 ]
-DUPLICATES_SQL = "(SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))"
+DUPLICATES_SQL = (
+    "(SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))"
+)
 LINE_FAILURES_SQL = f"""counted AS (
   SELECT 1 AS seq, 'quantity_range' AS check_name, 'range' AS check_type, 'l_quantity' AS column_name,
     ' out-of-range values in l_quantity' AS reason, count(*) FILTER (l_quantity < 2 OR l_quantity > 45) AS n FROM lineitem
@@ -190,7 +192,7 @@ def schema_contract_check(spark, sf_dir):
     return status.join(drift.null_violations(facts, FACT_CONTRACT), "column_name", "left")
 
 
-def _per_reader(readers: dict[str, set[str]], view) -> DataFrame:
+def per_reader(readers: dict[str, set[str]], view) -> DataFrame:
     """The same view as each kind of reader sees it, side by side."""
     frames = [view(groups).withColumn("reader", F.lit(name)) for name, groups in readers.items()]
     return reduce(DataFrame.unionByName, frames)
@@ -207,7 +209,7 @@ READERS_SQL = "readers(reader) AS (VALUES ('engineer'), ('analyst'), ('guest'))"
 )
 def mask_text(spark, sf_dir):
     customers = mapping.customer_regions(spark, sf_dir).select("user_id", "region", "LCLid")
-    return _per_reader(READERS, lambda groups: security.mask_text(customers, ["LCLid"], groups))
+    return per_reader(READERS, lambda groups: security.mask_text(customers, ["LCLid"], groups))
 
 
 @query(
@@ -217,7 +219,7 @@ def mask_text(spark, sf_dir):
 )
 def mask_numeric(spark, sf_dir):
     orders = mapping.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return _per_reader(READERS, lambda groups: security.mask_numeric(orders, ["o_totalprice"], groups))
+    return per_reader(READERS, lambda groups: security.mask_numeric(orders, ["o_totalprice"], groups))
 
 
 TEAMS = {"north": {"north_team"}, "south": {"south_team"}, "both": {"north_team", "south_team"}, "other": set()}
@@ -240,4 +242,4 @@ def row_filter_region(spark, sf_dir):
         .otherwise(region)
     )
     customers = mapping.customer_regions(spark, sf_dir).select("LCLid", half.alias("region"))
-    return _per_reader(TEAMS, lambda groups: security.filter_region(customers, groups))
+    return per_reader(TEAMS, lambda groups: security.filter_region(customers, groups))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from meterlake.operators import marts, rating, security
 from meterlake.plans import mapping, silver
 from meterlake.queries.facts import consumption, consumption_and_schedule
-from meterlake.queries.guards import READERS, READERS_SQL, _per_reader
+from meterlake.queries.guards import READERS, READERS_SQL, per_reader
 from meterlake.queries.registry import BILLING, CONSUMPTION, FACT_WEATHER, query, r6
 from meterlake.sources.staging import stage
 
@@ -72,7 +72,7 @@ def revenue_summary(spark, sf_dir):
 )
 def secure_revenue(spark, sf_dir):
     revenue = stage(rounded(marts.revenue_summary(billing(spark, sf_dir)), *REVENUE_MEASURES), "revenue")
-    return _per_reader(READERS, lambda groups: security.secure_revenue(revenue, groups))
+    return per_reader(READERS, lambda groups: security.secure_revenue(revenue, groups))
 
 
 @query(

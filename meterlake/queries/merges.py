@@ -5,10 +5,14 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from meterlake.functions.scalars import api_start, literal_of
 from meterlake.operators import audit, drift, merge, scd
+from meterlake.operators.lookups import lookup_join
 from meterlake.plans import mapping
 from meterlake.queries.registry import CUSTOMER_REGIONS, query
+from meterlake.sources.staging import stage_path
 
 # Stored orders: the closed ones.  Delivered orders: every order with lines, re-priced from them.
 CLOSED_SQL = "closed AS (SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'O')"
@@ -68,8 +72,6 @@ GAPPY_SQL = f"""{CUSTOMER_REGIONS}, facts AS (
 
 def gappy_facts(spark, sf_dir):
     """Orders whose region is known only for finished ones."""
-    from meterlake.operators.lookups import lookup_join
-
     places = mapping.customer_regions(spark, sf_dir).select(F.col("user_id").alias("o_custkey"), "region")
     customers = mapping.table(spark, sf_dir, "customer")
     facts = lookup_join(mapping.table(spark, sf_dir, "orders"), places, "o_custkey", sized_by=customers)
@@ -178,19 +180,15 @@ def watermark(spark, sf_dir):
       FROM events, wm WHERE ts >= date_trunc('hour', w)""",
 )
 def incremental_extract(spark, sf_dir):
-    from meterlake.functions.scalars import api_start
-
     high = audit.watermark(snapshots(spark, sf_dir)).first()[0]
     fresh = audit.since(mapping.table(spark, sf_dir, "events"), "ts", high, "hour")
-    start = api_start(F.lit(high).cast("timestamp_ntz"), "hour").alias("start_param")
+    start = api_start(literal_of(high, T.TimestampNTZType()), "hour").alias("start_param")
     return fresh.select("event_id", "ts", "user_id", "event_type", "value", start)
 
 
 @query("lineage_snapshot")
 def lineage_snapshot(spark, sf_dir):
     """Save the sample's order and event totals as catalog tables, then snapshot the catalog."""
-    from meterlake.sources.staging import stage_path
-
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS sample_gold LOCATION '{stage_path(spark, 'sample_gold')}'")
     for name, key in (("orders", "o_orderpriority"), ("events", "event_type")):
         totals = mapping.table(spark, sf_dir, name).groupBy(key).count()

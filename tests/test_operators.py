@@ -413,6 +413,19 @@ def test_watermark_falls_back_and_bounds_the_extract(spark):
     assert audit.since(df, "ts", None).count() == 2
 
 
+def test_fetched_times_keep_their_wall_clock(spark):
+    runs = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-02 06:30:00.123456' AS ts")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        high = runs.first()[0]
+        assert audit.since(runs, "ts", high, "hour").count() == 1
+        assert audit.since(runs, "ts", high.replace(hour=7), "hour").count() == 0
+        literal = scalars.literal_of(high, runs.schema["ts"].dataType)
+        assert runs.filter(F.col("ts") == literal).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_masks_and_row_filter(spark):
     df = spark.createDataFrame([("C1", 1.0, "NORTH"), (None, 2.0, "SOUTH"), ("C3", 3.0, None)], "id string, v double, region string")
     assert rows(security.mask_text(df, ["id"], {"x"}).select("id")) == [("********",)] * 3
