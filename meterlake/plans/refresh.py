@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from meterlake.functions.scalars import safe_timestamp
 from meterlake.operators import audit, marts, rating
 from meterlake.operators.drift import annotate_drift
+from meterlake.operators.lookups import lookup_join
 from meterlake.operators.quality import annotate_checks
 from meterlake.operators.tables import Lake
 from meterlake.plans import bronze, silver
@@ -115,8 +116,19 @@ def land_tables(lake: Lake, raw: RawInputs) -> dict[str, DataFrame]:
     return batches | load_all(lake, derived)
 
 
+def not_older(readings: DataFrame, meters: DataFrame | None) -> DataFrame:
+    """Readings at or after the one the meter dimension holds: a late delivery must not bring old attributes back."""
+    if meters is None:
+        return readings
+    held = meters.select("LCLid", F.col("DateTime").alias("__held"))
+    dated = lookup_join(readings, held, "LCLid")
+    current = F.col("__held").isNull() | (F.col("DateTime") >= F.col("__held"))
+    return dated.filter(current).select(*readings.columns)
+
+
 def build_dimensions(lake: Lake, fresh_readings: DataFrame) -> None:
     """Dimensions: members seen in this refresh are merged, all others keep their rows and keys."""
+    fresh_readings = not_older(fresh_readings, lake.read_or_none("silver.dim_meter"))
     tariff = lake.read("bronze.bronze_tariff")
     customers, meters = side_by_side(
         [

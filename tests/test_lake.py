@@ -12,7 +12,7 @@ from meterlake.operators.tables import SCHEMAS, Lake
 from meterlake.plans import bronze
 from meterlake.plans.contracts import CONTRACTS
 from meterlake.plans.layout import LAYOUTS
-from meterlake.plans.refresh import FAILURE_LOG, LINEAGE, RawInputs, load, refresh
+from meterlake.plans.refresh import FAILURE_LOG, LINEAGE, RawInputs, load, not_older, refresh
 from meterlake.sources import calendar, landing, payloads, readers
 from meterlake.streaming.ingest import ingest_readings
 
@@ -93,6 +93,14 @@ def test_a_load_evaluates_its_transformation_once(spark, lake):
         assert seen.value == expected
 
 
+def test_late_readings_do_not_bring_old_attributes_back(spark):
+    ddl = "LCLid string, DateTime string, stdorToU string"
+    late = frame(spark, [("A", "2024-01-01", "Std"), ("B", "2024-01-05", "ToU"), ("N", "2024-01-01", "Std")], ddl)
+    held = frame(spark, [("A", "2024-01-03"), ("B", "2024-01-03")], "LCLid string, DateTime string")
+    assert rows(not_older(late, held)) == [("B", "2024-01-05", "ToU"), ("N", "2024-01-01", "Std")]
+    assert not_older(late, None) is late
+
+
 # --- the whole refresh --------------------------------------------------------------------------------------------
 
 
