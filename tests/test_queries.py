@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from meterlake import queries as registered
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")
@@ -26,7 +27,7 @@ def ordered(columns, rows):
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registered.queries()))
 def test_query_matches_sql(spark, con, name):
     df = contract.queries()[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
