@@ -210,20 +210,24 @@ def _scan(shared):
     return scan
 
 
-@F.arrow_udf("array<bigint>")
-def _merged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def _merged(spans: Column) -> Column:
     """Union of spans given as flat [start, end) pairs."""
-    for spans in batches:
-        out = []
-        for flat in spans.to_pylist():
-            joined: list[int] = []
-            for start, end in sorted(zip(flat[::2], flat[1::2])):
-                if joined and start <= joined[-1]:
-                    joined[-1] = max(joined[-1], end)
-                else:
-                    joined += [start, end]
-            out.append(joined)
-        yield pa.array(out, pa.list_(pa.int64()))
+
+    @F.arrow_udf("array<bigint>")
+    def union(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for each in batches:
+            out = []
+            for flat in each.to_pylist():
+                joined: list[int] = []
+                for start, end in sorted(zip(flat[::2], flat[1::2])):
+                    if joined and start <= joined[-1]:
+                        joined[-1] = max(joined[-1], end)
+                    else:
+                        joined += [start, end]
+                out.append(joined)
+            yield pa.array(out, pa.list_(pa.int64()))
+
+    return union(spans)
 
 
 def find_benchmark(

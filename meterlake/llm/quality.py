@@ -63,12 +63,17 @@ def _text_bins(part: Slice) -> np.ndarray:
     return np.clip(np.column_stack(bins), 0, BINS - 1).astype(np.int32)
 
 
-@F.arrow_udf("array<int>")
-def text_codes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for texts in batches:
-        bins = [_text_bins(p) for p in slices(texts)]
-        table = np.concatenate(bins) if bins else np.zeros((0, TEXT_FEATURES), np.int32)
-        yield pa.array(list(table + np.arange(TEXT_FEATURES, dtype=np.int32) * BINS), pa.list_(pa.int32()))
+def text_codes(text: Column | str) -> Column:
+    """One code per text feature: which feature, and the bin of its value."""
+
+    @F.arrow_udf("array<int>")
+    def codes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            bins = [_text_bins(p) for p in slices(texts)]
+            table = np.concatenate(bins) if bins else np.zeros((0, TEXT_FEATURES), np.int32)
+            yield pa.array(list(table + np.arange(TEXT_FEATURES, dtype=np.int32) * BINS), pa.list_(pa.int32()))
+
+    return codes(text)
 
 
 def _meta_codes(text: str, source: str, lang: str) -> Column:

@@ -71,10 +71,10 @@ def _of_strings(strings: set[str]) -> object:
     """What a text holds that has one of these strings, in lower case, as UTF-8."""
 
     def grams(s: str) -> object:
-        b = s.lower().encode()
+        b = s.encode()
         return _both([b[i : i + 3] for i in range(len(b) - 2)])
 
-    return _either([grams(s) for s in sorted(strings)])
+    return _either([grams(s) for s in sorted(map(str.lower, strings))])
 
 
 def _alternatives(node: tuple) -> set[str] | None:

@@ -1,0 +1,51 @@
+"""Registered queries on the smallest sample: their SQL, or held-out accuracy."""
+
+import os
+
+import pytest
+
+pytest.importorskip("meterlake.llm")
+duckdb = pytest.importorskip("duckdb")
+
+import __spark_entry__ as contract  # noqa: E402
+from meterlake.llm import queries as registered  # noqa: E402
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables not present")
+
+
+@pytest.fixture(scope="module")
+def con():
+    connection = duckdb.connect()
+    for table in ("documents", "benchmark", "embeddings", "labels"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_DIR}/{table}.parquet')")
+    return connection
+
+
+def test_all_are_registered():
+    numbers = {int(name[2:].split("_")[0]) for name in registered.queries()}
+    assert numbers == set(range(1, 11)) and "pipeline" in contract.queries()
+
+
+@pytest.mark.parametrize("name", sorted(registered.queries()))
+def test_query(spark, con, name):
+    df = registered.queries()[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
+    if name.startswith(("op1_", "op6_")):
+        assert "Python" not in plan and "Arrow" not in plan
+    rows = df.collect()
+    if sql := registered.oracle_sql().get(name):
+        result = con.execute(sql)
+        columns = [d[0] for d in result.description]
+        assert sorted(columns) == sorted(df.columns)
+        assert sorted(tuple(r[c] for c in columns) for r in rows) == sorted(result.fetchall())
+    elif name != "op7_exact_top_k":
+        assert len(rows) == con.execute("SELECT count(*) FROM documents").fetchone()[0]
+
+
+def test_pipeline(spark, con):
+    rows = contract.queries()["pipeline"](spark, SF_DIR).collect()
+    total = con.execute("SELECT count(*) FROM documents").fetchone()[0]
+    assert 0.5 * total < len(rows) < total
+    assert all(r.taken <= 2 * r.size for r in rows)
