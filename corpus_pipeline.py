@@ -7,12 +7,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm.decontaminate import find_benchmark, n_hit
 from meterlake.llm.mixing import mix_sources
-from meterlake.llm.ngram_join import near_duplicates
+from meterlake.llm.ngram_join import near_duplicates, sets_of
 from meterlake.llm.quality import score_quality
 from meterlake.llm.secrets import redacted, secret_spans
 from meterlake.sources.staging import stage, stage_path
@@ -34,13 +34,15 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     copies of anything and stay.
     """
     found = near_duplicates(docs).where("ref IS NOT NULL")
-    found = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "ref")).alias("first"), F.count(F.lit(1)).alias("copies"))
-    first = stage(found.select(F.col("first.doc_id").alias("kept_id"), F.lit(True).alias("kept")), "kept")
-    # The kept ids of documents with words; repeated rows of one id are cut to one below.
-    empty = F.coalesce(F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")), F.lit("")) == ""
-    marked = docs.join(first, F.expr("doc_id <=> kept_id"), "left").where(F.col("kept") | empty)
-    nth = F.row_number().over(Window.partitionBy("doc_id", F.when(empty, F.uuid())).orderBy("text"))
-    return marked.withColumn("_nth", nth).where(F.col("_nth") == 1).select(*docs.columns)
+    per_row = found.groupBy("component_id", "doc_id", "ref").agg(F.count(F.lit(1)).alias("n"))
+    first = per_row.groupBy("component_id").agg(F.min(F.struct("doc_id", "ref", "n")).alias("first"))
+    first = stage(first.select(*(F.col(f"first.{c}").alias(f"_first_{c}") for c in ("doc_id", "ref", "n"))), "kept")
+    marked = docs.withColumn("_ref", sets_of("text")["ref"])
+    kept = marked.join(first.hint("shuffle_hash"), F.expr("doc_id <=> _first_doc_id AND _ref = _first_ref"))
+    once = kept.where("_first_n = 1").select(*docs.columns)
+    repeated = kept.where("_first_n > 1").groupBy("_first_doc_id", "_first_ref").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    wordless = marked.where("_ref IS NULL").select(*docs.columns)
+    return once.unionByName(repeated.select("row.*")).unionByName(wordless)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
