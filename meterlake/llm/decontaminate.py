@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.sharing import load, share
+from meterlake.llm.sharing import bound_batches, load, share
 from meterlake.llm.text import LETTER_DIGIT, rolling, slices, word_hashes, words
 from meterlake.sources.staging import stage
 
@@ -239,6 +239,7 @@ def find_benchmark(
     of a window is hit.  Items without id or text take no part; repeated items count once.  Null texts have no words.  Repeated
     documents are kept; a column of docs named leak is replaced.
     """
+    bound_batches(docs.sparkSession)
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text")).dropna()
     items = items.mapInArrow(_windows(window), "item string, window array<bigint>").distinct()
     context, columns = docs.sparkSession.sparkContext, []

@@ -30,11 +30,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.components import components
+from meterlake.llm.sharing import bound_batches
 from meterlake.llm.text import shingle_sets
 from meterlake.sources.staging import stage
 
-BUCKET_SHINGLES = 2_000_000  # shingles counted together in one task
-CHUNK_SHINGLES = 1_000_000  # shingles one map task holds before it sends them on
+BUCKET_SHINGLES = 1_000_000  # shingles counted together in one task
+CHUNK_SHINGLES = 500_000  # shingles one map task holds before it sends them on
+SENT_SHINGLES = 50_000  # shingles of whole sets that are sent on together
 
 
 def _least(n, percent: int):
@@ -60,22 +62,25 @@ def sets_of(text: Column | str, words: int = 5) -> Column:
     return summary(text)
 
 
-def _shingles_of(text: Column | str, words: int) -> Column:
-    @F.arrow_udf("struct<ref:bigint,shingles:array<bigint>>")
-    def whole_sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            found = [s for _, s in shingle_sets(texts, words)]
-            ends = np.cumsum([0, *map(len, found)])
-            flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-            yield pa.StructArray.from_arrays(
-                [
-                    pa.array([_set_value(s) if len(s) else None for s in found], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
-                ],
-                ["ref", "shingles"],
-            )
+def _whole_sets(words: int):
+    """text, ref -> ref, n, shingles of the texts whose set has this value; sent on slice by slice."""
 
-    return whole_sets(text)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = batch.column(1).to_pylist()
+            held: list[np.ndarray] = []
+            for row, shingles in shingle_sets(batch.column(0), words):
+                if len(shingles) and _set_value(shingles) == wanted[row]:
+                    held.append(shingles)
+                if row + 1 == batch.num_rows or sum(map(len, held)) > SENT_SHINGLES:
+                    sizes = [len(s) for s in held]
+                    flat = np.concatenate([*held, np.zeros(0, np.uint64)]).view(np.int64)
+                    lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(flat))
+                    refs = pa.array([_set_value(s) for s in held], pa.int64())
+                    yield pa.RecordBatch.from_arrays([refs, pa.array(sizes, pa.int64()), lists], ["ref", "n", "shingles"])
+                    held = []
+
+    return whole
 
 
 def _prefix(n: int, percent: int) -> tuple[int, int]:
@@ -279,6 +284,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     linked with nothing, its ref is null and its component is itself.  Repeated rows are kept, one row each; a null doc_id
     counts as no id and gets the smallest id of its component.  Other columns play no part.  percent: 1 to 100.
     """
+    bound_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     base = stage(docs.select("doc_id", sets_of("text", words).alias("s")).select("doc_id", "s.n", "s.ref"), "sets")
     classes = base.where("ref IS NOT NULL").groupBy("ref").agg(F.min("doc_id").alias("least_id"), F.first("n").alias("n"))
@@ -286,13 +292,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kept = stage(classes.join(_screened(docs, "text", words, percent, total), "ref", "left_semi"), "screened")
     # Whole sets of the classes left: only they are shuffled, one document of each class.
     wanted = kept.select(F.col("least_id").alias("wanted_id"), F.col("ref").alias("wanted_ref")).hint("shuffle_hash")
-    sets = (
-        docs.join(wanted, F.expr("doc_id <=> wanted_id"))
-        .select("wanted_ref", _shingles_of("text", words).alias("s"))
-        .where("wanted_ref = s.ref")
-        .select(F.col("s.ref").alias("ref"), F.size("s.shingles").cast("bigint").alias("n"), F.col("s.shingles").alias("shingles"))
-        .dropDuplicates(["ref"])
-    )
+    sets = docs.join(wanted, F.expr("doc_id <=> wanted_id")).select("text", "wanted_ref")
+    sets = sets.mapInArrow(_whole_sets(words), "ref bigint, n bigint, shingles array<bigint>").dropDuplicates(["ref"])
     sets = stage(sets, "shingles")
     label = components(_links(sets, percent))
     label = label.select(F.col("node").alias("ref"), "component")

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.labelled import held_out, logistic, training_labels
+from meterlake.llm.sharing import bound_batches
 from meterlake.llm.text import NOT_SPACE, Slice, mix, slices, word_hashes, words
 from meterlake.sources.staging import stage
 
@@ -71,7 +72,8 @@ def text_codes(text: Column | str) -> Column:
         for texts in batches:
             bins = [_text_bins(p) for p in slices(texts)]
             table = np.concatenate(bins) if bins else np.zeros((0, TEXT_FEATURES), np.int32)
-            yield pa.array(list(table + np.arange(TEXT_FEATURES, dtype=np.int32) * BINS), pa.list_(pa.int32()))
+            flat = pa.array((table + np.arange(TEXT_FEATURES, dtype=np.int32) * BINS).ravel())
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(table) + 1, dtype=np.int32) * TEXT_FEATURES), flat)
 
     return codes(text)
 
@@ -118,6 +120,7 @@ def score_quality(
     repeated rows and null ids are scored like any other.  Without labels of both classes the score is the smoothed share of
     label 1 (0.5 if there is no label).  A column of docs named quality_score is replaced.
     """
+    bound_batches(docs.sparkSession)
     known = training_labels(labels, label, sample_rows, doc_id)
     codes = docs.select(
         F.col(doc_id).alias("id"), text_codes(text).alias("t"), _meta_codes(text, source, lang).alias("m")

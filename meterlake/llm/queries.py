@@ -15,6 +15,7 @@ from meterlake.llm.mixing import mix_sources
 from meterlake.llm.ngram_join import near_duplicates
 from meterlake.llm.quality import score_quality
 from meterlake.llm.secrets import RULES, secret_spans
+from meterlake.llm.sharing import bound_batches
 from meterlake.llm.token_counts import token_counts
 from meterlake.llm.topk import top_k
 
@@ -24,6 +25,7 @@ KEEP_FROM = 0.5
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 STEP_BYTES = 1 << 17
 
 # The two word definitions of the contracts, as tables over bytes.  Bytes from 0x80 on belong to letters beyond ASCII.
