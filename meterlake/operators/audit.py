@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,14 +58,16 @@ def watermark(snapshots: DataFrame, columns: tuple[str, ...] = WATERMARK_COLUMNS
     return None
 
 
-def loads_since(df: DataFrame, high_water: datetime | None, margin: timedelta = timedelta(days=1)) -> DataFrame:
-    """Landed loads from the last run on, a margin earlier to be safe; all on the first run.
+def new_loads(df: DataFrame, recorded: DataFrame | None, root: str) -> tuple[DataFrame, list[str]]:
+    """Landed loads of a root that no earlier run recorded, whatever their time, and their ids.
 
-    Load ids sort like their times and are partition folders, so older loads are not even listed for reading.
+    Ids are partition folders: their list is one value per landed load, and the loads already read are not scanned.
     """
-    if high_water is None:
-        return df
-    return df.filter(F.col("_load_id") >= (high_water - margin).strftime("%Y%m%d_%H%M%S"))
+    ids = df.select("_load_id").distinct()
+    if recorded is not None:
+        ids = ids.join(recorded.where(F.col("root") == root).select("_load_id"), "_load_id", "left_anti")
+    names = [row[0] for row in ids.collect()]
+    return df.filter(F.col("_load_id").isin(*names)) if names else df.limit(0), names
 
 
 def since(df: DataFrame, ts_col: str, high_water: datetime | None, unit: str = "hour") -> DataFrame:

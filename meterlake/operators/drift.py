@@ -2,23 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.sources.readers import type_map
 
 
+# The texts of the two kinds of drift.
+DRIFT_TEXTS = {"new": "{name} (new column)", "retyped": "{name} (type changed: {want} -> {have})"}
+
+
+def column_status(actual: dict[str, str], expected: dict[str, str], words: tuple[str, str, str, str]) -> list[tuple]:
+    """(column, expected type, actual type, status) of each column of either side, the actual side's first.
+
+    words: the status of a column only in actual, only in expected, of another type, and equal.
+    """
+    surplus, lacking, differs, equal = words
+    both = dict.fromkeys([*actual, *expected])
+    types = [(name, expected.get(name), actual.get(name)) for name in both]
+    return [
+        (name, want, have, surplus if want is None else lacking if have is None else equal if want == have else differs)
+        for name, want, have in types
+    ]
+
+
 def drifted_columns(source: DataFrame, target: DataFrame | None) -> list[str]:
     """Texts for new and retyped source columns in source order; a missing target or a removed column is no drift."""
-    known = type_map(target) if target is not None else {}
-    found = []
-    for name, kind in type_map(source).items():
-        if known and name not in known:
-            found.append(f"{name} (new column)")
-        elif known and known[name] != kind:
-            found.append(f"{name} (type changed: {known[name]} -> {kind})")
-    return found
+    if target is None or not target.columns:
+        return []
+    rows = column_status(type_map(source), type_map(target), ("new", "removed", "retyped", "same"))
+    return [DRIFT_TEXTS[status].format(name=n, want=w, have=h) for n, w, h, status in rows if status in DRIFT_TEXTS]
 
 
 def annotate_drift(source: DataFrame, target: DataFrame | None) -> DataFrame:
@@ -29,12 +43,6 @@ def annotate_drift(source: DataFrame, target: DataFrame | None) -> DataFrame:
     )
 
 
-def add_schema_drift_metadata(spark: SparkSession, dataframe: DataFrame, target_table: str) -> DataFrame:
-    """`annotate_drift` against a catalog table that may not exist yet."""
-    target = spark.table(target_table) if spark.catalog.tableExists(target_table) else None
-    return annotate_drift(dataframe, target)
-
-
 def drift_report(source: DataFrame, target: DataFrame) -> DataFrame:
     """One row per column of either side with its status: same, new, retyped or removed."""
     return compare_schemas(type_map(source), type_map(target), source.sparkSession, "new", "removed", "retyped", "same")
@@ -48,11 +56,7 @@ def check_contract(df: DataFrame, contract: T.StructType | str) -> DataFrame:
 
 
 def compare_schemas(actual, expected, spark, only_actual, only_expected, differs, equal) -> DataFrame:
-    rows = []
-    for name in [*actual, *[n for n in expected if n not in actual]]:
-        have, want = actual.get(name), expected.get(name)
-        status = only_actual if want is None else only_expected if have is None else equal if have == want else differs
-        rows.append((name, want, have, status))
+    rows = column_status(actual, expected, (only_actual, only_expected, differs, equal))
     return spark.createDataFrame(rows, "column_name string, expected string, actual string, status string")
 
 
@@ -70,6 +74,26 @@ def empty_from_contract(spark: SparkSession, contract: T.StructType | str) -> Da
     return spark.createDataFrame([], contract)
 
 
+def conform_types(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Cast source columns to the types the target holds; raises if a value would change or be lost.
+
+    The check is one aggregation over the retyped columns only, made before anything is written.
+    """
+    held = {f.name: f.dataType for f in target.schema.fields}
+    retyped = [f for f in source.schema.fields if f.name in held and held[f.name] != f.dataType]
+    if not retyped:
+        return source
+    cast = {f.name: F.col(f"`{f.name}`").try_cast(held[f.name]) for f in retyped}
+
+    def kept(f: T.StructField) -> Column:
+        return F.col(f"`{f.name}`").isNull() | F.coalesce(cast[f.name].try_cast(f.dataType) == F.col(f"`{f.name}`"), F.lit(False))
+
+    lost = source.agg(*(F.count_if(~kept(f)).alias(f.name) for f in retyped)).first().asDict()
+    if any(lost.values()):
+        raise TypeError("values do not fit the types of the table: " + ", ".join(f"{c} ({n} rows)" for c, n in lost.items() if n))
+    return source.withColumns(cast)
+
+
 def align_schemas(source: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Give both sides all columns: each side's missing ones become typed NULLs."""
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.operators import merge
-from meterlake.operators.drift import align_schemas, empty_from_contract
+from meterlake.operators.drift import align_schemas, conform_types, empty_from_contract
 from meterlake.sources.staging import stage
 
 SCHEMAS = ("bronze", "silver", "gold", "audit")
@@ -73,6 +73,7 @@ class Lake:
                 return
             self.add_missing_columns(table, df)
             columns = self.read(table).columns
+            df = conform_types(df, self.read(table))
             align_schemas(df, self.read(table))[0].select(*columns).write.insertInto(table)
 
     def add_missing_columns(self, table: str, df: DataFrame) -> None:
@@ -100,6 +101,7 @@ class Lake:
     ) -> None:
         """Create the table or merge ``source`` into it; new source columns widen the table.
 
+        The table's types stay: values that fit are cast, others raise before anything is written.
         In a partitioned table the partition follows from the key, so only the partitions the source has rows in can
         change; the others are neither read nor written.
         """
@@ -107,6 +109,7 @@ class Lake:
             # As in a merge, the first load holds one row per key.
             self.create(table, merge.one_per_key(source, keys, order_by, unique), partition_by)
             return
+        source = conform_types(source, self.read(table))
         self.add_missing_columns(table, source)
         target = self.read(table)
         source, _ = align_schemas(source, target)
@@ -142,6 +145,7 @@ class Lake:
         if not self.exists(table):
             self.create(table, merge.one_per_key(source, keys, options.get("order_by"), options.get("unique", False)))
         else:
+            source = conform_types(source, self.read(table))
             self.append(table, stage(merge.insert_missing(self.read(table), source, keys, **options), "inserts"))
 
     def backfill(self, table: str, lookup: DataFrame, key: str, column: str) -> bool:

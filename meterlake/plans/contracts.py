@@ -13,6 +13,7 @@ FILE_COLUMNS = (
     "source_file STRING, source_file_name STRING, source_file_size BIGINT, source_file_modification_time TIMESTAMP"
 )
 
+# The declared tables, their columns and types.
 CONTRACTS = {
     "bronze.bronze_eia": "period STRING, respondent STRING, `respondent-name` STRING, type STRING, `type-name` STRING, "
     "value STRING, `value-units` STRING, _source_system STRING, _load_id STRING, _ingestion_ts TIMESTAMP, "

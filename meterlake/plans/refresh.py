@@ -28,6 +28,7 @@ from meterlake.sources.staging import side_by_side, stage
 
 FAILURE_LOG = "silver.dq_failures"
 LINEAGE = "audit.pipeline_lineage"
+LOADS = "audit.landed_loads"
 UNDATED = date(1900, 1, 1)
 TABLES_AT_ONCE = 4
 
@@ -36,7 +37,7 @@ TABLES_AT_ONCE = 4
 class RawInputs:
     """Where raw data lands: a CSV glob of readings and the roots of landed Parquet loads.
 
-    Of weather and demand only loads since the last run are read.  Give the glob of the new reading files, or use the
+    Of weather and demand the loads that no run has recorded are read, whatever their time.  Give the glob of the new reading files, or use the
     streaming ingestion, which remembers the files it has seen; repeated files do no harm.
     """
 
@@ -86,14 +87,13 @@ def dated_readings(raw: DataFrame) -> DataFrame:
     return bronze.bronze_readings(raw).withColumn("reading_date", day)
 
 
-def land_tables(lake: Lake, raw: RawInputs) -> dict[str, DataFrame]:
-    """The bronze layer; returns the batch of each table."""
+def land_tables(lake: Lake, raw: RawInputs) -> tuple[dict[str, DataFrame], list[tuple[str, str]]]:
+    """The bronze layer; returns the batch of each table, and the (root, id) of the loads it read."""
     spark = lake.spark
     readings = readers.scan_csv(spark, raw.readings_csv, bronze.RAW_READING_COLUMNS, bronze.READING_RENAMES)
-    runs = lake.read_or_none(LINEAGE)
-    last_run = audit.watermark(runs).first()[0] if runs is not None else None
-    weather, demand = (
-        audit.loads_since(landing.read_landed(spark, root, provenance=True), last_run)
+    recorded = lake.read_or_none(LOADS)
+    (weather, weather_loads), (demand, demand_loads) = (
+        audit.new_loads(landing.read_landed(spark, root, provenance=True), recorded, root)
         for root in (raw.weather, raw.demand)
     )
     tariff_schema = T.StructType.fromDDL("TariffDateTime TIMESTAMP_NTZ, Tariff STRING")
@@ -113,7 +113,8 @@ def land_tables(lake: Lake, raw: RawInputs) -> dict[str, DataFrame]:
         "bronze.bronze_feeder_readings": bronze.bronze_feeder_readings(fresh),
         "bronze.bronze_meter_events": bronze.bronze_meter_events(fresh),
     }
-    return batches | load_all(lake, derived)
+    loads = [(raw.weather, i) for i in weather_loads] + [(raw.demand, i) for i in demand_loads]
+    return batches | load_all(lake, derived), loads
 
 
 def not_older(readings: DataFrame, meters: DataFrame | None) -> DataFrame:
@@ -122,12 +123,39 @@ def not_older(readings: DataFrame, meters: DataFrame | None) -> DataFrame:
         return readings
     held = meters.select("LCLid", F.col("DateTime").alias("__held"))
     dated = lookup_join(readings, held, "LCLid")
-    current = F.col("__held").isNull() | (F.col("DateTime") >= F.col("__held"))
+    current = F.col("__held").isNull() | (safe_timestamp("DateTime") >= safe_timestamp("__held"))
     return dated.filter(current).select(*readings.columns)
 
 
-def build_dimensions(lake: Lake, fresh_readings: DataFrame) -> None:
-    """Dimensions: members seen in this refresh are merged, all others keep their rows and keys."""
+def changed_months(lake: Lake, schedule: DataFrame, customers: DataFrame) -> set[int]:
+    """Months whose bills and marts a changed schedule or changed customers reach; to be asked before these are merged.
+
+    One number per calendar month comes back, whatever the number of half hours and customers.
+    """
+    if not lake.exists("silver.fact_consumption"):
+        return set()
+    facts, months = lake.read("silver.fact_consumption"), set()
+    held = lake.read_or_none("silver.tariff_schedule")
+    if held is not None:
+        same = schedule["tariff_half_hour"].eqNullSafe(held["tariff_half_hour"]) & schedule["rate_per_kwh"].eqNullSafe(held["rate_per_kwh"])
+        moved = schedule.join(held, same, "left_anti")
+        month = F.year("tariff_half_hour") * 100 + F.month("tariff_half_hour")
+        months |= {row[0] for row in moved.select(month).distinct().collect()}
+    held = lake.read_or_none("silver.dim_customer")
+    if held is not None:
+        attributes = ["customer_key", "customer_type", "tariff_id", "region"]
+        before, now = held.select(*attributes), customers.select(*attributes)
+        known = now.join(before.select("customer_key"), "customer_key", "left_semi")
+        moved = known.exceptAll(before).select("customer_key").distinct()
+        months |= {row[0] for row in facts.join(moved, "customer_key", "left_semi").select(_month_of("date_key")).distinct().collect()}
+    return {int(m) for m in months if m is not None}
+
+
+def build_dimensions(lake: Lake, fresh_readings: DataFrame) -> set[int]:
+    """Dimensions: members seen in this refresh are merged, all others keep their rows and keys.
+
+    Returns the months of earlier facts that the changes reach.
+    """
     fresh_readings = not_older(fresh_readings, lake.read_or_none("silver.dim_meter"))
     tariff = lake.read("bronze.bronze_tariff")
     customers, meters = side_by_side(
@@ -144,11 +172,13 @@ def build_dimensions(lake: Lake, fresh_readings: DataFrame) -> None:
     }
     if not lake.exists("silver.dim_date"):
         frames["silver.dim_date"] = calendar.date_dimension(lake.spark)
+    reached = changed_months(lake, frames["silver.tariff_schedule"], customers)
     load_all(lake, frames)
+    return reached
 
 
-def build_facts(lake: Lake, fresh: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Facts from this refresh's bronze batches, then the bills of every month they touch."""
+def build_facts(lake: Lake, fresh: dict[str, DataFrame], reached: set[int] = frozenset()) -> dict[str, DataFrame]:
+    """Facts from this refresh's bronze batches, then the bills of every month that they or changed dimensions touch."""
     customers, meters = lake.read("silver.dim_customer"), lake.read("silver.dim_meter")
     built = {
         "silver.fact_consumption": silver.fact_consumption(
@@ -161,23 +191,24 @@ def build_facts(lake: Lake, fresh: dict[str, DataFrame]) -> dict[str, DataFrame]
     }
     batches = load_all(lake, built)
     consumption = lake.read("silver.fact_consumption")
-    touched = {d // 100 for d in _members("date_key", batches["silver.fact_consumption"])}
+    touched = {d // 100 for d in _members("date_key", batches["silver.fact_consumption"])} | reached
     months = consumption.filter(_month_of("date_key").isin(*touched)) if touched else consumption.limit(0)
     bills = rating.bill(months, customers, meters, lake.read("silver.tariff_schedule"))
     batches["silver.fact_billing"] = load(lake, "silver.fact_billing", bills)
     return batches
 
 
-def build_marts(lake: Lake, fresh: dict[str, DataFrame]) -> None:
-    """Gold marts of the touched days and months."""
+def build_marts(lake: Lake, fresh: dict[str, DataFrame], reached: set[int] = frozenset()) -> None:
+    """Gold marts of the touched days and months; changed dimensions reach revenue and theft of earlier months."""
     days = _members("date_key", fresh["silver.fact_consumption"])
     weather_days = _members("date_key", fresh["silver.fact_weather"])
     consumption, weather = lake.read("silver.fact_consumption"), lake.read("silver.fact_weather")
     bills, periods = lake.read("silver.fact_billing"), _members("billing_period", fresh["silver.fact_billing"])
     frames = {}
     if days:
-        months = consumption.filter(_month_of("date_key").isin(*{d // 100 for d in days}))
         frames["gold.gold_peak_load"] = marts.peak_load(consumption.filter(F.col("date_key").isin(*days)))
+    if touched_months := {d // 100 for d in days} | reached:
+        months = consumption.filter(_month_of("date_key").isin(*touched_months))
         frames["gold.gold_theft_detection"] = marts.theft_detection(months, lake.read("silver.dim_customer"))
     if periods:
         touched = bills.filter(F.col("billing_period").isin(*periods))
@@ -191,7 +222,9 @@ def build_marts(lake: Lake, fresh: dict[str, DataFrame]) -> None:
 def refresh(lake: Lake, raw: RawInputs, run_id: str = "manual", started: datetime | None = None) -> None:
     """Land, build and audit everything once; safe to repeat with the same or overlapping input."""
     started = started or datetime.now()
-    landed = land_tables(lake, raw)
-    build_dimensions(lake, landed["bronze.bronze_meter_readings"])
-    build_marts(lake, build_facts(lake, landed))
+    landed, loads = land_tables(lake, raw)
+    reached = build_dimensions(lake, landed["bronze.bronze_meter_readings"])
+    build_marts(lake, build_facts(lake, landed, reached), reached)
+    if loads:  # recorded when all tables hold them: a run that dies earlier leaves its loads to the next one
+        lake.append(LOADS, lake.spark.createDataFrame(loads, "root string, _load_id string"))
     lake.append(LINEAGE, audit.lineage_snapshot(lake.spark, audit.LAYERS, run_id, started))

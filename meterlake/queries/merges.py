@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +14,7 @@ from meterlake.operators import audit, drift, merge, scd
 from meterlake.operators.lookups import lookup_join
 from meterlake.plans import mapping
 from meterlake.queries.registry import CUSTOMER_REGIONS, query
-from meterlake.sources.staging import stage_path
+from meterlake.sources.staging import stage, stage_path
 
 # Stored orders: the closed ones.  Delivered orders: every order with lines, re-priced from them.
 CLOSED_SQL = "closed AS (SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'O')"
@@ -186,12 +188,28 @@ def incremental_extract(spark, sf_dir):
     return fresh.select("event_id", "ts", "user_id", "event_type", "value", start)
 
 
-@query("lineage_snapshot")
+@query(
+    "lineage_snapshot",
+    """SELECT 'manual' AS run_id, 'sample_gold' AS table_schema, t AS table_name, 'EXTERNAL' AS table_type, n AS total_rows,
+             true AS ended_after_start
+      FROM (SELECT 'orders_totals' AS t, CAST(count(DISTINCT o_orderpriority) AS BIGINT) AS n FROM orders
+            UNION ALL SELECT 'events_totals', CAST(count(DISTINCT event_type) AS BIGINT) FROM events)""",
+)
 def lineage_snapshot(spark, sf_dir):
-    """Save the sample's order and event totals as catalog tables, then snapshot the catalog."""
+    """Save the sample's order and event totals as catalog tables, snapshot the catalog, and count the listed tables."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS sample_gold LOCATION '{stage_path(spark, 'sample_gold')}'")
     for name, key in (("orders", "o_orderpriority"), ("events", "event_type")):
-        totals = mapping.table(spark, sf_dir, name).groupBy(key).count()
+        totals = mapping.table(spark, sf_dir, name).where(F.col(key).isNotNull()).groupBy(key).count()
         path = stage_path(spark, name)
         totals.write.mode("overwrite").option("path", path).saveAsTable(f"sample_gold.{name}_totals")
-    return audit.lineage_snapshot(spark, ("sample_gold",), "manual", datetime(2024, 1, 31, 6, 0, 0))
+    found = stage(audit.lineage_snapshot(spark, ("sample_gold",), "manual", datetime(2024, 1, 31, 6, 0, 0)), "lineage")
+    names = [row.table_name for row in found.select("table_name").collect()]
+    counts = [
+        stage(spark.table(f"sample_gold.{n}").agg(F.count(F.lit(1)).alias("total_rows")), n).withColumn("table_name", F.lit(n))
+        for n in names
+    ]
+    spark.sql("DROP SCHEMA sample_gold CASCADE")
+    ended = (F.col("pipeline_end_ts") >= F.col("pipeline_start_ts")).alias("ended_after_start")
+    return found.join(reduce(DataFrame.unionByName, counts), "table_name").select(
+        "run_id", "table_schema", "table_name", "table_type", "total_rows", ended
+    )

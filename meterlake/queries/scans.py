@@ -69,7 +69,7 @@ def file_provenance(spark, sf_dir):
 @query(
     "dim_date",
     """WITH span AS (SELECT min(CAST(o_orderdate AS DATE)) AS a, max(CAST(o_orderdate AS DATE)) AS b FROM orders),
-    days AS (SELECT CAST(a + CAST(i AS INTEGER) AS DATE) AS d FROM span, range(0, 20000) AS t(i) WHERE a + CAST(i AS INTEGER) <= b),
+    days AS (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS d FROM span),
     n AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1)
     SELECT days.d AS full_date, CAST(strftime(days.d, '%Y%m%d') AS INTEGER) AS date_key,
       CAST(year(days.d) AS INTEGER) AS year, CAST(quarter(days.d) AS INTEGER) AS quarter,

@@ -56,23 +56,6 @@ def with_provenance(df: DataFrame) -> DataFrame:
     )
 
 
-def with_constant_provenance(df: DataFrame, path: str) -> DataFrame:
-    """Provenance of a source that is one named file without file metadata: size and time are typed NULLs."""
-    return df.withColumns(
-        {
-            "source_file": F.lit(path),
-            "source_file_name": F.lit(path.rsplit("/", 1)[-1]),
-            "source_file_size": F.lit(None).cast("bigint"),
-            "source_file_modification_time": F.lit(None).cast("timestamp"),
-        }
-    )
-
-
-def literal_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType | str | list[str]) -> DataFrame:
-    """A small in-code relation."""
-    return spark.createDataFrame(rows, schema)
-
-
 def scan_table(spark: SparkSession, name: str) -> DataFrame | None:
     """A catalog table, or None when it does not exist yet (first run)."""
     return spark.table(name) if spark.catalog.tableExists(name) else None

@@ -21,14 +21,16 @@ _local_fallback: dict[str, str] = {}
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder reachable by every executor, read from the session."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage")
     # Single-machine runs only: driver and executors are one process.
-    return _local_fallback.setdefault(context.applicationId, tempfile.mkdtemp(prefix="meterlake-"))
+    if context.applicationId not in _local_fallback:
+        _local_fallback[context.applicationId] = tempfile.mkdtemp(prefix="meterlake-")
+    return _local_fallback[context.applicationId]
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
