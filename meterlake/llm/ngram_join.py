@@ -36,6 +36,7 @@ from meterlake.sources.staging import stage
 
 BUCKET_SHINGLES = 1_000_000  # shingles counted together in one task
 CHUNK_SHINGLES = 500_000  # shingles one map task holds before it sends them on
+SCREENED_CLASSES = 50_000  # classes whose counts are put together in one task
 SENT_SHINGLES = 50_000  # shingles of whole sets that are sent on together
 
 
@@ -94,10 +95,10 @@ _SENT = pa.schema(
 )
 
 
-def _send_prefixes(words: int, percent: int, buckets: int):
+def _send_prefixes(words: int, percent: int, buckets: int, places: int):
     """Map side of the screen: prefix shingles by bucket; a shingle of several classes of the task goes without them.
 
-    Rows of bucket -1 hold each class, its need, and how many of its shingles were found repeated right here.
+    Rows of bucket -1 - p hold the classes of place p, their needs, and how many of their shingles were found repeated right here.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +130,9 @@ def _send_prefixes(words: int, percent: int, buckets: int):
         alone[order] = np.repeat(run == 1, run)
         here = np.bincount(owner[~alone], minlength=len(refs)).astype(np.int64)
         several = ordered[fresh][run > 1]
-        rows = [(-1, refs.tobytes(), here.tobytes(), needs.tobytes(), b"")]
+        rows = []
+        for p, mine in _by_place(refs, places):
+            rows.append((-1 - p, refs[mine].tobytes(), here[mine].tobytes(), needs[mine].tobytes(), b""))
         shingles, owner = shingles[alone], owner[alone]
         bucket = (shingles % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
@@ -149,56 +152,77 @@ def _send_prefixes(words: int, percent: int, buckets: int):
     return send
 
 
-def _count_bucket(table: pa.Table) -> pa.Table:
-    """Reduce side of the screen: for each class, the number of its shingles in this bucket that others hold too."""
-    columns = {name: table.column(name).to_pylist() for name in ("refs", "counts", "alone", "shared")}
-    refs = np.concatenate(
-        [np.repeat(np.frombuffer(r, np.int64), np.frombuffer(c, np.int32)) for r, c in zip(columns["refs"], columns["counts"])]
-    )
-    shingles = np.frombuffer(b"".join(columns["alone"]), np.uint64)
-    shared = np.unique(np.frombuffer(b"".join(columns["shared"]), np.uint64))
-    order = np.argsort(shingles, kind="stable")
-    shingles, refs = shingles[order], refs[order]
-    fresh = np.concatenate([[True], shingles[1:] != shingles[:-1]]) if len(shingles) else np.zeros(0, bool)
-    group = np.cumsum(fresh) - 1
-    starts = np.flatnonzero(fresh)
-    # Copies of one class may come from several tasks: a shingle is repeated if its smallest and largest class differ.
-    repeated = np.zeros(len(starts), bool)
-    if len(starts):
-        repeated = np.minimum.reduceat(refs, starts) != np.maximum.reduceat(refs, starts)
-        repeated |= np.isin(shingles[starts], shared, assume_unique=True)
-    keep = repeated[group] if len(starts) else np.zeros(0, bool)
-    kept, counts = np.unique(refs[keep], return_counts=True)
-    zero = np.zeros(len(kept), np.int64)
-    return pa.table({"ref": kept, "elsewhere": counts.astype(np.int64), "here": zero, "need": zero})
-
-
-_COUNTED = "ref bigint, elsewhere bigint, here bigint, need bigint"
-
-
-def _unpack_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for refs, here, need in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            arrays = [np.frombuffer(x, np.int64) for x in (refs, here, need)]
-            yield pa.RecordBatch.from_pydict(
-                {"ref": arrays[0], "elsewhere": np.zeros(len(arrays[0]), np.int64), "here": arrays[1], "need": arrays[2]}
-            )
+def _by_place(refs: np.ndarray, places: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Where classes are put together again: (place, rows of refs)."""
+    place = (refs.view(np.uint64) % np.uint64(places)).astype(np.int64)
+    order = np.argsort(place, kind="stable")
+    cuts = np.flatnonzero(np.diff(place[order])) + 1
+    for mine in np.split(order, cuts):
+        if len(mine):
+            yield int(place[mine[0]]), mine
+
 
+_COUNTED = "place int, refs binary, elsewhere binary, here binary, need binary"
 
-def _screened(docs: DataFrame, text: str, words: int, percent: int, shingles: int) -> DataFrame:
+
+def _count_bucket(places: int):
+    """Reduce side of the screen: for each class, the number of its shingles in this bucket that others hold too."""
+
+    def count(table: pa.Table) -> pa.Table:
+        columns = {name: table.column(name).to_pylist() for name in ("refs", "counts", "alone", "shared")}
+        owners = zip(columns["refs"], columns["counts"])
+        refs = np.concatenate([np.repeat(np.frombuffer(r, np.int64), np.frombuffer(c, np.int32)) for r, c in owners])
+        shingles = np.frombuffer(b"".join(columns["alone"]), np.uint64)
+        shared = np.unique(np.frombuffer(b"".join(columns["shared"]), np.uint64))
+        order = np.argsort(shingles, kind="stable")
+        shingles, refs = shingles[order], refs[order]
+        fresh = np.append(True, shingles[1:] != shingles[:-1]) if len(shingles) else np.zeros(0, bool)
+        starts = np.flatnonzero(fresh)
+        rows = []
+        if len(starts):
+            # Copies of one class may come from several tasks: a shingle is repeated if its least and largest class differ.
+            repeated = np.minimum.reduceat(refs, starts) != np.maximum.reduceat(refs, starts)
+            repeated |= np.isin(shingles[starts], shared, assume_unique=True)
+            kept, counts = np.unique(refs[repeated[np.cumsum(fresh) - 1]], return_counts=True)
+            for p, mine in _by_place(kept, places):
+                rows.append((p, kept[mine].tobytes(), counts[mine].astype(np.int64).tobytes(), b"", b""))
+        names = ["place", "refs", "elsewhere", "here", "need"]
+        kinds = [pa.int32(), *[pa.binary()] * 4]
+        return pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=names)
+
+    return count
+
+
+def _enough(table: pa.Table) -> pa.Table:
+    """The classes of one place that hold as many repeated shingles as a class with a partner does."""
+    refs, elsewhere, here, need = ([np.frombuffer(x, np.int64) for x in table.column(c).to_pylist()] for c in ("refs", "elsewhere", "here", "need"))
+    names, which = np.unique(np.concatenate(refs), return_inverse=True)
+    total, local, least = (np.zeros(len(names), np.int64) for _ in range(3))
+    at = 0
+    for r, e, h, n in zip(refs, elsewhere, here, need):
+        rows = which[at : at + len(r)]
+        if len(e):
+            np.add.at(total, rows, e)
+        else:
+            np.maximum.at(local, rows, h)
+            np.maximum.at(least, rows, n)
+        at += len(r)
+    return pa.table({"ref": names[total + local >= least]})
+
+
+def _screened(docs: DataFrame, text: str, words: int, percent: int, shingles: int, classes: int) -> DataFrame:
     """ref of every class that may have a partner."""
     buckets = max(12, -(-shingles * (100 - percent + 13) // 100 // BUCKET_SHINGLES))
-    sent = docs.select(text).mapInArrow(_send_prefixes(words, percent, buckets), _ddl(_SENT))
+    places = max(12, -(-classes // SCREENED_CLASSES))
+    sent = docs.select(text).mapInArrow(_send_prefixes(words, percent, buckets, places), _ddl(_SENT))
     # One scan feeds both sides: the packed rows are written once.
     sent = stage(sent, "prefixes")
-    counted = sent.where("bucket >= 0").groupBy("bucket").applyInArrow(_count_bucket, _COUNTED)
-    own = sent.where("bucket < 0").select("refs", "counts", "alone").mapInArrow(_unpack_classes, _COUNTED)
-    total = counted.unionByName(own).groupBy("ref")
-    return (
-        total.agg(F.sum("elsewhere").alias("elsewhere"), F.max("here").alias("here"), F.max("need").alias("need"))
-        .where("elsewhere + here >= need")
-        .select("ref")
+    counted = sent.where("bucket >= 0").groupBy("bucket").applyInArrow(_count_bucket(places), _COUNTED)
+    nothing = F.lit(b"")
+    own = sent.where("bucket < 0").select(
+        (-1 - F.col("bucket")).alias("place"), "refs", nothing.alias("elsewhere"), F.col("counts").alias("here"), F.col("alone").alias("need")
     )
+    return counted.unionByName(own).groupBy("place").applyInArrow(_enough, "ref bigint")
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -288,8 +312,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     base = stage(docs.select("doc_id", sets_of("text", words).alias("s")).select("doc_id", "s.n", "s.ref"), "sets")
     classes = base.where("ref IS NOT NULL").groupBy("ref").agg(F.min("doc_id").alias("least_id"), F.first("n").alias("n"))
-    total = base.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    kept = stage(classes.join(_screened(docs, "text", words, percent, total), "ref", "left_semi"), "screened")
+    shingles, rows = base.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("ref")).first()
+    screened = _screened(docs, "text", words, percent, shingles, rows)
+    kept = stage(classes.join(screened, "ref", "left_semi"), "screened")
     # Whole sets of the classes left: only they are shuffled, one document of each class.
     wanted = kept.select(F.col("least_id").alias("wanted_id"), F.col("ref").alias("wanted_ref")).hint("shuffle_hash")
     sets = docs.join(wanted, F.expr("doc_id <=> wanted_id")).select("text", "wanted_ref")
