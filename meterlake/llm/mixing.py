@@ -20,6 +20,7 @@ from meterlake.sources.staging import stage
 
 BLOCK_WORDS = 4096
 RANGE_ROWS = 20_000  # documents or slots ranked together in one task, about
+CHUNK_BLOCKS = 100_000  # blocks of a source listed together in one task
 CELLS = 1024  # grid over the cumulative shares
 # The golden ratio as a multiplier of a prime modulus; products stay within 63 bits.
 MODULUS = 2_147_483_647
@@ -57,7 +58,8 @@ def source_targets(sizes: DataFrame, weights: list[int], percent: int, most: int
         .withColumn("left", F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0)))
         .withColumn("weight_left", F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), F.lit(0)))
         .withColumn("fits", F.col("left") * F.col("w") <= F.col("cap") * F.col("weight_left"))
-        .withColumn("level", F.min(F.when(F.col("fits"), F.struct(F.col("cap") / F.col("w"), "source", "left", "weight_left"))).over(everything))
+        .withColumn("nth", F.row_number().over(full))
+        .withColumn("level", F.min(F.when(F.col("fits"), F.struct("nth", "left", "weight_left"))).over(everything))
     )
     target = F.when(
         F.col("level").isNull(), F.col("cap")
@@ -100,7 +102,11 @@ def schedule(sources: DataFrame, slots: int, block_words: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("source", "range").orderBy("slot")) - 1
     ranked = drawn.withColumn("rank", rank).join(before, F.expr("source = s AND range = q"))
     ranked = ranked.select("slot", "source", (F.col("rank") + F.col("offset")).alias("block"))
-    blocks = shares.select("source", F.explode(F.expr(f"sequence(0L, (goal - 1) div {block_words})")).alias("block"))
+    # Blocks of a source are dealt to tasks by chunks, so that no task or array holds all of a large source.
+    last = F.expr(f"(goal - 1) div {block_words}")
+    chunks = shares.select("source", last.alias("last"), F.explode(F.sequence(F.lit(0), F.floor(last / CHUNK_BLOCKS))).alias("chunk"))
+    ends = F.least("last", (F.col("chunk") + 1) * CHUNK_BLOCKS - 1)
+    blocks = chunks.repartition("source", "chunk").select("source", F.explode(F.sequence(F.col("chunk") * CHUNK_BLOCKS, ends)).alias("block"))
     return blocks.join(ranked, ["source", "block"], "left").select("slot", F.col("source.source").alias("source"), "block")
 
 
