@@ -25,6 +25,7 @@ from meterlake.sources.staging import stage
 
 SHINGLE = 3
 BLOCK_WINDOWS = 200_000  # windows broadcast at once: at most 100 bytes each
+STEP_CANDIDATES = 200_000  # places a window may begin at that are verified together
 _SIEVE_BITS = 20
 
 
@@ -159,6 +160,17 @@ def _by_rarity(block: _Block, docs: DataFrame, text: str) -> dict[int, tuple]:
     return out
 
 
+def _steps(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Cuts [lo, hi) of a list of sizes whose sums stay within STEP_CANDIDATES, or that hold one element."""
+    upto = np.cumsum(sizes)
+    lo = 0
+    while lo < len(sizes):
+        before = int(upto[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(upto, before + STEP_CANDIDATES, "right")))
+        yield lo, hi
+        lo = hi
+
+
 def _scan(shared):
     """Per text: number of words, hit words as flat [start, end) pairs, items found."""
 
@@ -174,12 +186,13 @@ def _scan(shared):
                 pairs = []
                 for k, (lookup, order, bounds, place) in index.items():
                     at, row = lookup.find(rolling(hashes, k))
-                    # One candidate for each window under the token, by steps of bounded size.
-                    for lo in range(0, len(at), 50_000):
-                        each = bounds[row[lo : lo + 50_000] + 1] - bounds[row[lo : lo + 50_000]]
-                        at_each = np.repeat(at[lo : lo + 50_000], each)
+                    # One candidate for each window under the token, by steps of a bounded number of candidates.
+                    for lo, hi in _steps(bounds[row + 1] - bounds[row]):
+                        first = bounds[row[lo:hi]]
+                        each = bounds[row[lo:hi] + 1] - first
+                        at_each = np.repeat(at[lo:hi], each)
                         nth = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-                        entry = np.repeat(bounds[row[lo : lo + 50_000]], each) + nth
+                        entry = np.repeat(first, each) + nth
                         window, begin = order[entry], at_each - place[entry]
                         fits = begin >= 0
                         owner = np.searchsorted(found.first, at_each, "right") - 1
@@ -192,7 +205,7 @@ def _scan(shared):
                             window, begin, owner = window[same], begin[same], owner[same]
                         np.add.at(marks, begin, 1)
                         np.add.at(marks, begin + block.length[window], -1)
-                        pairs.append(owner.astype(np.int64) * len(block.items) + block.item[window])
+                        pairs.append(np.unique(owner.astype(np.int64) * len(block.items) + block.item[window]))
                 hit = np.cumsum(marks[:-1]) > 0
                 n_words += np.diff(found.first).tolist()
                 pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
