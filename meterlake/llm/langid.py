@@ -20,6 +20,7 @@ BUCKETS = 1 << 15
 ORDERS = (2, 3)
 SAMPLE_ROWS = 40_000  # labelled rows the model is fitted on, at most (in expectation)
 PARTS = 8
+SALTS = 64
 _WEIGHTS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
 
@@ -88,7 +89,9 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", key: str =
     if total > sample_rows:
         rows = rows.where(F.pmod(F.xxhash64(F.lit("language sample"), key), F.lit(1_000_000)) < int(1e6 * sample_rows / total))
     schema = "lang string, part int, docs bigint, counts binary"
-    summed = rows.select(lang, text).mapInArrow(_count, schema).groupBy("lang", "part").applyInArrow(_add, schema).collect()
+    counted = rows.select(lang, text).mapInArrow(_count, schema).withColumn("salt", F.spark_partition_id() % SALTS)
+    # Two levels: a frequent language has a table from every task that holds a sampled row.
+    summed = counted.groupBy("lang", "part", "salt").applyInArrow(_add, schema).groupBy("lang", "part").applyInArrow(_add, schema).collect()
     langs = sorted({r.lang for r in summed})
     counts, docs = np.zeros((len(langs), BUCKETS)), np.zeros(len(langs))
     width = BUCKETS // PARTS
