@@ -140,7 +140,9 @@ def score_quality(
             by_text = F.coalesce("y", confident(_log_odds("m", meta_table)))
             by_meta = F.coalesce("y", confident(_log_odds("t", text_table)))
     text_odds, meta_odds = _log_odds("t", text_table), _log_odds("m", meta_table)
-    table = codes.where("y IS NOT NULL").select("y", text_odds.alias("a"), meta_odds.alias("b")).toArrow()
+    # One row per labelled id, however often the id repeats.
+    labelled = codes.where("y IS NOT NULL").groupBy("id", "y").agg(F.min(F.struct("t", "m")).alias("c")).select("y", "c.*")
+    table = labelled.select("y", text_odds.alias("a"), meta_odds.alias("b")).orderBy("y", "a", "b").toArrow()
     x = np.column_stack([table.column(c).to_numpy().astype(np.float64) for c in ("a", "b")])
     w = logistic(x, table.column("y").to_numpy().astype(np.float64))
     odds = _log_odds("_quality_t", text_table) * float(w[0]) + _log_odds("_quality_m", meta_table) * float(w[1]) + float(w[2])

@@ -170,7 +170,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """Dictionaries and calibration from labelled documents outside the held-out fold; None if a class is missing."""
     known = training_labels(labels, label, sample_rows, doc_id)
     sample = docs.where(~held_out(doc_id)).select(F.col(doc_id).alias("id"), F.coalesce(text, F.lit("")).alias("text"))
-    sample = stage(sample.join(F.broadcast(known), "id").select("y", "text"), "labelled")
+    # One row per labelled id, however often the id repeats.
+    sample = sample.join(F.broadcast(known), "id").groupBy("id", "y").agg(F.min("text").alias("text"))
+    sample = stage(sample.select("y", "text"), "labelled")
     model = _dictionaries(sample)
     if model is None:
         return None
