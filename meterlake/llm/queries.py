@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from meterlake.llm import langid, toxicity
 from meterlake.llm.decontaminate import find_benchmark, n_hit
 from meterlake.llm.labelled import held_out
-from meterlake.llm.licenses import scan_licenses
+from meterlake.llm.licenses import TEMPLATES, scan_licenses
 from meterlake.llm.mixing import mix_sources
 from meterlake.llm.ngram_join import near_duplicates
 from meterlake.llm.quality import score_quality
@@ -31,7 +31,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return scan_licenses(docs, "text", ["doc_id"]).select("doc_id", "license.*")
+    found = scan_licenses(docs, "text", ["doc_id"]).select("doc_id", "license.*")
+    return found.withColumn("score", F.round("score", 6))
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,5 +177,82 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 """
 
 
+_PHRASES = ", ".join(f"({n}, '{t.label}', {str(t.words)}, {t.base})" for n, t in enumerate(TEMPLATES))
+
+_OP1_SQL = f"""
+WITH words AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_LETTERS}') AS w FROM documents),
+templates(n, label, p, base) AS (VALUES {_PHRASES}),
+template_words AS (SELECT n, i, p[i] AS word FROM templates, unnest(range(1, len(p) + 1)) AS t(i)),
+spoken AS (
+    SELECT doc_id, i, w[i] AS word FROM words, unnest(range(1, len(w) + 1)) AS t(i)
+    WHERE w[i] IN (SELECT word FROM template_words)),
+idf AS (
+    SELECT word, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(DISTINCT doc_id))) + 1 AS idf
+    FROM (SELECT DISTINCT word FROM template_words) LEFT JOIN spoken USING (word) GROUP BY word),
+weighed AS (
+    SELECT *, idf / sum(idf) OVER (PARTITION BY n) AS part, row_number() OVER (PARTITION BY n ORDER BY idf DESC, i) AS rarity
+    FROM template_words JOIN idf USING (word)),
+places AS (SELECT doc_id, n, s.i - r.i AS place FROM spoken s JOIN weighed r USING (word) WHERE rarity = 1),
+shares AS (
+    SELECT doc_id, n, place, sum(part) AS share, count(*) AS agreeing
+    FROM places JOIN weighed w USING (n) JOIN spoken s USING (doc_id) WHERE s.i = place + w.i AND s.word = w.word GROUP BY doc_id, n, place),
+scores AS (SELECT doc_id, least(1.0, max(share)) AS score FROM shares GROUP BY doc_id),
+found AS (SELECT doc_id, place, label, base FROM shares JOIN templates USING (n) WHERE agreeing = len(p)),
+per_doc AS (
+    SELECT doc_id, count(*) FILTER (base) AS n_base, min(place) FILTER (base) AS first_word, max(place) FILTER (base) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM found GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, round(coalesce(score, 0.0), 6) AS score
+FROM words LEFT JOIN per_doc USING (doc_id) LEFT JOIN scores USING (doc_id)
+"""
+
+
+def _found(order: int, kind: str, pattern: str, group: int = 0, least: int = 0) -> str:
+    """Spans of one kind: what stands between its matches gives their places."""
+    return f"""
+    SELECT doc_id, {order} AS o, '{kind}' AS kind, e - len(m[i]) AS s, e FROM (
+        SELECT doc_id, m, g, i, CAST(list_sum(list_transform(list_slice(b, 1, i), lambda x: len(x)))
+               + list_sum(list_transform(list_slice(m, 1, i), lambda x: len(x))) AS BIGINT) AS e
+        FROM (SELECT doc_id, string_split_regex(text, '{pattern}') AS b, regexp_extract_all(text, '{pattern}') AS m,
+                     regexp_extract_all(text, '{pattern}', {group}) AS g FROM documents WHERE regexp_matches(text, '{pattern}')),
+             unnest(range(1, len(m) + 1)) AS t(i)) WHERE len(g[i]) >= {least}"""
+
+
+def _either_case(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+_KEYS = "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))
+_SPANS = " UNION ALL ".join(
+    [
+        _found(0, "assign", rf"""({_KEYS})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        _found(1, "access", "AKIA[A-Z0-9]+", 0, 20),
+        _found(2, "hex", "[0-9a-f]{24,}"),
+        *(_found(n, r.kind, r.pattern) for n, r in enumerate(RULES) if not r.base),
+    ]
+)
+
+_OP8_SQL = f"""
+WITH spans AS ({_SPANS}),
+per_doc AS (
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+           count(*) FILTER (kind = 'hex') AS n_hex,
+           string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) FILTER (o < 3) AS base,
+           string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) AS spans
+    FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN per_doc USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_ngram_join": _OP2_SQL, "op3_decontaminate": _OP3_SQL, "op7_exact_top_k": _OP7_SQL}
+    return {
+        "op1_license_scan": _OP1_SQL,
+        "op2_ngram_join": _OP2_SQL,
+        "op3_decontaminate": _OP3_SQL,
+        "op7_exact_top_k": _OP7_SQL,
+        "op8_secret_scan": _OP8_SQL,
+    }

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 pytest.importorskip("meterlake.llm")
@@ -12,10 +13,10 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from meterlake.llm import langid, toxicity  # noqa: E402
-from meterlake.llm.decontaminate import find_benchmark, n_hit  # noqa: E402
+from meterlake.llm.decontaminate import _steps, find_benchmark, n_hit  # noqa: E402
 from meterlake.llm.labelled import held_out  # noqa: E402
 from meterlake.llm.licenses import scan_licenses  # noqa: E402
-from meterlake.llm.mixing import mix_sources  # noqa: E402
+from meterlake.llm.mixing import mix_sources, source_targets  # noqa: E402
 from meterlake.llm.ngram_join import near_duplicates  # noqa: E402
 from meterlake.llm.quality import score_quality  # noqa: E402
 from meterlake.llm.secrets import RULES, redacted, secret_spans, trigram_query  # noqa: E402
@@ -191,6 +192,44 @@ def test_mix(spark, docs, empty):
     assert mix_sources(empty).docs.collect() == []
 
 
+@pytest.mark.parametrize("sizes", [{"a": 300, None: 100}, {"a": 1, "b": 1, "c": 1}, {"a": 9, "b": 0, "c": 50, None: 7}, {"z": 5}, {"a": 2, "é": 30, None: 0}])
+def test_targets_with_ties(spark, sizes):
+    """A source exactly at its limit, equal limits, sources without words, and a null source."""
+    from test_queries import brute_targets
+
+    table = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")
+    got = {r.source: r.target for r in source_targets(table, [3, 1, 2], 150, 2).collect()}
+    assert got.keys() == sizes.keys()
+    assert all(abs(got[s] - float(t)) < 1e-9 for s, t in brute_targets(sizes).items())
+
+
+def test_steps_are_bounded(monkeypatch):
+    monkeypatch.setattr("meterlake.llm.decontaminate.STEP_CANDIDATES", 5)
+    assert list(_steps(np.array([1, 2, 9, 3, 2, 1]))) == [(0, 2), (2, 3), (3, 5), (5, 6)]
+    assert list(_steps(np.array([], int))) == []
+
+
+def test_chunks_of_blocks(spark, monkeypatch):
+    """Sources whose blocks come in several chunks are taken whole, like any other."""
+    monkeypatch.setattr("meterlake.llm.mixing.CHUNK_BLOCKS", 3)
+    rows = [(i, "w " * 50, "a" if i % 2 else "b") for i in range(60)]
+    mix = mix_sources(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), block_words=50)
+    goals = {r.source: r.goal for r in mix.sources.collect()}
+    blocks = Counter((r.source, r.block) for r in mix.blocks.collect())
+    assert blocks == Counter((s, b) for s, g in goals.items() for b in range(-(-g // 50)))
+
+
+def test_repeated_labelled_ids(spark):
+    """One id that holds most of the rows counts once where a classifier is calibrated."""
+    rows = [(i, f"wo{i}rd " * 20 + ("$$ " * 9 if i % 5 == 0 else ""), "en", "s") for i in range(60)]
+    rows += [(2, f"copy {k} of one id", "en", "s") for k in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 5 > 0), int(i % 5 == 0)) for i in range(60)], "doc_id bigint, quality int, toxic int")
+    table = spark.createDataFrame(rows, SCHEMA)
+    assert score_quality(table, labels).count() == len(rows)
+    model = toxicity.fit(table, labels)
+    assert table.select(toxicity.toxicity(table, "text", model)).count() == len(rows)
+
+
 def test_schedule_is_even(spark):
     """Every stretch of the mix holds the sources in proportion."""
     rows = [(i, "w " * 50, "a" if i % 2 else "b") for i in range(400)]
