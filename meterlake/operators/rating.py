@@ -19,12 +19,17 @@ SLOT_MINUTES = 30
 
 
 def tariff_schedule(bronze_tariff: DataFrame) -> DataFrame:
-    """One row per half hour with the rate in force; of several names in one half hour the first by name stays."""
+    """One row per half hour with the rate in force.
+
+    Of several names in one half hour the one loaded last stays (a correction replaces what it corrects), then the first by name.
+    """
+    loaded = [F.col("load_ts").alias("__loaded")] if "load_ts" in bronze_tariff.columns else []
     rows = bronze_tariff.filter(F.col("Tariff").isNotNull() & F.col("TariffDateTime").isNotNull()).select(
-        F.col("TariffDateTime").cast("timestamp_ntz").alias("tariff_half_hour"), F.col("Tariff").alias("tariff_name")
+        F.col("TariffDateTime").cast("timestamp_ntz").alias("tariff_half_hour"), F.col("Tariff").alias("tariff_name"), *loaded
     )
     name = F.col("tariff_name")
-    return dedup_latest(rows, ["tariff_half_hour"]).withColumns(
+    order = [F.col("__loaded").desc_nulls_last()] if loaded else None
+    return dedup_latest(rows, ["tariff_half_hour"], order).drop("__loaded").withColumns(
         {"tariff_id": tariff_attribute(name, 1), "rate_per_kwh": tariff_attribute(name, 3)}
     )
 
@@ -104,15 +109,16 @@ def bill(consumption: DataFrame, customers: DataFrame, meters: DataFrame, schedu
 
     The rate of a reading depends on its half hour and on its customer's class, which is constant per group, so readings
     are summed both plainly and at the schedule rate first; customers and meters join the monthly sums, not the readings.
+    The region is the customer's, so that a customer who moved has one bill a month.
     """
     scheduled = attach_schedule(consumption, schedule)
-    monthly = scheduled.groupBy("customer_key", "meter_key", month_start("reading_timestamp"), "region").agg(
+    monthly = scheduled.groupBy("customer_key", "meter_key", month_start("reading_timestamp")).agg(
         F.sum("consumption_kwh").alias("consumption_kwh"),
         F.sum(F.col("consumption_kwh") * F.col("schedule_rate")).alias("__schedule_cost"),
     )
     monthly = monthly.withColumn("billing_period", month_period("month_start"))
     named = lookup_join(
-        monthly, customers.select("customer_key", "customer_id", "tariff_id", "customer_type"), "customer_key"
+        monthly, customers.select("customer_key", "customer_id", "tariff_id", "customer_type", "region"), "customer_key"
     )
     named = lookup_join(named, meters.select("meter_key", "meter_id"), "meter_key")
     amount = F.when(F.col("customer_type") == FLAT_CLASS, F.col("consumption_kwh") * FLAT_RATE).otherwise(

@@ -6,32 +6,77 @@ leaves the old version in place.  Partitioned tables are merged by rewriting onl
 
 from __future__ import annotations
 
+import json
 import operator
 import threading
 import uuid
 from datetime import datetime
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlake.operators import merge
 from meterlake.operators.drift import align_schemas, conform_types, empty_from_contract
 from meterlake.sources.staging import stage
 
 SCHEMAS = ("bronze", "silver", "gold", "audit")
+PLACE = "table string, at string, path string, columns string, partitions array<string>"
 
 
 class Lake:
-    """Named tables ``<schema>.<table>`` below one root folder on shared storage."""
+    """Named tables ``<schema>.<table>`` below one root folder on shared storage.
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    Where each table stands is written below the root too, so that a session with an empty catalog opens the lake as it was
+    left.  Of unpartitioned tables the newest ``keep_versions`` versions stay on disk.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 5):
+        self.spark, self.root, self.keep_versions = spark, root.rstrip("/"), max(1, keep_versions)
         self._appending = threading.Lock()
         # Inserts with overwrite replace the partitions they write and no others.
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         for schema in SCHEMAS:
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{self.root}/{schema}'")
+        self._reopen()
+
+    def _reopen(self) -> None:
+        """Enter the tables found below the root that the catalog does not know."""
+        try:
+            places = self.spark.read.schema(PLACE).parquet(f"{self.root}/places/*/*")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return
+        newest = places.groupBy("table").agg(F.max_by(F.struct("path", "columns", "partitions"), "at").alias("place"))
+        for table, place in newest.collect():  # one row per table
+            if self.exists(table):
+                continue
+            fields = T.StructType.fromJson(json.loads(place.columns)).fields
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+            by = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in place.partitions)})" if place.partitions else ""
+            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {by} LOCATION '{place.path}'")
+            if place.partitions:
+                self.spark.sql(f"MSCK REPAIR TABLE {table}")
+
+    def _note(self, table: str, path: str, partitions: list[str]) -> None:
+        """Write down where a table stands now; each note is a folder of its own, so that writers do not meet."""
+        at = f"{datetime.now():%Y%m%d%H%M%S%f}"
+        note = self.spark.createDataFrame([(table, at, path, self.read(table).schema.json(), partitions)], PLACE)
+        note.coalesce(1).write.parquet(f"{self.root}/places/{table}/{at}-{uuid.uuid4().hex[:8]}")
+
+    def _location(self, table: str) -> str:
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+        return described.first()["data_type"]
+
+    def _drop_old_versions(self, table: str) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(table))
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        versions = sorted((s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("v=")), key=str)
+        for old in versions[: -self.keep_versions]:
+            files.delete(old, True)
 
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(table)
@@ -55,10 +100,13 @@ class Lake:
         """First write of a table."""
         if partition_by:
             # Rebalance: one partition's rows meet in few files, while AQE splits a hot partition over several writers.
-            writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).option("path", self._folder(table))
+            path = self._folder(table)
+            writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
         else:
-            writer = df.write.option("path", self._new_version(table))
-        writer.format("parquet").saveAsTable(table)
+            path = self._new_version(table)
+            writer = df.write
+        writer.option("path", path).format("parquet").saveAsTable(table)
+        self._note(table, path, partition_by or [])
 
     def create_from_contract(self, table: str, contract: str, partition_by: list[str] | None = None) -> None:
         """Create an empty table with declared columns unless it exists."""
@@ -82,6 +130,7 @@ class Lake:
         new = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in held]
         if new:
             self.spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
+            self._note(table, self._location(table), self._partition_columns(table))
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Write a new version of an unpartitioned table, then switch the catalog entry to it."""
@@ -89,6 +138,8 @@ class Lake:
         df.select(*self.read(table).columns).write.parquet(path)
         self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         self.spark.catalog.refreshTable(table)
+        self._note(table, path, [])
+        self._drop_old_versions(table)
 
     def upsert(
         self,

@@ -25,8 +25,10 @@ EVENT_KEEP, EVENT_OUT_OF = 5, 100
 
 
 def bronze_readings(raw: DataFrame) -> DataFrame:
-    """Meter readings, one row per meter and timestamp."""
-    return dedup_latest(raw, ["LCLid", "DateTime"]).withColumn("source_system", F.lit(READING_SOURCE))
+    """Meter readings, one row per meter and timestamp; where ``_file_time`` is given, that of the newest file."""
+    order = [F.col("_file_time").desc_nulls_last()] if "_file_time" in raw.columns else None
+    single = dedup_latest(raw, ["LCLid", "DateTime"], order).drop("_file_time")
+    return single.withColumn("source_system", F.lit(READING_SOURCE))
 
 
 def bronze_weather(raw: DataFrame) -> DataFrame:

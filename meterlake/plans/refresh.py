@@ -91,6 +91,7 @@ def land_tables(lake: Lake, raw: RawInputs) -> tuple[dict[str, DataFrame], list[
     """The bronze layer; returns the batch of each table, and the (root, id) of the loads it read."""
     spark = lake.spark
     readings = readers.scan_csv(spark, raw.readings_csv, bronze.RAW_READING_COLUMNS, bronze.READING_RENAMES)
+    readings = readings.withColumn("_file_time", F.col("_metadata.file_modification_time"))
     recorded = lake.read_or_none(LOADS)
     (weather, weather_loads), (demand, demand_loads) = (
         audit.new_loads(landing.read_landed(spark, root, provenance=True), recorded, root)

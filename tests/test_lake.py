@@ -282,3 +282,59 @@ def test_changed_schedule_and_class_reach_earlier_months(spark, lake, tmp_path):
     amounts = ["customer_key", "billing_period", F.round("bill_amount", 9)]
     assert rows(lake.read("silver.fact_billing").select(*amounts)) == rows(rating.bill(*tables).select(*amounts))
     assert lake.read("bronze.bronze_weather").count() == 2 and lake.read("silver.fact_weather").count() == 2
+
+
+def test_a_lake_opens_again_under_an_empty_catalog(spark, lake):
+    lake.upsert("silver.t", frame(spark, [(1, "a", "x"), (2, "a", "y")]), ["k"])
+    lake.upsert("silver.t", frame(spark, [(2, "a", "z")]), ["k"])
+    lake.upsert("silver.p", frame(spark, [(1, "2024-01", "x"), (2, None, "y")]), ["k"], ["d"])
+    lake.upsert("silver.p", frame(spark, [(3, "2024-02", "n", 7)], "k int, d string, v string, w int"), ["k"], ["d"])
+    before = {t: (rows(lake.read(t)), lake.read(t).dtypes) for t in ("silver.t", "silver.p")}
+    for table in before:
+        spark.sql(f"DROP TABLE {table}")
+    again = Lake(spark, lake.root)
+    assert {t: (rows(again.read(t)), again.read(t).dtypes) for t in before} == before
+    again.upsert("silver.t", frame(spark, [(3, "b", "n")]), ["k"])
+    assert rows(again.read("silver.t").select("k")) == [(1,), (2,), (3,)]
+    again.upsert("silver.p", frame(spark, [(1, "2024-01", "later", None)], "k int, d string, v string, w int"), ["k"], ["d"])
+    assert rows(again.read("silver.p").select("k", "v")) == [(1, "later"), (2, "y"), (3, "n")]
+
+
+def test_old_versions_go(spark, tmp_path):
+    for schema in SCHEMAS:
+        spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
+    lake = Lake(spark, str(tmp_path / "lake"), keep_versions=2)
+    for i in range(5):
+        lake.upsert("silver.t", frame(spark, [(i, "a", "x")]), ["k"])
+    assert len(list((tmp_path / "lake" / "silver" / "t").glob("v=*"))) == 2
+    assert lake.read("silver.t").count() == 5
+
+
+def test_a_tariff_correction_takes_effect(spark):
+    ddl = "TariffDateTime string, Tariff string, load_ts string"
+    for first, second in (("Low", "High"), ("High", "Low")):
+        raw = spark.createDataFrame(
+            [("2024-01-01 00:00:00", first, "2024-01-01 06:00:00"), ("2024-01-01 00:00:00", second, "2024-01-02 06:00:00")], ddl
+        ).selectExpr("CAST(TariffDateTime AS TIMESTAMP_NTZ) AS TariffDateTime", "Tariff", "CAST(load_ts AS TIMESTAMP) AS load_ts")
+        assert rows(rating.tariff_schedule(raw).select("tariff_name")) == [(second,)]
+
+
+def test_a_customer_who_moved_has_one_bill(spark):
+    facts = spark.createDataFrame(
+        [(1, 1, "2024-01-01 00:00:00", 1.0, "N"), (1, 1, "2024-01-02 00:00:00", 2.0, "S")],
+        "customer_key int, meter_key int, reading_timestamp string, consumption_kwh double, region string",
+    ).withColumn("reading_timestamp", F.col("reading_timestamp").cast("timestamp_ntz"))
+    customers = spark.createDataFrame([(1, "C", "TAR001", "Std", "S")], "customer_key int, customer_id string, tariff_id string, customer_type string, region string")
+    meters = spark.createDataFrame([(1, "M")], "meter_key int, meter_id string")
+    schedule = spark.createDataFrame([], "tariff_half_hour timestamp_ntz, rate_per_kwh double")
+    bills = rating.bill(facts, customers, meters, schedule)
+    assert rows(bills.select("region", "consumption_kwh")) == [("S", 3.0)]
+
+
+def test_the_newest_file_wins_within_a_batch(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    for kwh in ("9.0", "1.0", "5.0"):  # neither the smallest nor the largest text comes last
+        write_readings(spark, folder, [reading("A", 1, 0, kwh)])
+    raw = readers.scan_csv(spark, folder + "/*.csv", bronze.RAW_READING_COLUMNS, bronze.READING_RENAMES)
+    raw = raw.withColumn("_file_time", F.col("_metadata.file_modification_time"))
+    assert rows(bronze.bronze_readings(raw).select("kwh_hh")) == [("5.0",)]
