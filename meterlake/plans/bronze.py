@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.functions.classify import EVENT_TYPES, severity
-from meterlake.functions.scalars import active_power, business_key, pick, portable_hash, safe_timestamp, shift_days_back
-from meterlake.operators.dedup import dedup_latest, hash_sample
-from meterlake.operators.grid import FEEDERS, distinct_slots, grid
+from meterlake.functions.classify import severity
+from meterlake.functions.scalars import active_power, safe_number, safe_timestamp
+from meterlake.operators.dedup import dedup_latest
 
 # Header of the consumption column in raw files (with its trailing blank) and source names.
 RAW_CONSUMPTION_HEADER = "KWH/hh (per half hour) "
@@ -19,9 +18,9 @@ WEATHER_SOURCE = "WEATHER_API"
 DEMAND_SOURCE = "EIA_API"
 TARIFF_SOURCE = "TARIFF_FILE"
 FEEDER_SOURCE = "SCADA_GRID_MONITOR"
-EVENT_SOURCE = "AMI_HEADEND_SIMULATOR"
-# Sampling of readings that become meter events: 5 of 100.
-EVENT_KEEP, EVENT_OUT_OF = 5, 100
+EVENT_SOURCE = "AMI_HEADEND"
+FEEDER_COLUMNS = ["feeder_id", "substation_id", "DateTime", "voltage_v", "current_a"]
+EVENT_COLUMNS = ["event_id", "LCLid", "event_type", "event_timestamp"]
 
 
 def bronze_readings(raw: DataFrame) -> DataFrame:
@@ -49,40 +48,21 @@ def bronze_tariff(raw: DataFrame) -> DataFrame:
     return raw.withColumn("source_system", F.lit(TARIFF_SOURCE))
 
 
-def feeder_measures(spread: Column) -> dict[str, Column]:
-    """Telemetry derived from one number per slot and feeder, in the usual ranges: 225..235 V, 150..200 A."""
-    return {
-        "voltage_v": F.round(F.lit(225.0) + F.pmod(spread, F.lit(1000)) / 100, 2),
-        "current_a": F.round(F.lit(150.0) + F.pmod(spread, F.lit(5000)) / 100, 2),
-        "active_power_kw": active_power("voltage_v", "current_a"),
-    }
-
-
-def bronze_feeder_readings(readings: DataFrame, measures: dict[str, Column] | None = None) -> DataFrame:
-    """One reading per feeder for every distinct reading time."""
-    expanded = grid(
-        distinct_slots(readings, "DateTime"),
-        FEEDERS,
-        ["feeder_id", "substation_id"],
-        measures or feeder_measures(F.xxhash64("feeder_id", "DateTime")),
-    )
+def bronze_feeder_readings(raw: DataFrame) -> DataFrame:
+    """Feeder telemetry as landed, typed, with its active power; one row per feeder and time."""
+    typed = raw.withColumns({c: safe_number(c) for c in ("voltage_v", "current_a")})
+    powered = typed.withColumn("active_power_kw", active_power("voltage_v", "current_a"))
     columns = ["feeder_id", "substation_id", "DateTime", "voltage_v", "current_a", "active_power_kw"]
-    return expanded.select(*columns, F.lit(FEEDER_SOURCE).alias("source_system"))
-
+    return dedup_latest(powered.select(*columns), ["feeder_id", "DateTime"]).withColumn("source_system", F.lit(FEEDER_SOURCE))
 
-def bronze_meter_events(readings: DataFrame) -> DataFrame:
-    """Events for a fixed sample of (meter, time) pairs, 0 to 29 days before the reading.
 
-    Type and age come from the pair's hash, so a repeated run yields the same events and the insert-only merge adds none.
-    """
-    pairs = readings.filter(F.col("LCLid").isNotNull()).select("LCLid", "DateTime").distinct()
-    spread = portable_hash("LCLid", "DateTime")
-    event_type = pick(EVENT_TYPES, F.pmod(spread, F.lit(len(EVENT_TYPES))) + 1)
-    return hash_sample(pairs, ["LCLid", "DateTime"], EVENT_KEEP, EVENT_OUT_OF).select(
-        F.concat(F.lit("EVT_"), business_key("LCLid", spread.cast("string"))).alias("event_id"),
+def bronze_meter_events(raw: DataFrame) -> DataFrame:
+    """Meter events as landed, with the severity of their type; one row per event id."""
+    typed = raw.select(
+        "event_id",
         "LCLid",
-        event_type.alias("event_type"),
-        severity(event_type).alias("severity"),
-        shift_days_back(safe_timestamp("DateTime"), F.pmod(spread, F.lit(30))).alias("event_timestamp"),
-        F.lit(EVENT_SOURCE).alias("source_system"),
+        "event_type",
+        severity(F.col("event_type")).alias("severity"),
+        safe_timestamp("event_timestamp").alias("event_timestamp"),
     )
+    return dedup_latest(typed, ["event_id"]).withColumn("source_system", F.lit(EVENT_SOURCE))

@@ -1,12 +1,15 @@
 """One refresh of all tables from landed raw data.
 
 Every table costs one evaluation of its transformation: the result is staged, the quality suite reads the staged copy,
-and the merge writes it with the batch verdict.  Facts and marts are rebuilt only for the dates and months this refresh
-touched; whole groups are recomputed, so the outcome equals a full rebuild.
+and the merge writes it with the batch verdict.  Facts are built from the bronze batches that no refresh has carried to the
+facts yet, whoever wrote them: this refresh, the streaming ingestion, or a run that died.  Facts and marts are rebuilt only
+for the dates and months this refresh touched; whole groups are recomputed, so the outcome equals a full rebuild.
+One writer at a time works on a lake.
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 from datetime import date, datetime
 from functools import partial
@@ -22,6 +25,7 @@ from meterlake.operators.lookups import lookup_join
 from meterlake.operators.quality import annotate_checks
 from meterlake.operators.tables import Lake
 from meterlake.plans import bronze, silver
+from meterlake.plans.contracts import CONTRACTS
 from meterlake.plans.layout import LAYOUTS
 from meterlake.sources import calendar, landing, readers
 from meterlake.sources.staging import side_by_side, stage
@@ -29,6 +33,15 @@ from meterlake.sources.staging import side_by_side, stage
 FAILURE_LOG = "silver.dq_failures"
 LINEAGE = "audit.pipeline_lineage"
 LOADS = "audit.landed_loads"
+BATCHES, BATCHES_DONE = "audit.bronze_batches", "audit.bronze_batches_done"
+BATCH_ID = "table_name string, loaded bigint"  # load time in microseconds: what load_ts holds
+FACT_SOURCES = [
+    "bronze.bronze_meter_readings",
+    "bronze.bronze_weather",
+    "bronze.bronze_eia",
+    "bronze.bronze_feeder_readings",
+    "bronze.bronze_meter_events",
+]
 UNDATED = date(1900, 1, 1)
 TABLES_AT_ONCE = 4
 
@@ -38,26 +51,33 @@ class RawInputs:
     """Where raw data lands: a CSV glob of readings and the roots of landed Parquet loads.
 
     Of weather and demand the loads that no run has recorded are read, whatever their time.  Give the glob of the new reading files, or use the
-    streaming ingestion, which remembers the files it has seen; repeated files do no harm.
+    streaming ingestion, which remembers the files it has seen; repeated files do no harm.  Without a glob of readings,
+    feeder telemetry or meter events nothing is landed there, and rows that came by streaming still reach the facts.
     """
 
-    readings_csv: str
+    readings_csv: str | None
     weather: str
     demand: str
     tariff_csv: str
+    feeders_csv: str | None = None
+    events_csv: str | None = None
 
 
 def load(lake: Lake, table: str, df: DataFrame, fail_on_error: bool = False) -> DataFrame:
     """Stamp, annotate, check and merge one table; returns the staged batch."""
     layout = LAYOUTS[table]
+    loaded = time.time_ns() // 1000
     if layout.load_column:
-        df = df.withColumn(layout.load_column, F.current_timestamp())
+        df = df.withColumn(layout.load_column, F.timestamp_micros(F.lit(loaded)))
     if layout.drift:
         df = annotate_drift(df, lake.read_or_none(table))
     batch = stage(df, table)
     checked = annotate_checks(
         batch, table, layout.checks, log=lambda rows: lake.append(FAILURE_LOG, rows), fail_on_error=fail_on_error
     )
+    if table.startswith("bronze."):  # noted before it is written: a run that dies afterwards leaves it to the next one
+        parts = [str(m) for m in _members(layout.partition_by[0], batch)] if layout.partition_by else None
+        lake.append(BATCHES, lake.spark.createDataFrame([(table, loaded, parts)], f"{BATCH_ID}, parts array<string>"))
     if layout.insert_only:
         lake.insert_missing(table, checked, layout.keys, prune_by=layout.prune_by)
     else:
@@ -87,11 +107,19 @@ def dated_readings(raw: DataFrame) -> DataFrame:
     return bronze.bronze_readings(raw).withColumn("reading_date", day)
 
 
-def land_tables(lake: Lake, raw: RawInputs) -> tuple[dict[str, DataFrame], list[tuple[str, str]]]:
-    """The bronze layer; returns the batch of each table, and the (root, id) of the loads it read."""
-    spark = lake.spark
-    readings = readers.scan_csv(spark, raw.readings_csv, bronze.RAW_READING_COLUMNS, bronze.READING_RENAMES)
-    readings = readings.withColumn("_file_time", F.col("_metadata.file_modification_time"))
+def land_tables(lake: Lake, raw: RawInputs) -> list[tuple[str, str]]:
+    """The bronze layer; returns the (root, id) of the loads it read."""
+    spark, frames = lake.spark, {}
+    if raw.readings_csv:
+        readings = readers.scan_csv(spark, raw.readings_csv, bronze.RAW_READING_COLUMNS, bronze.READING_RENAMES)
+        readings = readings.withColumn("_file_time", F.col("_metadata.file_modification_time"))
+        frames["bronze.bronze_meter_readings"] = dated_readings(readings)
+    if raw.feeders_csv:
+        feeders = readers.scan_csv(spark, raw.feeders_csv, bronze.FEEDER_COLUMNS)
+        frames["bronze.bronze_feeder_readings"] = bronze.bronze_feeder_readings(feeders)
+    if raw.events_csv:
+        events = readers.scan_csv(spark, raw.events_csv, bronze.EVENT_COLUMNS)
+        frames["bronze.bronze_meter_events"] = bronze.bronze_meter_events(events)
     recorded = lake.read_or_none(LOADS)
     (weather, weather_loads), (demand, demand_loads) = (
         audit.new_loads(landing.read_landed(spark, root, provenance=True), recorded, root)
@@ -100,22 +128,40 @@ def land_tables(lake: Lake, raw: RawInputs) -> tuple[dict[str, DataFrame], list[
     tariff_schema = T.StructType.fromDDL("TariffDateTime TIMESTAMP_NTZ, Tariff STRING")
     tariff = readers.with_provenance(readers.scan_csv(spark, raw.tariff_csv, tariff_schema))
     weather = bronze.bronze_weather(weather).withColumn("load_timestamp", F.current_timestamp())
-    batches = load_all(
-        lake,
-        {
-            "bronze.bronze_meter_readings": dated_readings(readings),
-            "bronze.bronze_weather": weather,
-            "bronze.bronze_eia": bronze.bronze_demand(demand),
-            "bronze.bronze_tariff": bronze.bronze_tariff(tariff),
-        },
-    )
-    fresh = batches["bronze.bronze_meter_readings"]
-    derived = {
-        "bronze.bronze_feeder_readings": bronze.bronze_feeder_readings(fresh),
-        "bronze.bronze_meter_events": bronze.bronze_meter_events(fresh),
+    frames |= {
+        "bronze.bronze_weather": weather,
+        "bronze.bronze_eia": bronze.bronze_demand(demand),
+        "bronze.bronze_tariff": bronze.bronze_tariff(tariff),
     }
-    loads = [(raw.weather, i) for i in weather_loads] + [(raw.demand, i) for i in demand_loads]
-    return batches | load_all(lake, derived), loads
+    load_all(lake, frames)
+    for table in FACT_SOURCES:
+        lake.create_from_contract(table, CONTRACTS[table], LAYOUTS[table].partition_by)
+    return [(raw.weather, i) for i in weather_loads] + [(raw.demand, i) for i in demand_loads]
+
+
+def unbuilt_batches(lake: Lake) -> tuple[dict[str, DataFrame], list[tuple[str, int]]]:
+    """Per bronze table its rows that no refresh has carried to the facts, and the batches they came in.
+
+    One row per batch comes back.  Of a partitioned table only the partitions those batches have rows in are read; the
+    load times reach the scan as a pushed filter.
+    """
+    pending = lake.read(BATCHES)
+    if lake.exists(BATCHES_DONE):
+        pending = pending.join(lake.read(BATCHES_DONE), ["table_name", "loaded"], "left_anti")
+    pending = pending.where(F.col("table_name").isin(*FACT_SOURCES)).collect()
+    fresh = {}
+    for table in FACT_SOURCES:
+        found, layout = [b for b in pending if b.table_name == table], LAYOUTS[table]
+        rows = lake.read(table)
+        if not found:
+            fresh[table] = rows.limit(0)
+            continue
+        if layout.partition_by:
+            day = layout.partition_by[0]
+            touched = sorted({p for b in found for p in b.parts})
+            rows = rows.filter(F.col(day).isin(*(F.lit(p).cast(rows.schema[day].dataType) for p in touched)))
+        fresh[table] = rows.filter(F.col(layout.load_column).isin(*(F.timestamp_micros(F.lit(b.loaded)) for b in found)))
+    return fresh, [(b.table_name, b.loaded) for b in pending]
 
 
 def not_older(readings: DataFrame, meters: DataFrame | None) -> DataFrame:
@@ -179,7 +225,7 @@ def build_dimensions(lake: Lake, fresh_readings: DataFrame) -> set[int]:
 
 
 def build_facts(lake: Lake, fresh: dict[str, DataFrame], reached: set[int] = frozenset()) -> dict[str, DataFrame]:
-    """Facts from this refresh's bronze batches, then the bills of every month that they or changed dimensions touch."""
+    """Facts from the bronze rows that have not reached them, then the bills of every month that they or changed dimensions touch."""
     customers, meters = lake.read("silver.dim_customer"), lake.read("silver.dim_meter")
     built = {
         "silver.fact_consumption": silver.fact_consumption(
@@ -223,9 +269,12 @@ def build_marts(lake: Lake, fresh: dict[str, DataFrame], reached: set[int] = fro
 def refresh(lake: Lake, raw: RawInputs, run_id: str = "manual", started: datetime | None = None) -> None:
     """Land, build and audit everything once; safe to repeat with the same or overlapping input."""
     started = started or datetime.now()
-    landed, loads = land_tables(lake, raw)
-    reached = build_dimensions(lake, landed["bronze.bronze_meter_readings"])
-    build_marts(lake, build_facts(lake, landed, reached), reached)
+    loads = land_tables(lake, raw)
+    fresh, batches = unbuilt_batches(lake)
+    reached = build_dimensions(lake, fresh["bronze.bronze_meter_readings"])
+    build_marts(lake, build_facts(lake, fresh, reached), reached)
+    if batches:
+        lake.append(BATCHES_DONE, lake.spark.createDataFrame(batches, BATCH_ID))
     if loads:  # recorded when all tables hold them: a run that dies earlier leaves its loads to the next one
         lake.append(LOADS, lake.spark.createDataFrame(loads, "root string, _load_id string"))
     lake.append(LINEAGE, audit.lineage_snapshot(lake.spark, audit.LAYERS, run_id, started))

@@ -99,7 +99,12 @@ FEEDER_SQL = f"""{READINGS}, feeders(feeder_id, substation_id) AS (VALUES ('FDR_
 def feeder_grid(spark, sf_dir):
     """Telemetry whose measures follow from the slot's microseconds and the substation."""
     spread = F.substring("DateTime", 21, 6).cast("bigint") + F.length("substation_id")
-    return bronze.bronze_feeder_readings(mapping.readings(spark, sf_dir), bronze.feeder_measures(spread))
+    measures = {
+        "voltage_v": F.round(F.lit(225.0) + F.pmod(spread, F.lit(1000)) / 100, 2),
+        "current_a": F.round(F.lit(150.0) + F.pmod(spread, F.lit(5000)) / 100, 2),
+    }
+    slots = grid.distinct_slots(mapping.readings(spark, sf_dir), "DateTime")
+    return bronze.bronze_feeder_readings(grid.grid(slots, grid.FEEDERS, ["feeder_id", "substation_id"], measures))
 
 
 @query(

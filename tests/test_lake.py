@@ -13,7 +13,7 @@ from meterlake.operators.tables import SCHEMAS, Lake
 from meterlake.plans import bronze
 from meterlake.plans.contracts import CONTRACTS
 from meterlake.plans.layout import LAYOUTS
-from meterlake.plans.refresh import FAILURE_LOG, LINEAGE, RawInputs, load, not_older, refresh
+from meterlake.plans.refresh import FAILURE_LOG, LINEAGE, RawInputs, load, not_older, refresh, unbuilt_batches
 from meterlake.sources import calendar, landing, payloads, readers
 from meterlake.streaming.ingest import ingest_readings
 
@@ -187,6 +187,46 @@ def test_stream_equals_batch_and_ignores_replays(spark, lake, tmp_path):
     assert lake.read(table).count() == 4
 
 
+def test_streamed_rows_and_those_of_a_dead_run_reach_the_facts(spark, lake, tmp_path, monkeypatch):
+    raw = {name: str(tmp_path / "raw" / name) for name in ("readings", "stream", "weather", "demand", "tariff", "feeders", "events")}
+    spark.createDataFrame([("2024-01-01 00:00:00", "Low")], "TariffDateTime string, Tariff string").write.option("header", True).csv(raw["tariff"])
+    weather = [("2024-01-01T00", 5.0, 50, 1.0, 0.0)]
+    weather = spark.createDataFrame(weather, "timestamp string, temperature double, humidity bigint, wind_speed double, precipitation double")
+    landing.land_raw(weather, raw["weather"], "OPEN_METEO", "20240101_060000")
+    demand = [("2024-01-01T00", "R", "Resp", "D", "Demand", "12.5", "mwh")]
+    demand = spark.createDataFrame(demand, ["period", "respondent", "respondent-name", "type", "type-name", "value", "value-units"])
+    landing.land_raw(demand, raw["demand"], "EIA", "20240101_060000")
+    feeders = [("F1", "S1", "2024-01-01 00:00:00", "230.0", "100"), ("F1", "S1", "2024-01-01 00:00:00", "230.0", "100")]
+    spark.createDataFrame(feeders, bronze.FEEDER_COLUMNS).write.option("header", True).csv(raw["feeders"])
+    events = [("E1", "A", "OUTAGE", "2024-01-01 00:10:00"), ("E2", "A", "odd", "2024-01-01 00:20:00")]
+    spark.createDataFrame(events, bronze.EVENT_COLUMNS).write.option("header", True).csv(raw["events"])
+    glob = {k: v + "/*.csv" for k, v in raw.items()}
+    landed = RawInputs(glob["readings"], raw["weather"], raw["demand"], glob["tariff"], glob["feeders"], glob["events"])
+    write_readings(spark, raw["readings"], [reading("A", 1, 0, "1.0"), reading("B", 2, 0, "2.0")])
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr("meterlake.plans.refresh.build_facts", dies)
+        with pytest.raises(RuntimeError):
+            refresh(lake, landed, "run-1", datetime(2024, 1, 1, 6))
+    assert not lake.exists("silver.fact_consumption")
+    write_readings(spark, raw["stream"], [reading("S", 1, 0, "4.0"), reading("B", 2, 0, "3.0")])
+    ingest_readings(lake, raw["stream"], str(tmp_path / "progress"))
+
+    # Neither the dead run's reading files nor the streamed ones are delivered again.
+    later = RawInputs(None, raw["weather"], raw["demand"], glob["tariff"])
+    for run in ("run-2", "run-3"):
+        refresh(lake, later, run, datetime(2024, 1, 2, 6))
+        fact = lake.read("silver.fact_consumption").join(lake.read("silver.dim_meter").select("meter_key", "LCLid"), "meter_key")
+        assert rows(fact.select("LCLid", "consumption_kwh")) == [("A", 1.0), ("B", 3.0), ("S", 4.0)]
+        assert lake.read("silver.fact_weather").count() == lake.read("silver.fact_eia_demand").count() == 1
+        assert rows(lake.read("silver.fact_feeder_readings").select("feeder_id", "voltage_v", "current_a")) == [("F1", 230.0, 100.0)]
+        assert rows(lake.read("silver.fact_meter_events").select("event_id")) == [("E1",), ("E2",)]
+    assert unbuilt_batches(lake)[1] == []
+
+
 # --- sources ------------------------------------------------------------------------------------------------------
 
 
