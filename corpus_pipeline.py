@@ -28,14 +28,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates stays: the one with the smallest doc_id.
+    """One document of each component of near duplicates stays: the one with the smallest doc_id (null comes first).
 
-    Rows that repeat a doc_id with the same text are copies of each other: one of them stays.  Documents without words are no
+    Components are told apart by their sets, not by ids, which may be null or repeat on different texts.  Rows that repeat a doc_id with the same text are copies of each other: one of them stays.  Documents without words are no
     copies of anything and stay.
     """
     found = near_duplicates(docs).where("ref IS NOT NULL")
-    per_row = found.groupBy("component_id", "doc_id", "ref").agg(F.count(F.lit(1)).alias("n"))
-    first = per_row.groupBy("component_id").agg(F.min(F.struct("doc_id", "ref", "n")).alias("first"))
+    per_row = found.groupBy("component", "doc_id", "ref").agg(F.count(F.lit(1)).alias("n"))
+    first = per_row.groupBy("component").agg(F.min(F.struct("doc_id", "ref", "n")).alias("first"))
     first = stage(first.select(*(F.col(f"first.{c}").alias(f"_first_{c}") for c in ("doc_id", "ref", "n"))), "kept")
     marked = docs.withColumn("_ref", sets_of("text")["ref"])
     kept = marked.join(first.hint("shuffle_hash"), F.expr("doc_id <=> _first_doc_id AND _ref = _first_ref"))

@@ -301,12 +301,14 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, ref, component_id: one row per document.
+    """doc_id, n_shingles, ref, component, component_id: one row per document.
 
     Two documents link when 100 * (common shingles) >= percent * (shingles of either).  component_id is the smallest doc_id
     among the documents reachable by links, the document itself included.  A null or wordless text has an empty set: it is
     linked with nothing, its ref is null and its component is itself.  Repeated rows are kept, one row each; a null doc_id
-    counts as no id and gets the smallest id of its component.  Other columns play no part.  percent: 1 to 100.
+    counts as no id and gets the smallest id of its component.  Different components may have one component_id: where ids
+    repeat on different texts, or where no document has one (null).  component tells them apart: it is the smallest ref among
+    the documents reachable, null like ref.  Other columns play no part.  percent: 1 to 100.
     """
     bound_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -324,10 +326,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     label = label.select(F.col("node").alias("ref"), "component")
     linked = label.join(kept.select("ref", "least_id"), "ref")
     least = linked.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    linked = label.join(least, "component").select("ref", "component_id")
+    linked = label.join(least, "component").select("ref", "component", "component_id")
     final = classes.select("ref", "least_id").join(linked, "ref", "left")
-    final = final.select("ref", F.coalesce("component_id", "least_id").alias("component_id"))
-    return (
-        base.join(final, "ref", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), "ref", F.coalesce("component_id", "doc_id").alias("component_id"))
+    final = final.select(
+        "ref", F.coalesce("component", "ref").alias("component"), F.coalesce("component_id", "least_id").alias("component_id")
+    )
+    return base.join(final, "ref", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), "ref", "component", F.coalesce("component_id", "doc_id").alias("component_id")
     )

@@ -356,5 +356,33 @@ def test_pipeline_stages_keep_the_columns(spark, docs, tmp_path):
     assert corpus_pipeline.mix(spark, wide, str(tmp_path)).count() == len(ROWS)
 
 
+def brute_kept(rows, k=5, percent=75):
+    """One row of each component of linked sets, by brute force: the least (doc_id, null first) and text."""
+    sets = []
+    for _, text in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
+        sets.append({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set())
+    left, kept = set(range(len(rows))), Counter()
+    while left:
+        family, todo = set(), [min(left)]
+        while todo:
+            a = todo.pop()
+            family.add(a)
+            todo += [b for b in left - family if sets[a] & sets[b] and len(sets[a] & sets[b]) * 100 >= percent * len(sets[a] | sets[b])]
+        left -= family
+        kept[min(((rows[i][0] is not None, rows[i][0] or 0, rows[i]) for i in family))[2]] += 1
+    return kept
+
+
+def test_deduplicate_keeps_components_with_one_id(spark, tmp_path):
+    """Documents without ids, and one id on different texts: only copies and near copies go."""
+    rows = [(None, f"{c} {BASE.replace('word', c)}") for c in "abcd"] + [(7, BASE.replace("word", c)) for c in "efg"]
+    rows += [(None, "a " + BASE.replace("word", "a")), (7, BASE.replace("word", "e")), (8, BASE.replace("word", "e").replace("e39", "x"))]
+    rows += [(3, BASE.replace("word", "b").replace("b0", "x")), (None, None), (None, ""), (7, None), (9, "short text"), (None, "other short text")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = corpus_pipeline.deduplicate(spark, table, str(tmp_path)).collect()
+    assert Counter(map(tuple, out)) == brute_kept(rows)
+
+
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
