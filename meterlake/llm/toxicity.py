@@ -2,7 +2,9 @@
 
 The dictionaries share a background of frequent ordinary words and differ in a part of equal length: words that toxic
 documents hold far more often than ordinary ones, against ordinary words.  Counts of a word are of documents with different
-surroundings of it, so that copies of one document count once.  A window is a word followed by a filler both dictionaries
+surroundings of it, so that copies of one document count once.  A run of letters longer than a word can be, as in scripts
+without spaces, is cut into overlapping pieces that count as words: every byte is in one, here and in scoring.  A window is a
+word followed by a filler both dictionaries
 hold; its gain is the length it compresses to with the ordinary dictionary less the length with the toxic one, its distance
 the bytes it adds to the filler under the toxic one.  The gains and distances of a whole text, counted at several thresholds,
 are calibrated to a probability on labelled rows.
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from meterlake.llm.labelled import held_out, logistic, training_labels
 from meterlake.llm.sharing import load, share
-from meterlake.llm.text import LETTER_DIGIT, mix, slices, word_hashes, words
+from meterlake.llm.text import LETTER_DIGIT, Slice, Words, mix, slices, word_hashes, words
 from meterlake.sources.staging import stage
 
 SAMPLE_ROWS = 12_000  # labelled documents the dictionaries and the calibration are fitted on, at most (in expectation)
@@ -33,7 +35,8 @@ CLASS_WORDS = 1_000
 FILLER_BYTES = 40
 LEVEL = 3
 REMEMBERED = 500_000  # words whose window a task keeps: 16 bytes each
-LONGEST_WORD = 200  # bytes of a word that go into its window; a longer run of letters is no word
+LONGEST_WORD = 200  # bytes of a word; a longer run of letters is cut into pieces
+PIECE_BYTES = 48  # bytes of a piece; pieces overlap by half
 
 
 @dataclass
@@ -47,12 +50,28 @@ class Model:
         return self.toxic[-BACKGROUND_BYTES:][:FILLER_BYTES]
 
 
+def _pieces(part: Slice) -> Words:
+    """The words of a slice; a run longer than LONGEST_WORD bytes gives pieces that overlap by half, cut between characters."""
+    found = words(part, LETTER_DIGIT)
+    size, step = found.ends - found.starts, PIECE_BYTES // 2
+    if not (size > LONGEST_WORD).any():
+        return found
+    each = np.where(size > LONGEST_WORD, -(-size // step) - 1, 1)
+    nth = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    starts, ends = np.repeat(found.starts, each) + nth * step, np.repeat(found.ends, each)
+    ends = np.where(np.repeat(each, each) > 1, np.minimum(ends, starts + PIECE_BYTES), ends)
+    for _ in range(3):  # a character has at most three bytes after its first
+        starts -= (part.data[starts] & 0xC0) == 0x80
+        ends -= (part.data[np.minimum(ends, len(part.data) - 1)] & 0xC0 == 0x80) & (ends < len(part.data))
+    return Words(starts, ends, np.concatenate([[0], np.cumsum(each)])[found.first])
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """y, text -> one row per document and word: the word and one value of its surroundings (the least there)."""
     for batch in batches:
         labels = batch.column(0).to_numpy()
         for part in slices(batch.column(1)):
-            found = words(part, LETTER_DIGIT)
+            found = _pieces(part)
             values = word_hashes(part.data, found.starts, found.ends)
             for i in range(len(part)):
                 lo, hi = found.first[i], found.first[i + 1]
@@ -65,7 +84,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 first = order[np.append(True, own[order][1:] != own[order][:-1])]
                 text = part.data.tobytes() if len(part) == 1 else part.data[part.offsets[i] : part.offsets[i + 1]].tobytes()
                 base = part.offsets[i]
-                names = [text[found.starts[lo + k] - base : found.ends[lo + k] - base][:LONGEST_WORD].lower() for k in first]
+                names = [text[found.starts[lo + k] - base : found.ends[lo + k] - base].lower() for k in first]
                 y = np.full(len(first), labels[part.first + i], np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names, pa.binary()), pa.array(y), pa.array(around[first].view(np.int64))], ["word", "y", "around"]
@@ -130,7 +149,7 @@ class _Windows:
         toxic, ordinary = self.compress
         for k in new:
             i = first[k]
-            window = b" " + data[starts[i] : min(ends[i], starts[i] + LONGEST_WORD)].tobytes().lower() + self.filler
+            window = b" " + data[starts[i] : ends[i]].tobytes().lower() + self.filler
             size = len(toxic(window))
             out[k] = len(ordinary(window)) - size, size - self.alone
         if len(self.values) + len(new) > REMEMBERED:
@@ -161,7 +180,7 @@ def _features(windows: np.ndarray, first: np.ndarray) -> np.ndarray:
 def _feature_rows(texts: pa.Array, windows: _Windows) -> np.ndarray:
     rows = []
     for part in slices(texts):
-        found = words(part, LETTER_DIGIT)
+        found = _pieces(part)
         rows.append(_features(windows(part.data, found.starts, found.ends), found.first))
     return np.concatenate(rows) if rows else np.zeros((0, 19))
 

@@ -20,6 +20,7 @@ from meterlake.llm.mixing import mix_sources, source_targets  # noqa: E402
 from meterlake.llm.ngram_join import near_duplicates  # noqa: E402
 from meterlake.llm.quality import score_quality  # noqa: E402
 from meterlake.llm.secrets import RULES, redacted, secret_spans, trigram_query  # noqa: E402
+from meterlake.llm.text import LETTER_DIGIT, slices, words  # noqa: E402
 from meterlake.llm.token_counts import token_counts  # noqa: E402
 from meterlake.llm.topk import top_k  # noqa: E402
 
@@ -321,6 +322,51 @@ def test_toxicity(spark, docs, empty):
     assert {r.s for r in docs.select(toxicity.toxicity(docs, "text", None).alias("s")).collect()} == {0.0}
 
 
+def test_toxicity_far_inside_an_unspaced_text(spark):
+    """Long runs without spaces are learned from and scored whole, in any script."""
+    import random
+
+    rnd = random.Random(6)
+    plain = [f"{a}{b}" for a in ("ta", "re", "mo", "li", "su") for b in ("nd", "st", "ring", "le", "er", "ave")]
+    rude, rows, marks = ["vilefool", "grimlout", "悪い言葉を言う"], [], []
+    for i in range(600):
+        said = [rnd.choice(plain) for _ in range(60)]
+        for _ in range(4 * (i % 4 == 0)):
+            said[rnd.randrange(60)] = rnd.choice(rude)
+        rows.append((i, " ".join(said)))
+        marks.append((i, int(i % 4 == 0)))
+    labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = toxicity.fit(table, labels)
+    texts = []
+    for far in ("", "vilefool", "悪い言葉を言う"):
+        for script in (plain, [chr(0x4E00 + i * 37) for i in range(300)]):
+            rnd = random.Random(7)
+            run = [rnd.choice(script) for _ in range(600)]
+            texts.append("".join([*run[:400], *[far] * 4, *run[400:]]))
+    odd = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    score = {r.doc_id: r.s for r in odd.select("doc_id", toxicity.toxicity(odd, "text", model).alias("s")).collect()}
+    assert all(score[k] > score[k % 2] for k in range(2, 6))
+
+
+def test_pieces_cover_every_byte():
+    import pyarrow as pa
+
+    texts = ["a" * 200, "a" * 201, "漢字" * 500, "a" + "\U0001f600" * 300, "é" * 100 + " word " + "ñ漢" * 333, "", None, "x y", "漢" * 67]
+    for part in slices(pa.array(texts)):
+        runs, cut = words(part, LETTER_DIGIT), toxicity._pieces(part)
+        assert (np.diff(cut.starts) > 0).all() and (np.diff(cut.ends) > 0).all() and (cut.ends - cut.starts <= toxicity.LONGEST_WORD).all()
+        whole, seen = np.zeros(len(part.data), bool), np.zeros(len(part.data), bool)
+        for s, e in zip(runs.starts, runs.ends):
+            whole[s:e] = True
+        for i in range(len(part)):
+            for s, e in zip(cut.starts[cut.first[i] : cut.first[i + 1]], cut.ends[cut.first[i] : cut.first[i + 1]]):
+                assert part.offsets[i] <= s < e <= part.offsets[i + 1]
+                part.data[s:e].tobytes().decode()  # whole characters
+                seen[s:e] = True
+        assert (seen == whole).all()
+
+
 def test_quality(spark, docs, empty):
     rows, marks = [], []
     for i in range(600):
