@@ -3,7 +3,8 @@
 Every table costs one evaluation of its transformation: the result is staged, the quality suite reads the staged copy,
 and the merge writes it with the batch verdict.  Facts are built from the bronze batches that no refresh has carried to the
 facts yet, whoever wrote them: this refresh, the streaming ingestion, or a run that died.  Facts and marts are rebuilt only
-for the dates and months this refresh touched; whole groups are recomputed, so the outcome equals a full rebuild.
+for the dates and months this refresh touched; whole groups are recomputed, so the outcome equals a full rebuild.  Months
+that changed dimensions reach are noted before these are merged, and settled after the marts, so they outlive a run that dies.
 One writer at a time works on a lake.
 """
 
@@ -34,6 +35,8 @@ FAILURE_LOG = "silver.dq_failures"
 LINEAGE = "audit.pipeline_lineage"
 LOADS = "audit.landed_loads"
 BATCHES, BATCHES_DONE = "audit.bronze_batches", "audit.bronze_batches_done"
+REACHED, REACHED_DONE = "audit.reached_months", "audit.reached_months_done"
+REACHED_ID = "month int, noted bigint"
 BATCH_ID = "table_name string, loaded bigint"  # load time in microseconds: what load_ts holds
 FACT_SOURCES = [
     "bronze.bronze_meter_readings",
@@ -198,10 +201,20 @@ def changed_months(lake: Lake, schedule: DataFrame, customers: DataFrame) -> set
     return {int(m) for m in months if m is not None}
 
 
+def unsettled_months(lake: Lake) -> list[tuple[int, int]]:
+    """Months reached by changed dimensions whose bills and marts no refresh has rebuilt, and when each was noted."""
+    if not lake.exists(REACHED):
+        return []
+    pending = lake.read(REACHED)
+    if lake.exists(REACHED_DONE):
+        pending = pending.join(lake.read(REACHED_DONE), ["month", "noted"], "left_anti")
+    return [(m.month, m.noted) for m in pending.collect()]
+
+
 def build_dimensions(lake: Lake, fresh_readings: DataFrame) -> set[int]:
     """Dimensions: members seen in this refresh are merged, all others keep their rows and keys.
 
-    Returns the months of earlier facts that the changes reach.
+    Returns the months of earlier facts that the changes reach, those of runs that died included.
     """
     fresh_readings = not_older(fresh_readings, lake.read_or_none("silver.dim_meter"))
     tariff = lake.read("bronze.bronze_tariff")
@@ -220,8 +233,11 @@ def build_dimensions(lake: Lake, fresh_readings: DataFrame) -> set[int]:
     if not lake.exists("silver.dim_date"):
         frames["silver.dim_date"] = calendar.date_dimension(lake.spark)
     reached = changed_months(lake, frames["silver.tariff_schedule"], customers)
+    if reached:  # noted first: once the dimensions are merged, nothing else tells which months are stale
+        noted = time.time_ns() // 1000
+        lake.append(REACHED, lake.spark.createDataFrame([(month, noted) for month in sorted(reached)], REACHED_ID))
     load_all(lake, frames)
-    return reached
+    return {month for month, _ in unsettled_months(lake)}
 
 
 def build_facts(lake: Lake, fresh: dict[str, DataFrame], reached: set[int] = frozenset()) -> dict[str, DataFrame]:
@@ -273,6 +289,8 @@ def refresh(lake: Lake, raw: RawInputs, run_id: str = "manual", started: datetim
     fresh, batches = unbuilt_batches(lake)
     reached = build_dimensions(lake, fresh["bronze.bronze_meter_readings"])
     build_marts(lake, build_facts(lake, fresh, reached), reached)
+    if months := unsettled_months(lake):
+        lake.append(REACHED_DONE, lake.spark.createDataFrame(months, REACHED_ID))
     if batches:
         lake.append(BATCHES_DONE, lake.spark.createDataFrame(batches, BATCH_ID))
     if loads:  # recorded when all tables hold them: a run that dies earlier leaves its loads to the next one

@@ -7,13 +7,13 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from meterlake.functions.scalars import floor_minutes
-from meterlake.operators import audit, rating
+from meterlake.operators import audit, marts, rating
 from meterlake.operators.drift import check_contract, null_violations
 from meterlake.operators.tables import SCHEMAS, Lake
 from meterlake.plans import bronze
 from meterlake.plans.contracts import CONTRACTS
 from meterlake.plans.layout import LAYOUTS
-from meterlake.plans.refresh import FAILURE_LOG, LINEAGE, RawInputs, load, not_older, refresh, unbuilt_batches
+from meterlake.plans.refresh import FAILURE_LOG, LINEAGE, RawInputs, load, not_older, refresh, unbuilt_batches, unsettled_months
 from meterlake.sources import calendar, landing, payloads, readers
 from meterlake.streaming.ingest import ingest_readings
 
@@ -324,6 +324,48 @@ def test_changed_schedule_and_class_reach_earlier_months(spark, lake, tmp_path):
     assert lake.read("bronze.bronze_weather").count() == 2 and lake.read("silver.fact_weather").count() == 2
 
 
+@pytest.mark.parametrize("step", ["build_facts", "build_marts"])
+def test_months_reached_by_a_dead_run_are_rebuilt(spark, lake, tmp_path, monkeypatch, step):
+    """A run that dies after its dimensions leaves the months of a changed rate and a changed class to the next one."""
+    raw = {name: str(tmp_path / "raw" / name) for name in ("readings", "weather", "demand", "tariff")}
+
+    def tariff(*found):
+        spark.createDataFrame(found, "TariffDateTime string, Tariff string").write.mode("append").option("header", True).csv(raw["tariff"])
+
+    weather = [("2024-01-01T00:00", 5.0, 50, 1.0, 0.0)]
+    weather = spark.createDataFrame(weather, "timestamp string, temperature double, humidity bigint, wind_speed double, precipitation double")
+    landing.land_raw(weather, raw["weather"], "OPEN_METEO", "20240301_060000")
+    demand = [("2024-01-01T00", "R", "Resp", "D", "Demand", "12.5", "mwh")]
+    demand = spark.createDataFrame(demand, ["period", "respondent", "respondent-name", "type", "type-name", "value", "value-units"])
+    landing.land_raw(demand, raw["demand"], "EIA", "20240301_060000")
+    tariff(("2024-01-01 00:00:00", "Low"), ("2024-02-01 00:00:00", "Low"), ("2024-03-01 00:00:00", "Low"))
+    inputs = RawInputs(raw["readings"] + "/*.csv", raw["weather"], raw["demand"], raw["tariff"] + "/*.csv")
+    old = [("A", "ToU", "2024-01-01 00:00:00", "2.0"), ("B", "Std", "2024-02-01 00:00:00", "2.0")]
+    write_readings(spark, raw["readings"], old)
+    refresh(lake, inputs, "run-1", datetime(2024, 3, 1, 6))
+    # The rate of January changes, and B, so far billed in February, becomes a time-of-use customer in March.
+    tariff(("2024-01-01 00:00:00", "High"))
+    write_readings(spark, raw["readings"], [("B", "ToU", "2024-03-01 00:00:00", "1.0")])
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(f"meterlake.plans.refresh.{step}", dies)
+        with pytest.raises(RuntimeError):
+            refresh(lake, inputs, "run-2", datetime(2024, 3, 2, 6))
+    assert {month for month, _ in unsettled_months(lake)} == {202401, 202402}
+    refresh(lake, RawInputs(None, *(getattr(inputs, k) for k in ("weather", "demand", "tariff_csv"))), "run-3", datetime(2024, 3, 3, 6))
+    tables = [lake.read(f"silver.{t}") for t in ("fact_consumption", "dim_customer", "dim_meter", "tariff_schedule")]
+    amounts = ["customer_key", "billing_period", "tariff_id", F.round("bill_amount", 9)]
+    assert rows(lake.read("silver.fact_billing").select(*amounts)) == rows(rating.bill(*tables).select(*amounts))
+    revenue = marts.revenue_summary(lake.read("silver.fact_billing"))
+    assert rows(lake.read("gold.gold_revenue_summary").select(*revenue.columns)) == rows(revenue)
+    theft = marts.theft_detection(tables[0], tables[1])
+    assert rows(lake.read("gold.gold_theft_detection").select(*theft.columns)) == rows(theft)
+    assert unsettled_months(lake) == []
+
+
 def test_a_lake_opens_again_under_an_empty_catalog(spark, lake):
     lake.upsert("silver.t", frame(spark, [(1, "a", "x"), (2, "a", "y")]), ["k"])
     lake.upsert("silver.t", frame(spark, [(2, "a", "z")]), ["k"])
