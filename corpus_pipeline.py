@@ -46,9 +46,9 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item go, whether the item has an id or not."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return find_benchmark(docs, benchmark).where(n_hit() == 0).select(*docs.columns)
+    return find_benchmark(docs, benchmark, without_id=True).where(n_hit() == 0).select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

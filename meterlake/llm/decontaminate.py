@@ -56,7 +56,7 @@ class _Block:
     rows: np.ndarray
     length: np.ndarray
     item: np.ndarray
-    items: list[str]
+    items: list[str | None]
 
     def tokens(self) -> dict[int, np.ndarray]:
         """Shingle length -> matrix of the shingle values of the windows that use it (0 rows elsewhere)."""
@@ -80,7 +80,7 @@ def _blocks(windows: DataFrame, width: int) -> Iterator[_Block]:
         rows = np.zeros((len(lists), width), np.uint64)
         for i, values in enumerate(lists):
             rows[i, : len(values)] = np.array(values, np.int64).view(np.uint64)
-        items = sorted(set(table.column("item").to_pylist()))
+        items = sorted(set(table.column("item").drop_null().to_pylist())) + [None] * (table.column("item").null_count > 0)
         where = {x: i for i, x in enumerate(items)}
         yield _Block(rows, np.array([len(x) for x in lists]), np.array([where[x] for x in table.column("item").to_pylist()]), items)
 
@@ -214,7 +214,8 @@ def _scan(shared):
                     own = hit[found.first[i] : found.first[i + 1]]
                     edges = np.flatnonzero(np.diff(np.concatenate([[0], own, [0]]))) if cut[i + 1] > cut[i] else []
                     hits.append(list(map(int, edges)))
-                    items.append([block.items[x % len(block.items)] for x in pairs[cut[i] : cut[i + 1]]])
+                    known = (block.items[x % len(block.items)] for x in pairs[cut[i] : cut[i + 1]])
+                    items.append([x for x in known if x is not None])
             yield pa.StructArray.from_arrays(
                 [pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
                 ["n_words", "hits", "items"],
@@ -244,16 +245,24 @@ def _merged(spans: Column) -> Column:
 
 
 def find_benchmark(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = 10,
+    without_id: bool = False,
 ) -> DataFrame:
     """All columns of docs and a struct ``leak``: n_words, hits (flat [start, end) word spans), items (ids found, as strings).
 
     A window is ``window`` consecutive words of an item (the whole item, if it has fewer but some); a word inside an occurrence
-    of a window is hit.  Items without id or text take no part; repeated items count once.  Null texts have no words.  Repeated
+    of a window is hit.  Items without text take no part, nor do those without id, unless ``without_id``: then their windows are
+    hit like any other, and only ``items`` leaves them out.  Repeated items count once.  Null texts have no words.  Repeated
     documents are kept; a column of docs named leak is replaced.
     """
     bound_batches(docs.sparkSession)
-    items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text")).dropna()
+    items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text"))
+    items = items.dropna(subset=["text"] if without_id else ["item", "text"])
     items = items.mapInArrow(_windows(window), "item string, window array<bigint>").distinct()
     context, columns = docs.sparkSession.sparkContext, []
     for block in _blocks(stage(items, "windows"), window):

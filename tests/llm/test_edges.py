@@ -150,6 +150,20 @@ def test_decontaminate(spark, docs, empty, monkeypatch):
     assert find_benchmark(empty, benchmark).collect() == []
 
 
+@pytest.mark.parametrize("block", [200_000, 2])
+def test_decontaminate_items_without_id(spark, monkeypatch, tmp_path, block):
+    """A passage of an item without id makes a document go; the item is in no list."""
+    monkeypatch.setattr("meterlake.llm.decontaminate.BLOCK_WINDOWS", block)
+    rows = [(1, "one two three four"), (2, "five six seven"), (3, "nothing here"), (4, None)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = [(None, "two three"), (None, "six"), (5, "six seven"), (None, None)]
+    items = spark.createDataFrame(items, "item_id bigint, text string")
+    out = find_benchmark(table, items, without_id=True).withColumn("hit", n_hit()).collect()
+    assert sorted((r.doc_id, r.hit, r.leak["items"]) for r in out) == [(1, 2, []), (2, 2, ["5"]), (3, 0, []), (4, 0, [])]
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {r.doc_id for r in corpus_pipeline.decontaminate(spark, table, str(tmp_path)).collect()} == {3, 4}
+
+
 def test_language(spark, docs, empty):
     model = langid.fit(docs.where(~held_out()))
     out = docs.withColumn("p", langid.predict(docs, "text", model)).collect()
