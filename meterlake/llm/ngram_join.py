@@ -319,7 +319,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kept = stage(classes.join(screened, "ref", "left_semi"), "screened")
     # Whole sets of the classes left: only they are shuffled, one document of each class.
     wanted = kept.select(F.col("least_id").alias("wanted_id"), F.col("ref").alias("wanted_ref")).hint("shuffle_hash")
-    sets = docs.join(wanted, F.expr("doc_id <=> wanted_id")).select("text", "wanted_ref")
+    # By id and set: one id, or none, may stand on many texts.  <=> on both, else a filter would run the function twice.
+    marked = docs.withColumn("_ref", sets_of("text", words)["ref"])
+    sets = marked.join(wanted, F.expr("doc_id <=> wanted_id AND _ref <=> wanted_ref")).select("text", "wanted_ref")
     sets = sets.mapInArrow(_whole_sets(words), "ref bigint, n bigint, shingles array<bigint>").dropDuplicates(["ref"])
     sets = stage(sets, "shingles")
     label = components(_links(sets, percent))

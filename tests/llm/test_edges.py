@@ -12,7 +12,7 @@ pytest.importorskip("meterlake.llm")
 from pyspark.sql import functions as F  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from meterlake.llm import langid, toxicity  # noqa: E402
+from meterlake.llm import langid, ngram_join, toxicity  # noqa: E402
 from meterlake.llm.decontaminate import _steps, find_benchmark, n_hit  # noqa: E402
 from meterlake.llm.labelled import held_out  # noqa: E402
 from meterlake.llm.licenses import scan_licenses  # noqa: E402
@@ -111,6 +111,34 @@ def test_near_duplicate_families(spark, seed):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows)
 
 
+def test_texts_of_one_id_do_not_meet_all_its_classes(spark):
+    """Whole texts go to the class they are of, not to every class of their id."""
+    pairs = [BASE.replace("word", c) for c in "abcdef"]
+    rows = [(i, t) for i in (None, 7) for t in [x + e for x in pairs for e in ("", f" e{i}")]]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()) == brute_components(rows)
+    seen = spark.sparkContext.accumulator(0)
+    whole = ngram_join._whole_sets
+
+    def counted(words):
+        inner = whole(words)
+
+        def count(batches):
+            def each():
+                for batch in batches:
+                    seen.add(batch.num_rows)
+                    yield batch
+
+            yield from inner(each())
+
+        return count
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ngram_join, "_whole_sets", counted)
+        near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert 0 < seen.value <= len(rows)
+
+
 def test_licenses(spark, docs, empty):
     clash = docs.withColumn("license", F.lit("clash")).withColumn("n_words", F.lit("x"))
     out = scan_licenses(clash, "text").collect()
