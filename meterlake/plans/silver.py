@@ -17,7 +17,8 @@ from meterlake.functions.scalars import (
 from meterlake.operators.dedup import dedup_latest
 from meterlake.operators.keys import assign_keys
 from meterlake.operators.lookups import lookup_join
-from meterlake.operators.quality import passed_only
+from meterlake.operators.quality import passed_only, row_flags
+from meterlake.plans.layout import LAYOUTS
 
 # Fixed values of the generated dimension attributes.
 REGION = "LONDON"
@@ -142,9 +143,20 @@ def fact_demand(demand: DataFrame, single: bool = True) -> DataFrame:
     return dedup_latest(facts, ["demand_business_key"]) if single else facts
 
 
+def sound_rows(batch: DataFrame, table: str) -> DataFrame:
+    """Rows of a checked batch that break no row-wise check of the table, whatever the verdict of the batch.
+
+    Repeated keys are no fault here: the facts keep one row of each.  Frames without a verdict pass unchanged.
+    """
+    if "dq_passed" not in batch.columns:
+        return batch
+    checks = [check for check in LAYOUTS[table].checks if check["check_type"] != "unique"]
+    return passed_only(row_flags(batch, checks), "dq_row_passed").select(*batch.columns)
+
+
 def fact_feeder_readings(feeders: DataFrame) -> DataFrame:
     """Typed feeder telemetry, one row per feeder and time."""
-    typed = passed_only(feeders).select(
+    typed = sound_rows(feeders, "bronze.bronze_feeder_readings").select(
         F.upper(F.trim("feeder_id")).alias("feeder_id"),
         F.upper(F.trim("substation_id")).alias("substation_id"),
         safe_timestamp("DateTime").alias("reading_timestamp"),
@@ -162,7 +174,7 @@ def fact_feeder_readings(feeders: DataFrame) -> DataFrame:
 def fact_meter_events(events: DataFrame) -> DataFrame:
     """Typed events, one row per event id: the most recently loaded one."""
     loaded = [F.col("load_ts").alias("load_ts")] if "load_ts" in events.columns else []
-    typed = passed_only(events).select(
+    typed = sound_rows(events, "bronze.bronze_meter_events").select(
         F.trim("event_id").alias("event_id"),
         F.trim("LCLid").alias("LCLid"),
         F.upper(F.trim("event_type")).alias("event_type"),

@@ -455,3 +455,14 @@ def test_sql_functions_follow_the_reader(spark):
     assert view({security.ENGINEERS}) == ("C", "L", 1.5, True)
     assert view({security.ANALYSTS, "north_team"}) == ("********", "********", 1.5, False)
     assert view(set()) == ("********", "********", None, True)
+
+
+def test_one_bad_row_keeps_no_batch_out_of_the_facts(spark):
+    feeders = [("F1", "S1", "2024-01-01 00:00:00", "230", "1", 0.2, "X", False), (None, "S1", "2024-01-01 00:00:00", "230", "1", 0.2, "X", False)]
+    feeders += [("F2", "S1", "2024-01-01 00:00:00", "230", None, None, "X", False)]
+    ddl = "feeder_id string, substation_id string, DateTime string, voltage_v string, current_a string, active_power_kw double, source_system string, dq_passed boolean"
+    assert rows(silver.fact_feeder_readings(spark.createDataFrame(feeders, ddl)).select("feeder_id")) == [("F1",)]
+    events = [("E1", "A", "OUTAGE", "HIGH", "2024-01-01 00:10:00", "X", False), (None, "A", "OUTAGE", "HIGH", "2024-01-01 00:20:00", "X", False)]
+    events += [("E1", "A", "OUTAGE", "HIGH", "2024-01-01 00:10:00", "X", False)]
+    ddl = "event_id string, LCLid string, event_type string, severity string, event_timestamp string, source_system string, dq_passed boolean"
+    assert rows(silver.fact_meter_events(spark.createDataFrame(events, ddl)).select("event_id")) == [("E1",)]
