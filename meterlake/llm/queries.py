@@ -14,6 +14,7 @@ from meterlake.llm.licenses import TEMPLATES, scan_licenses
 from meterlake.llm.mixing import mix_sources
 from meterlake.llm.ngram_join import near_duplicates
 from meterlake.llm.quality import score_quality
+from meterlake.llm.runs import periodic_runs
 from meterlake.llm.secrets import RULES, secret_spans
 from meterlake.llm.sharing import bound_batches
 from meterlake.llm.token_counts import token_counts
@@ -103,6 +104,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs(docs, seed=F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    # Ratios are compared as products; runs come by start, then period, so that the first of equal ones stays.
+    ahead = F.expr("reduce(runs, runs[0], (a, b) -> IF(b.length * a.period > a.length * b.period, b, a))")
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    found = found.withColumn("top", F.when(F.size("runs") > 0, ahead))
+    return found.select(
+        "row.doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 _QUERIES = [
     op1_license_scan,
     op2_ngram_join,
@@ -114,6 +134,7 @@ _QUERIES = [
     op8_secret_scan,
     op9_toxicity,
     op10_quality,
+    op12_periodic_runs,
 ]
 
 

@@ -71,6 +71,11 @@ class _Powers:
 _POWERS = _Powers()
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least n powers of the multiplier and of its inverse, for values of stretches."""
+    return _POWERS.upto(n)
+
+
 @dataclass
 class Slice:
     """Some whole rows of a batch: ``offsets[i]:offsets[i + 1]`` are the bytes of row ``first + i``."""

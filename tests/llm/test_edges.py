@@ -238,7 +238,7 @@ def test_mix(spark, docs, empty):
 @pytest.mark.parametrize("sizes", [{"a": 300, None: 100}, {"a": 1, "b": 1, "c": 1}, {"a": 9, "b": 0, "c": 50, None: 7}, {"z": 5}, {"a": 2, "é": 30, None: 0}])
 def test_targets_with_ties(spark, sizes):
     """A source exactly at its limit, equal limits, sources without words, and a null source."""
-    from test_queries import brute_targets
+    from llm_brute import brute_targets
 
     table = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")
     got = {r.source: r.target for r in source_targets(table, [3, 1, 2], 150, 2).collect()}

@@ -3,9 +3,9 @@
 import os
 import re
 import zlib
-from fractions import Fraction
 
 import pytest
+from llm_brute import brute_targets
 
 pytest.importorskip("meterlake.llm")
 duckdb = pytest.importorskip("duckdb")
@@ -28,7 +28,7 @@ def con():
 
 def test_all_are_registered():
     numbers = {int(name[2:].split("_")[0]) for name in registered.queries()}
-    assert numbers == set(range(1, 11)) and "pipeline" in contract.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in contract.queries()
 
 
 @pytest.mark.parametrize("name", sorted(registered.queries()))
@@ -103,23 +103,6 @@ def test_secret_places(spark, con):
         assert got[doc_id].spans == ",".join(s for *_, s in sorted(spans))
 
 
-def brute_targets(sizes):
-    """Targets by repeated sharing: what stops at twice its source is full, the rest shares what is left."""
-    names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
-    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
-    left, open_, target = Fraction(3 * sum(sizes.values()), 2), set(names), {}
-    while open_:
-        total = sum(weight[s] for s in open_)
-        over = {s for s in open_ if left * weight[s] / total > 2 * sizes[s]}
-        for s in over or open_:
-            target[s] = Fraction(2 * sizes[s]) if over else left * weight[s] / total
-        if not over:
-            return target
-        left -= sum(target[s] for s in over)
-        open_ -= over
-    return target
-
-
 def test_mix_targets(spark, con):
     sizes, words = {}, {}
     for doc_id, text, source in con.execute("SELECT doc_id, coalesce(text, ''), source FROM documents").fetchall():
