@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import langid, toxicity
+from meterlake.llm import langid, superminhash, toxicity
 from meterlake.llm.decontaminate import find_benchmark, n_hit
 from meterlake.llm.labelled import held_out
 from meterlake.llm.licenses import TEMPLATES, scan_licenses
@@ -17,12 +17,14 @@ from meterlake.llm.quality import score_quality
 from meterlake.llm.runs import periodic_runs
 from meterlake.llm.secrets import RULES, secret_spans
 from meterlake.llm.sharing import bound_batches
+from meterlake.llm.spelling import variants, word_counts
 from meterlake.llm.token_counts import token_counts
 from meterlake.llm.topk import top_k
 
 TOKEN_LIMIT = 1024
 TOXIC_FROM = 0.7
 KEEP_FROM = 0.5
+PLANTED_ERRORS = 97
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,6 +106,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = superminhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = periodic_runs(docs, seed=F.crc32(F.col("doc_id").cast("string").cast("binary")))
@@ -123,6 +131,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return variants(word_counts(docs, shortest=5, fewest=3, spoil=PLANTED_ERRORS), times=2)
+
+
 _QUERIES = [
     op1_license_scan,
     op2_ngram_join,
@@ -134,7 +147,9 @@ _QUERIES = [
     op8_secret_scan,
     op9_toxicity,
     op10_quality,
+    op11_superminhash,
     op12_periodic_runs,
+    op13_spelling_variants,
 ]
 
 
@@ -149,23 +164,30 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _NO_SPACE = r"[^\x20\x09-\x0D]+"
 _LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-_OP2_SQL = f"""
+
+def _near_sql(k: int, percent: int, more: str = "") -> str:
+    """Links by comparing all documents that share a shingle of k words, and what is reachable by them."""
+    return f"""
 WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_NO_SPACE}') AS w FROM documents),
 shingles AS (
-    SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
-    FROM words, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + {k - 1}), ' ') AS s
+    FROM words, unnest(range(1, greatest(len(w) - {k - 1}, 1) + 1)) AS t(i) WHERE len(w) > 0),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 repeated AS (SELECT s FROM shingles GROUP BY s HAVING count(*) > 1),
 kept AS (SELECT doc_id, s FROM shingles SEMI JOIN repeated USING (s)),
 links AS (
     SELECT a.doc_id AS x, b.doc_id AS y FROM kept a JOIN kept b ON a.s = b.s AND a.doc_id <> b.doc_id
     JOIN sizes na ON na.doc_id = a.doc_id JOIN sizes nb ON nb.doc_id = b.doc_id
-    GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+    GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= {percent} * (na.n + nb.n - count(*))),
 reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
-SELECT w.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r.y) AS component_id
+SELECT w.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r.y) AS component_id{more}
 FROM words w LEFT JOIN sizes USING (doc_id) JOIN reach r ON r.x = w.doc_id GROUP BY w.doc_id
 """
 
+
+_OP2_SQL = _near_sql(5, 75)
+_OP11_SQL = _near_sql(2, 80, ", w.doc_id = min(r.y) AS kept")
+
 _OP3_SQL = f"""
 WITH words AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_LETTERS}') AS w FROM documents),
 items AS (
@@ -276,4 +298,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_decontaminate": _OP3_SQL,
         "op7_exact_top_k": _OP7_SQL,
         "op8_secret_scan": _OP8_SQL,
+        "op11_superminhash": _OP11_SQL,
     }
