@@ -34,6 +34,7 @@ from meterlake.sources.staging import side_by_side, stage
 FAILURE_LOG = "silver.dq_failures"
 LINEAGE = "audit.pipeline_lineage"
 LOADS = "audit.landed_loads"
+QUARANTINE = "audit.quarantined_lines"
 BATCHES, BATCHES_DONE = "audit.bronze_batches", "audit.bronze_batches_done"
 REACHED, REACHED_DONE = "audit.reached_months", "audit.reached_months_done"
 REACHED_ID = "month int, noted bigint"
@@ -110,18 +111,32 @@ def dated_readings(raw: DataFrame) -> DataFrame:
     return bronze.bronze_readings(raw).withColumn("reading_date", day)
 
 
+def checked_csv(lake: Lake, table: str, paths: str | list[str], columns: list[str] | T.StructType, renames: dict[str, str] | None = None) -> DataFrame:
+    """The rows of CSV files that fit, with provenance; lines that do not fit are kept in the quarantine, once each."""
+    scan = readers.scan_csv_checked(lake.spark, paths, columns, renames)
+    bad = scan.quarantine.withColumn("table_name", F.lit(table)).withColumn("load_ts", F.current_timestamp())
+    if not bad.isEmpty():
+        lake.insert_missing(QUARANTINE, bad, ["table_name", "source_file", "line"])
+    return scan.rows
+
+
+def scan_readings(lake: Lake, paths: str | list[str]) -> DataFrame:
+    """Reading files by header name, each row with the time of its file."""
+    table = "bronze.bronze_meter_readings"
+    rows = checked_csv(lake, table, paths, bronze.RAW_READING_COLUMNS, bronze.READING_RENAMES)
+    return rows.withColumn("_file_time", F.col("source_file_modification_time")).drop(*readers.PROVENANCE)
+
+
 def land_tables(lake: Lake, raw: RawInputs) -> list[tuple[str, str]]:
     """The bronze layer; returns the (root, id) of the loads it read."""
     spark, frames = lake.spark, {}
     if raw.readings_csv:
-        readings = readers.scan_csv(spark, raw.readings_csv, bronze.RAW_READING_COLUMNS, bronze.READING_RENAMES)
-        readings = readings.withColumn("_file_time", F.col("_metadata.file_modification_time"))
-        frames["bronze.bronze_meter_readings"] = dated_readings(readings)
+        frames["bronze.bronze_meter_readings"] = dated_readings(scan_readings(lake, raw.readings_csv))
     if raw.feeders_csv:
-        feeders = readers.scan_csv(spark, raw.feeders_csv, bronze.FEEDER_COLUMNS)
+        feeders = checked_csv(lake, "bronze.bronze_feeder_readings", raw.feeders_csv, bronze.FEEDER_COLUMNS)
         frames["bronze.bronze_feeder_readings"] = bronze.bronze_feeder_readings(feeders)
     if raw.events_csv:
-        events = readers.scan_csv(spark, raw.events_csv, bronze.EVENT_COLUMNS)
+        events = checked_csv(lake, "bronze.bronze_meter_events", raw.events_csv, bronze.EVENT_COLUMNS)
         frames["bronze.bronze_meter_events"] = bronze.bronze_meter_events(events)
     recorded = lake.read_or_none(LOADS)
     (weather, weather_loads), (demand, demand_loads) = (
@@ -129,7 +144,7 @@ def land_tables(lake: Lake, raw: RawInputs) -> list[tuple[str, str]]:
         for root in (raw.weather, raw.demand)
     )
     tariff_schema = T.StructType.fromDDL("TariffDateTime TIMESTAMP_NTZ, Tariff STRING")
-    tariff = readers.with_provenance(readers.scan_csv(spark, raw.tariff_csv, tariff_schema))
+    tariff = checked_csv(lake, "bronze.bronze_tariff", raw.tariff_csv, tariff_schema)
     weather = bronze.bronze_weather(weather).withColumn("load_timestamp", F.current_timestamp())
     frames |= {
         "bronze.bronze_weather": weather,

@@ -9,20 +9,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from meterlake.operators.tables import Lake
-from meterlake.plans import bronze
-from meterlake.plans.refresh import dated_readings, load
+from meterlake.plans.refresh import dated_readings, load, scan_readings
 
+_FILE = "path string, modificationTime timestamp, length bigint, content binary"  # fixed by the source
 
-def stream_csv(spark: SparkSession, folder: str, columns: list[str], files_per_batch: int | None = None) -> DataFrame:
-    """New CSV files of a folder as text columns."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    reader = spark.readStream.schema(schema).option("header", True)
+
+def new_files(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """path of every new CSV file of a folder.  Their content is not read here, so each batch can take columns by the header
+    of its own files."""
+    reader = spark.readStream.format("binaryFile").schema(_FILE).option("pathGlobFilter", "*.csv")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(folder)
+    return reader.load(folder).select("path")
 
 
 def run_available(stream: DataFrame, merge: Callable[[DataFrame], None], checkpoint: str) -> None:
@@ -37,11 +37,11 @@ def run_available(stream: DataFrame, merge: Callable[[DataFrame], None], checkpo
 
 
 def ingest_readings(lake: Lake, folder: str, checkpoint: str, files_per_batch: int | None = None) -> None:
-    """Merge newly landed reading files into the bronze table."""
-    stream = stream_csv(lake.spark, folder, bronze.RAW_READING_COLUMNS, files_per_batch)
-    stream = stream.withColumnsRenamed(bronze.READING_RENAMES)
+    """Merge newly landed reading files into the bronze table; lines that do not fit go to quarantine."""
 
     def merge(batch: DataFrame) -> None:
-        load(lake, "bronze.bronze_meter_readings", dated_readings(batch))
+        files = [row.path for row in batch.collect()]  # one name a file
+        if files:
+            load(lake, "bronze.bronze_meter_readings", dated_readings(scan_readings(lake, files)))
 
-    run_available(stream, merge, checkpoint)
+    run_available(new_files(lake.spark, folder, files_per_batch), merge, checkpoint)

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from meterlake.functions.scalars import floor_minutes
 from meterlake.operators import audit, marts, rating
@@ -13,7 +14,7 @@ from meterlake.operators.tables import SCHEMAS, Lake
 from meterlake.plans import bronze
 from meterlake.plans.contracts import CONTRACTS
 from meterlake.plans.layout import LAYOUTS
-from meterlake.plans.refresh import FAILURE_LOG, LINEAGE, RawInputs, load, not_older, refresh, unbuilt_batches, unsettled_months
+from meterlake.plans.refresh import FAILURE_LOG, LINEAGE, QUARANTINE, RawInputs, checked_csv, load, not_older, refresh, unbuilt_batches, unsettled_months
 from meterlake.sources import calendar, landing, payloads, readers
 from meterlake.streaming.ingest import ingest_readings
 
@@ -261,6 +262,62 @@ def test_csv_scan_keeps_text_and_renames(spark, tmp_path):
     assert rows(df) == [("007", "Std", "2024-01-01", "Null")]
 
 
+def write_lines(folder, name, *lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    """Files of one folder with different orders and extra columns; a file that lacks a column raises."""
+    folder = tmp_path / "mixed"
+    kwh = bronze.RAW_CONSUMPTION_HEADER
+    write_lines(folder, "a.csv", f"LCLid,stdorToU,DateTime,{kwh}", "A,Std,2024-01-01 00:00:00,1.0")
+    write_lines(folder, "b.csv", f"DateTime,note,LCLid,{kwh},stdorToU", "2024-01-01 00:30:00,x,B,2.0,ToU")
+    df = readers.scan_csv(spark, f"{folder}/*.csv", bronze.RAW_READING_COLUMNS, bronze.READING_RENAMES)
+    assert rows(df) == [("A", "Std", "2024-01-01 00:00:00", "1.0"), ("B", "ToU", "2024-01-01 00:30:00", "2.0")]
+    every = readers.scan_csv(spark, f"{folder}/*.csv")
+    assert rows(every.select("LCLid", "note")) == [("A", None), ("B", "x")]
+    write_lines(folder, "c.csv", "LCLid,DateTime", "C,2024-01-01 00:30:00")
+    with pytest.raises(ValueError, match="no column stdorToU"):
+        readers.scan_csv(spark, f"{folder}/*.csv", bronze.RAW_READING_COLUMNS)
+
+
+def test_lines_that_do_not_fit_are_set_apart(spark, tmp_path):
+    folder = tmp_path / "bad"
+    write_lines(folder, "a.csv", "at,name,n", "2024-01-01 00:00:00,ok,1", "2024-01-01,short", "2024-01-01 00:00:00,long,2,3")
+    write_lines(folder, "b.csv", "n,at,name", 'x,"not, a time",two', ",,", "7,2024-01-02 00:00:00,")
+    scan = readers.scan_csv_checked(spark, f"{folder}/*.csv", StructType.fromDDL("at timestamp_ntz, name string, n int"))
+    assert rows(scan.rows.select("name", "n")) == [("ok", 1), (None, 7), (None, None)]
+    assert rows(scan.quarantine.select("line", "reason")) == [
+        ("2024-01-01 00:00:00,long,2,3", "wrong number of fields"),
+        ("2024-01-01,short", "wrong number of fields"),
+        ('x,"not, a time",two', "n is no int; at is no timestamp_ntz"),
+    ]
+    (tmp_path / "none").mkdir()
+    write_lines(tmp_path / "none", "empty.csv")
+    (tmp_path / "none" / "empty.csv").write_text("")
+    assert readers.scan_csv(spark, f"{tmp_path}/none/*.csv", ["a"]).collect() == []
+
+
+def test_bad_lines_of_a_delivery_are_kept(spark, lake, tmp_path):
+    """A tariff line without a time and a streamed line without its last field stay readable, once, however often delivered."""
+    tariff, stream = tmp_path / "tariff", tmp_path / "stream"
+    write_lines(tariff, "t.csv", "Tariff,TariffDateTime", "Low,2024-01-01 00:00:00", "High,soon")
+    schema = StructType.fromDDL("TariffDateTime TIMESTAMP_NTZ, Tariff STRING")
+    for _ in range(2):
+        good = checked_csv(lake, "bronze.bronze_tariff", f"{tariff}/*.csv", schema)
+    assert rows(good.select("Tariff")) == [("Low",)]
+    kwh = bronze.RAW_CONSUMPTION_HEADER
+    write_lines(stream, "r.csv", f"DateTime,LCLid,{kwh},stdorToU", "2024-01-01 00:00:00,A,1.0,Std", "2024-01-01 00:30:00,A")
+    ingest_readings(lake, str(stream), str(tmp_path / "progress"))
+    assert rows(lake.read("bronze.bronze_meter_readings").select("LCLid", "kwh_hh")) == [("A", "1.0")]
+    kept = lake.read(QUARANTINE).select("table_name", "line", "reason")
+    assert rows(kept) == [
+        ("bronze.bronze_meter_readings", "2024-01-01 00:30:00,A", "wrong number of fields"),
+        ("bronze.bronze_tariff", "High,soon", "TariffDateTime is no timestamp_ntz"),
+    ]
+
+
 def test_missing_table_is_none(spark):
     assert readers.scan_table(spark, "nowhere_at_all") is None
 
@@ -417,6 +474,6 @@ def test_the_newest_file_wins_within_a_batch(spark, tmp_path):
     folder = str(tmp_path / "in")
     for kwh in ("9.0", "1.0", "5.0"):  # neither the smallest nor the largest text comes last
         write_readings(spark, folder, [reading("A", 1, 0, kwh)])
-    raw = readers.scan_csv(spark, folder + "/*.csv", bronze.RAW_READING_COLUMNS, bronze.READING_RENAMES)
-    raw = raw.withColumn("_file_time", F.col("_metadata.file_modification_time"))
+    raw = readers.scan_csv(spark, folder + "/*.csv", bronze.RAW_READING_COLUMNS, bronze.READING_RENAMES, provenance=True)
+    raw = raw.withColumn("_file_time", F.col("source_file_modification_time")).drop(*readers.PROVENANCE)
     assert rows(bronze.bronze_readings(raw).select("kwh_hh")) == [("5.0",)]

@@ -341,22 +341,25 @@ def test_bill_equals_the_sum_of_rated_readings(spark):
             (2, 12, "2024-02-01 00:10:00", 4.0, "L"),
             (2, 12, "2024-02-01 00:40:00", 5.0, "L"),
             (9, None, "2024-02-01 00:40:00", 6.0, None),
+            (3, 13, "2024-01-01 00:10:00", 1.0, "L"),
+            (3, 13, "2024-01-01 00:40:00", 1.0, "M"),
         ],
         "customer_key long, meter_key long, reading_timestamp string, consumption_kwh double, region string",
     )
     customers = spark.createDataFrame(
-        [(1, "C1", "TAR001", "Std"), (2, "C2", "TAR002", "ToU")],
-        "customer_key long, customer_id string, tariff_id string, customer_type string",
+        [(1, "C1", "TAR001", "Std", "L"), (2, "C2", "TAR002", "ToU", "L"), (3, "C3", "TAR001", "Std", "M")],
+        "customer_key long, customer_id string, tariff_id string, customer_type string, region string",
     )
-    meters = spark.createDataFrame([(11, "M1"), (12, "M2")], "meter_key long, meter_id string")
+    meters = spark.createDataFrame([(11, "M1"), (12, "M2"), (13, "M3")], "meter_key long, meter_id string")
     rates = schedule(spark, [("2024-01-01 00:00:00", 0.5), ("2024-02-01 00:00:00", 0.25)])
     bills = rating.bill(consumption, customers, meters, rates)
-    got = bills.select("billing_business_key", "bill_id", "consumption_kwh", F.round("bill_amount", 9))
+    got = bills.select("billing_business_key", "bill_id", "consumption_kwh", F.round("bill_amount", 9), "region")
     assert rows(got) == [
-        ("C1_M1_2024-01", "BILLC1_2024-01", 3.0, 0.45),
-        ("C2_M2_2024-01", "BILLC2_2024-01", 3.0, 1.5),
-        ("C2_M2_2024-02", "BILLC2_2024-02", 9.0, 1.0),
-        (None, None, 6.0, None),
+        ("C1_M1_2024-01", "BILLC1_2024-01", 3.0, 0.45, "L"),
+        ("C2_M2_2024-01", "BILLC2_2024-01", 3.0, 1.5, "L"),
+        ("C2_M2_2024-02", "BILLC2_2024-02", 9.0, 1.0, "L"),
+        ("C3_M3_2024-01", "BILLC3_2024-01", 2.0, 0.3, "M"),  # moved: readings of two regions, one bill in the present one
+        (None, None, 6.0, None, None),
     ]
 
 
