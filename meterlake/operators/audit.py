@@ -58,18 +58,6 @@ def watermark(snapshots: DataFrame, columns: tuple[str, ...] = WATERMARK_COLUMNS
     return None
 
 
-def new_loads(df: DataFrame, recorded: DataFrame | None, root: str) -> tuple[DataFrame, list[str]]:
-    """Landed loads of a root that no earlier run recorded, whatever their time, and their ids.
-
-    Ids are partition folders: their list is one value per landed load, and the loads already read are not scanned.
-    """
-    ids = df.select("_load_id").distinct()
-    if recorded is not None:
-        ids = ids.join(recorded.where(F.col("root") == root).select("_load_id"), "_load_id", "left_anti")
-    names = [row[0] for row in ids.collect()]
-    return df.filter(F.col("_load_id").isin(*names)) if names else df.limit(0), names
-
-
 def since(df: DataFrame, ts_col: str, high_water: datetime | None, unit: str = "hour") -> DataFrame:
     """Rows from the watermark's hour or day on; everything on the first run.
 

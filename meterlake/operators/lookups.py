@@ -1,7 +1,7 @@
 """Lookups of a large fact side in keyed sides, safe against hot keys.
 
-A keyed side is broadcast only after its rows were counted and found few.  Beyond that bound both sides are shuffled on
-the key plus a salt: the fact side takes its salt from the partition a row sits in, which stays the same when a task is
+A keyed side is broadcast only after its rows were counted and their bytes, by the width of its columns, found few.  Beyond that
+bound both sides are shuffled on the key plus a salt: the fact side takes its salt from the partition a row sits in, which stays the same when a task is
 retried and spreads even exact copies of one row; the keyed side is repeated once per salt.
 """
 
@@ -10,9 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
+ROW_BYTES = 32  # what a hashed row takes besides its columns
 SALTS = 16
 _SALT = "__salt"
+# Bytes of a value; texts, arrays and whatever else is not listed are taken to be long.
+_WIDTHS = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4, "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+_LONG_VALUE = 64
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of one row of ``df`` in a hash table, about."""
+    return ROW_BYTES + sum(_WIDTHS.get(f.dataType.simpleString(), _LONG_VALUE) for f in df.schema.fields)
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
@@ -25,7 +34,7 @@ def lookup_join(
     keyed: DataFrame | list[DataFrame],
     on: str | list[str],
     how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
     probe: bool = True,
     sized_by: DataFrame | None = None,
@@ -38,10 +47,7 @@ def lookup_join(
     """
     keys = [on] if isinstance(on, str) else list(on)
     sides = keyed if isinstance(keyed, list) else [keyed]
-    if sized_by is not None:
-        small = [at_most(sized_by, broadcast_rows)] * len(sides)
-    else:
-        small = [probe and at_most(side, broadcast_rows) for side in sides]
+    small = [probe and at_most(side if sized_by is None else sized_by, broadcast_bytes // row_bytes(side)) for side in sides]
     for side, is_small in zip(sides, small):
         if is_small:
             facts = facts.join(F.broadcast(side), keys, how)

@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions.classify import FLAT_CLASS, FLAT_RATE, tariff_attribute
-from meterlake.functions.scalars import business_key, floor_minutes, literal_of, month_period, month_start
+from meterlake.functions.scalars import business_key, floor_minutes, month_period, month_start
+from meterlake.operators.asof import asof_join
 from meterlake.operators.dedup import dedup_latest
-from meterlake.operators.keys import dense_number
 from meterlake.operators.lookups import lookup_join
-from meterlake.operators.quality import expect_or_fail
 
 # Fixed values of the flat-rate variant: tariff id -> rate, and the rate of any other tariff.
 FLAT_TARIFF_RATES = {"TAR002": 0.18}
@@ -54,24 +53,6 @@ def dim_tariff(bronze_tariff: DataFrame) -> DataFrame:
     )
 
 
-def densify_schedule(changes: DataFrame, until: Column, minutes: int = SLOT_MINUTES) -> DataFrame:
-    """Schedule of change points -> one row per slot, each slot carrying the last change at or before it.
-
-    Change points must sit on slot boundaries.  Each point finds its successor by an equi-join on a dense number, so no
-    global window is needed; the last one runs to ``until``.
-    """
-    aligned = expect_or_fail(
-        changes, "change_on_slot", F.col("tariff_half_hour") == floor_minutes("tariff_half_hour", minutes)
-    )
-    numbered = dense_number(dedup_latest(aligned, ["tariff_half_hour"]), ["tariff_half_hour"], "__n")
-    following = numbered.select((F.col("__n") - 1).alias("__n"), F.col("tariff_half_hour").alias("__next"))
-    slot = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes), F.lit(0))
-    last = F.coalesce(F.col("__next") - slot, floor_minutes(until, minutes))
-    slots = F.sequence(F.col("tariff_half_hour"), F.greatest(last, F.col("tariff_half_hour")), slot)
-    carried = [c for c in changes.columns if c != "tariff_half_hour"]
-    return numbered.join(following, "__n", "left").select(F.explode(slots).alias("tariff_half_hour"), *carried)
-
-
 def attach_schedule(readings: DataFrame, schedule: DataFrame, ts_col: str = "reading_timestamp") -> DataFrame:
     """Add ``schedule_rate`` of the half hour a reading falls into; NULL where the schedule has a gap."""
     rates = schedule.select(
@@ -81,6 +62,12 @@ def attach_schedule(readings: DataFrame, schedule: DataFrame, ts_col: str = "rea
     return lookup_join(slotted, rates, "reading_half_hour")
 
 
+def attach_changes(readings: DataFrame, changes: DataFrame, ts_col: str = "reading_timestamp") -> DataFrame:
+    """Add ``schedule_rate`` of the last change point at or before the reading, wherever the points lie; NULL before the first."""
+    points = changes.select(F.col("tariff_half_hour").alias("__since"), F.col("rate_per_kwh").alias("schedule_rate"))
+    return asof_join(readings, points, ts_col, "__since").drop("__since")
+
+
 def rate_readings(
     readings: DataFrame,
     schedule: DataFrame,
@@ -91,13 +78,9 @@ def rate_readings(
 ) -> DataFrame:
     """Rate and cost per reading: the flat rate for the flat class, else the schedule's.
 
-    ``asof=True`` takes a schedule that lists only its change points.
+    ``asof=True`` takes a schedule that lists only its change points, at any times.
     """
-    if asof:
-        until = readings.agg(F.max("reading_timestamp")).first()[0]
-        kind = readings.schema["reading_timestamp"].dataType
-        schedule = densify_schedule(schedule, literal_of(until, kind)) if until is not None else schedule
-    rated = attach_schedule(readings, schedule)
+    rated = attach_changes(readings, schedule) if asof else attach_schedule(readings, schedule)
     rate = F.when(F.col(class_col) == flat_class, F.lit(flat_rate)).otherwise(F.col("schedule_rate"))
     return rated.withColumn("applied_rate_per_kwh", rate).withColumn(
         "half_hour_cost", F.col("consumption_kwh") * F.col("applied_rate_per_kwh")

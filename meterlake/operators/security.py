@@ -7,13 +7,16 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.operators.tables import Lake
+
 # Group names, replacement text and region rules consumers rely on.
 ENGINEERS = "energy_data_engineer"
 ANALYSTS = "energy_data_analyst"
 TEXT_MASK = "********"
+MEMBERS = "audit.reader_groups"
 REGION_RULES = [("north_team", "NORTH"), ("south_team", "SOUTH")]
 # table -> (text columns, numeric columns) that are masked
 MASKED_COLUMNS = {
@@ -85,22 +88,49 @@ def secure_revenue(revenue: DataFrame, groups: Collection[str]) -> DataFrame:
     return view.drop("dq_passed", "dq_failed_checks")
 
 
-def register_sql_functions(spark: SparkSession, groups: Collection[str]) -> None:
-    """The four security functions for SQL users; membership comes from the session variable ``reader_groups``."""
-    members = ", ".join(f"'{g}'" for g in sorted(groups)) or "CAST(NULL AS STRING)"
-    spark.sql("DECLARE OR REPLACE VARIABLE reader_groups ARRAY<STRING>")
-    spark.sql(f"SET VARIABLE reader_groups = array({members})")
+def install_masks(lake: Lake) -> None:
+    """The four security functions for SQL users, persistent in the lake's gold schema.
+
+    They look the reader up by ``session_user()`` in the table MEMBERS.  Nothing a reader can set in a session changes the
+    outcome; who may write that table is for the catalog's grants to say.  The lookup is one scalar per query, not per row.
+    """
+    lake.create_from_contract(MEMBERS, "reader STRING, group_name STRING")
 
-    def member(group: str) -> str:
-        return f"coalesce(array_contains(reader_groups, '{group}'), false)"
+    def member(*groups: str) -> str:
+        named = ", ".join(f"'{g}'" for g in groups)
+        return f"(SELECT count(*) FROM {lake.name(MEMBERS)} m WHERE m.reader = session_user() AND m.group_name IN ({named})) > 0"
 
     text = f"CASE WHEN {member(ENGINEERS)} THEN v ELSE '{TEXT_MASK}' END"
-    money = f"CASE WHEN {member(ENGINEERS)} OR {member(ANALYSTS)} THEN v END"
+    money = f"CASE WHEN {member(ENGINEERS, ANALYSTS)} THEN v END"
     region = " ".join(f"WHEN {member(team)} THEN region = '{name}'" for team, name in REGION_RULES)
-    for name in ("mask_customer_id", "mask_lclid"):
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(v STRING) RETURNS STRING RETURN {text}")
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION mask_financial_value(v DOUBLE) RETURNS DOUBLE RETURN {money}")
-    spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION region_filter(region STRING) RETURNS BOOLEAN "
-        f"RETURN CASE {region} ELSE TRUE END"
-    )
+    functions = {
+        "mask_customer_id(v STRING) RETURNS STRING": text,
+        "mask_lclid(v STRING) RETURNS STRING": text,
+        "mask_financial_value(v DOUBLE) RETURNS DOUBLE": money,
+        "region_filter(region STRING) RETURNS BOOLEAN": f"CASE {region} ELSE TRUE END",
+    }
+    for signature, body in functions.items():
+        lake.spark.sql(f"CREATE OR REPLACE FUNCTION {lake.name('gold')}.{signature} RETURN {body}")
+
+
+def set_groups(lake: Lake, reader: str, groups: Collection[str]) -> None:
+    """From now on ``reader`` is a member of these groups and no others."""
+    kept = lake.read(MEMBERS).where(F.col("reader") != reader)
+    lake.replace(MEMBERS, kept.unionByName(lake.spark.createDataFrame([(reader, g) for g in groups], "reader string, group_name string")))
+
+
+def create_secured_view(lake: Lake, view: str, table: str) -> None:
+    """A persistent view of a table with its masks and its row filter, for every reader alike."""
+    text, numeric = MASKED_COLUMNS.get(table, ([], []))
+    schema = lake.name("gold")
+    columns = []
+    for field in lake.read(table).schema.fields:
+        mask = "mask_lclid" if field.name == "LCLid" else "mask_customer_id"
+        if field.name in text:
+            columns.append(f"{schema}.{mask}(`{field.name}`) AS `{field.name}`")
+        elif field.name in numeric:
+            columns.append(f"{schema}.mask_financial_value(`{field.name}`) AS `{field.name}`")
+        else:
+            columns.append(f"`{field.name}`")
+    rows = f"WHERE {schema}.region_filter(region)" if table in FILTERED_TABLES else ""
+    lake.spark.sql(f"CREATE OR REPLACE VIEW {lake.name(view)} AS SELECT {', '.join(columns)} FROM {lake.name(table)} {rows}")

@@ -23,9 +23,34 @@ from meterlake.operators.drift import align_schemas, conform_types, empty_from_c
 from meterlake.sources.staging import stage
 
 SCHEMAS = ("bronze", "silver", "gold", "audit")
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 PLACE = "table string, at string, path string, columns string, partitions array<string>"
 
 
+class _DynamicOverwrite:
+    """The session's overwrite mode is dynamic while any write needs it, and as it was before when the last one is done."""
+
+    _lock, _writes, _before = threading.Lock(), 0, "static"
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self) -> None:
+        shared = type(self)
+        with shared._lock:
+            if not shared._writes:
+                shared._before = self.spark.conf.get(_OVERWRITE_MODE)
+                self.spark.conf.set(_OVERWRITE_MODE, "dynamic")
+            shared._writes += 1
+
+    def __exit__(self, *_: object) -> None:
+        shared = type(self)
+        with shared._lock:
+            shared._writes -= 1
+            if not shared._writes:
+                self.spark.conf.set(_OVERWRITE_MODE, shared._before)
+
+
 class Lake:
     """Named tables ``<schema>.<table>`` below one root folder on shared storage.
 
@@ -33,15 +58,29 @@ class Lake:
     left.  Of unpartitioned tables the newest ``keep_versions`` versions stay on disk.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 5):
-        self.spark, self.root, self.keep_versions = spark, root.rstrip("/"), max(1, keep_versions)
+    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 5, prefix: str = ""):
+        """``prefix`` goes before the catalog names of the schemas, so that lakes can stand side by side in one catalog."""
+        self.spark, self.root, self.keep_versions, self.prefix = spark, root.rstrip("/"), max(1, keep_versions), prefix
         self._appending = threading.Lock()
-        # Inserts with overwrite replace the partitions they write and no others.
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Dropping a schema deletes its location in some catalogs, so the tables do not lie there.
         for schema in SCHEMAS:
-            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{self.root}/{schema}'")
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {prefix}{schema} LOCATION '{self.root}/catalog/{prefix}{schema}'")
         self._reopen()
 
+    @property
+    def schemas(self) -> tuple[str, ...]:
+        """The catalog names of the lake's schemas."""
+        return tuple(f"{self.prefix}{schema}" for schema in SCHEMAS)
+
+    def name(self, table: str) -> str:
+        """The catalog name of a table ``<schema>.<table>`` of this lake."""
+        return f"{self.prefix}{table}"
+
+    def forget(self) -> None:
+        """Take the lake's schemas out of the catalog; the files stay, so it can be opened again."""
+        for schema in self.schemas:
+            self.spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
+
     def _reopen(self) -> None:
         """Enter the tables found below the root that the catalog does not know."""
         try:
@@ -57,9 +96,9 @@ class Lake:
             fields = T.StructType.fromJson(json.loads(place.columns)).fields
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
             by = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in place.partitions)})" if place.partitions else ""
-            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {by} LOCATION '{place.path}'")
+            self.spark.sql(f"CREATE TABLE {self.name(table)} ({columns}) USING parquet {by} LOCATION '{place.path}'")
             if place.partitions:
-                self.spark.sql(f"MSCK REPAIR TABLE {table}")
+                self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)}")
 
     def _note(self, table: str, path: str, partitions: list[str]) -> None:
         """Write down where a table stands now; each note is a folder of its own, so that writers do not meet."""
@@ -68,7 +107,7 @@ class Lake:
         note.coalesce(1).write.parquet(f"{self.root}/places/{table}/{at}-{uuid.uuid4().hex[:8]}")
 
     def _location(self, table: str) -> str:
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").filter("col_name = 'Location'")
         return described.first()["data_type"]
 
     def _drop_old_versions(self, table: str) -> None:
@@ -79,10 +118,10 @@ class Lake:
             files.delete(old, True)
 
     def exists(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(table)
+        return self.spark.catalog.tableExists(self.name(table))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(table)
+        return self.spark.table(self.name(table))
 
     def read_or_none(self, table: str) -> DataFrame | None:
         return self.read(table) if self.exists(table) else None
@@ -94,7 +133,7 @@ class Lake:
         return f"{self._folder(table)}/v={datetime.now():%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
     def _partition_columns(self, table: str) -> list[str]:
-        return [c.name for c in self.spark.catalog.listColumns(table) if c.isPartition]
+        return [c.name for c in self.spark.catalog.listColumns(self.name(table)) if c.isPartition]
 
     def create(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
         """First write of a table."""
@@ -105,7 +144,7 @@ class Lake:
         else:
             path = self._new_version(table)
             writer = df.write
-        writer.option("path", path).format("parquet").saveAsTable(table)
+        writer.option("path", path).format("parquet").saveAsTable(self.name(table))
         self._note(table, path, partition_by or [])
 
     def create_from_contract(self, table: str, contract: str, partition_by: list[str] | None = None) -> None:
@@ -122,22 +161,22 @@ class Lake:
             self.add_missing_columns(table, df)
             columns = self.read(table).columns
             df = conform_types(df, self.read(table))
-            align_schemas(df, self.read(table))[0].select(*columns).write.insertInto(table)
+            align_schemas(df, self.read(table))[0].select(*columns).write.insertInto(self.name(table))
 
     def add_missing_columns(self, table: str, df: DataFrame) -> None:
         """Widen the table by the frame's new columns; existing files read them as NULL."""
         held = self.read(table).columns
         new = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in held]
         if new:
-            self.spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
+            self.spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({', '.join(new)})")
             self._note(table, self._location(table), self._partition_columns(table))
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Write a new version of an unpartitioned table, then switch the catalog entry to it."""
         path = self._new_version(table)
         df.select(*self.read(table).columns).write.parquet(path)
-        self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        self.spark.catalog.refreshTable(table)
+        self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{path}'")
+        self.spark.catalog.refreshTable(self.name(table))
         self._note(table, path, [])
         self._drop_old_versions(table)
 
@@ -189,7 +228,9 @@ class Lake:
     def _overwrite_partitions(self, table: str, df: DataFrame, partitions: list[str]) -> None:
         columns = self.read(table).columns
         spread = df.select(*columns).hint("rebalance", *partitions)
-        spread.write.insertInto(table, overwrite=True)
+        # Replaces the partitions that are written and no others; inserts take this from the session only.
+        with _DynamicOverwrite(self.spark):
+            spread.write.insertInto(self.name(table), overwrite=True)
 
     def insert_missing(self, table: str, source: DataFrame, keys: list[str], **options) -> None:
         """Insert-only merge (options of `merge.insert_missing`): existing files stay, only new rows are appended."""

@@ -140,7 +140,7 @@ def land_tables(lake: Lake, raw: RawInputs) -> list[tuple[str, str]]:
         frames["bronze.bronze_meter_events"] = bronze.bronze_meter_events(events)
     recorded = lake.read_or_none(LOADS)
     (weather, weather_loads), (demand, demand_loads) = (
-        audit.new_loads(landing.read_landed(spark, root, provenance=True), recorded, root)
+        landing.new_loads(spark, root, recorded, provenance=True)
         for root in (raw.weather, raw.demand)
     )
     tariff_schema = T.StructType.fromDDL("TariffDateTime TIMESTAMP_NTZ, Tariff STRING")
@@ -271,7 +271,10 @@ def build_facts(lake: Lake, fresh: dict[str, DataFrame], reached: set[int] = fro
     consumption = lake.read("silver.fact_consumption")
     touched = {d // 100 for d in _members("date_key", batches["silver.fact_consumption"])} | reached
     months = consumption.filter(_month_of("date_key").isin(*touched)) if touched else consumption.limit(0)
-    bills = rating.bill(months, customers, meters, lake.read("silver.tariff_schedule"))
+    schedule = lake.read("silver.tariff_schedule")
+    half_hour = F.col("tariff_half_hour")
+    schedule = schedule.filter((F.year(half_hour) * 100 + F.month(half_hour)).isin(*touched)) if touched else schedule
+    bills = rating.bill(months, customers, meters, schedule)
     batches["silver.fact_billing"] = load(lake, "silver.fact_billing", bills)
     return batches
 
@@ -310,4 +313,4 @@ def refresh(lake: Lake, raw: RawInputs, run_id: str = "manual", started: datetim
         lake.append(BATCHES_DONE, lake.spark.createDataFrame(batches, BATCH_ID))
     if loads:  # recorded when all tables hold them: a run that dies earlier leaves its loads to the next one
         lake.append(LOADS, lake.spark.createDataFrame(loads, "root string, _load_id string"))
-    lake.append(LINEAGE, audit.lineage_snapshot(lake.spark, audit.LAYERS, run_id, started))
+    lake.append(LINEAGE, audit.lineage_snapshot(lake.spark, lake.schemas, run_id, started))

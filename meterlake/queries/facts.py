@@ -84,44 +84,6 @@ def dim_tariff(spark, sf_dir):
     return rating.dim_tariff(mapping.tariff_entries(spark, sf_dir))
 
 
-FEEDER_SQL = f"""{READINGS}, feeders(feeder_id, substation_id) AS (VALUES ('FDR_LDN_NORTH_01', 'SUB_NORTH_HIGHBURY'),
-    ('FDR_LDN_SOUTH_01', 'SUB_SOUTH_BRIXTON'), ('FDR_LDN_EAST_01', 'SUB_EAST_STRATFORD'),
-    ('FDR_LDN_WEST_01', 'SUB_WEST_ACTON')),
-  slots AS (SELECT DISTINCT "DateTime" FROM readings),
-  hashed AS (SELECT *, CAST(substr("DateTime", 21, 6) AS BIGINT) + length(substation_id) AS h FROM feeders, slots),
-  measured AS (SELECT feeder_id, substation_id, "DateTime", round(225.0::DOUBLE + (h % 1000) / 100, 2) AS voltage_v,
-    round(150.0::DOUBLE + (h % 5000) / 100, 2) AS current_a FROM hashed),
-  feeder_grid AS (SELECT *, round(voltage_v * current_a * 0.95::DOUBLE / 1000.0::DOUBLE, 3) AS active_power_kw
-    FROM measured)"""
-
-
-@query("feeder_grid", f"WITH {FEEDER_SQL} SELECT *, 'SCADA_GRID_MONITOR' AS source_system FROM feeder_grid")
-def feeder_grid(spark, sf_dir):
-    """Telemetry whose measures follow from the slot's microseconds and the substation."""
-    spread = F.substring("DateTime", 21, 6).cast("bigint") + F.length("substation_id")
-    measures = {
-        "voltage_v": F.round(F.lit(225.0) + F.pmod(spread, F.lit(1000)) / 100, 2),
-        "current_a": F.round(F.lit(150.0) + F.pmod(spread, F.lit(5000)) / 100, 2),
-    }
-    slots = grid.distinct_slots(mapping.readings(spark, sf_dir), "DateTime")
-    return bronze.bronze_feeder_readings(grid.grid(slots, grid.FEEDERS, ["feeder_id", "substation_id"], measures))
-
-
-@query(
-    "fact_feeder",
-    f"""WITH {FEEDER_SQL}, typed AS (SELECT *, CAST("DateTime" AS TIMESTAMP) AS reading_timestamp FROM feeder_grid)
-      SELECT feeder_id, substation_id, reading_timestamp, voltage_v, current_a, active_power_kw,
-        'SCADA_GRID_MONITOR' AS source_system, CAST(reading_timestamp AS DATE) AS reading_date,
-        CAST(hour(reading_timestamp) AS INTEGER) AS reading_hour FROM typed""",
-)
-def fact_feeder(spark, sf_dir):
-    """Telemetry with untidy ids, delivered twice."""
-    untidy = feeder_grid(spark, sf_dir).withColumn(
-        "feeder_id", F.concat(F.lit(" "), F.lower("feeder_id"))
-    )
-    return silver.fact_feeder_readings(grid.multiply_rows(untidy, 2).drop("copy_no"))
-
-
 @query(
     "fact_meter_events",
     """WITH raw AS (SELECT 'EVT_' || CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS "LCLid",

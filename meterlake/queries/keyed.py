@@ -54,8 +54,7 @@ def new_members(spark, sf_dir):
     "assign_keys",
     f"""WITH {CUSTOMER_REGIONS}, held AS (
       SELECT "LCLid", row_number() OVER (ORDER BY "LCLid") AS customer_key
-      FROM (SELECT DISTINCT {sql_padded('MAC', 'user_id')} AS "LCLid" FROM events
-            WHERE event_type = 'purchase' AND value > 150) t),
+      FROM (SELECT DISTINCT {sql_padded('MAC', 'user_id')} AS "LCLid" FROM events) t),
     fresh AS (SELECT "LCLid" FROM customer_regions WHERE "LCLid" NOT IN (SELECT "LCLid" FROM held)),
     keyed AS (SELECT "LCLid", customer_key FROM held
       UNION ALL SELECT "LCLid", (SELECT coalesce(max(customer_key), 0) FROM held) + row_number() OVER (ORDER BY "LCLid")
@@ -63,10 +62,10 @@ def new_members(spark, sf_dir):
     SELECT "LCLid", customer_key, {sql_padded('CUST', 'customer_key')} AS customer_id FROM keyed""",
 )
 def assign_keys(spark, sf_dir):
-    """First run: the meters with a big purchase get keys.  Second run: all customers; the first keys stay."""
-    big = mapping.table(spark, sf_dir, "events").filter((F.col("event_type") == "purchase") & (F.col("value") > 150))
-    first = keys.assign_keys(big.select(mapping.meter_id().alias("LCLid")).distinct(), None, "LCLid", "customer_key")
-    members = mapping.customer_regions(spark, sf_dir).select("LCLid")
+    """First run: the meters with events get keys.  Second run: these and all customers; the first keys stay."""
+    seen = mapping.table(spark, sf_dir, "events").select(mapping.meter_id().alias("LCLid")).distinct()
+    first = keys.assign_keys(seen, None, "LCLid", "customer_key")
+    members = mapping.customer_regions(spark, sf_dir).select("LCLid").union(seen).distinct()
     keyed = keys.assign_keys(members, first, "LCLid", "customer_key")
     return keyed.withColumn("customer_id", padded_id("CUST", "customer_key"))
 

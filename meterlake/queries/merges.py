@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from functools import reduce
 
@@ -16,54 +17,58 @@ from meterlake.plans import mapping
 from meterlake.queries.registry import CUSTOMER_REGIONS, query
 from meterlake.sources.staging import stage, stage_path
 
-# Stored orders: the closed ones.  Delivered orders: every order with lines, re-priced from them.
-CLOSED_SQL = "closed AS (SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'O')"
-REPRICED_SQL = """repriced AS (SELECT l_orderkey AS o_orderkey, round(sum(l_extendedprice), 2) AS o_totalprice,
-  count(*) AS line_count FROM lineitem GROUP BY l_orderkey)"""
+# Stored orders: those not open.  Delivered orders: those not finished, re-priced from their lines where they have any.
+# Every order is on one side at least, pending ones are on both.
+STORED_SQL = "stored AS (SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'O')"
+DELIVERED_SQL = """lines AS (SELECT l_orderkey, round(sum(l_extendedprice), 2) AS price, count(*) AS line_count FROM lineitem GROUP BY 1),
+  delivered AS (SELECT o_orderkey, coalesce(price, o_totalprice) AS o_totalprice, coalesce(line_count, 0) AS line_count
+    FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'F')"""
 
 
-def closed_orders(spark, sf_dir):
+def stored_orders(spark, sf_dir):
     orders = mapping.table(spark, sf_dir, "orders").filter("o_orderstatus <> 'O'")
     return orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
 
 
-def repriced_orders(spark, sf_dir):
+def delivered_orders(spark, sf_dir):
     lines = mapping.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
-    return lines.agg(
-        F.round(F.sum("l_extendedprice"), 2).alias("o_totalprice"), F.count(F.lit(1)).alias("line_count")
+    lines = lines.agg(F.round(F.sum("l_extendedprice"), 2).alias("price"), F.count(F.lit(1)).alias("line_count"))
+    orders = mapping.table(spark, sf_dir, "orders").filter("o_orderstatus <> 'F'").join(lines, "o_orderkey", "left")
+    return orders.select(
+        "o_orderkey", F.coalesce("price", "o_totalprice").alias("o_totalprice"), F.coalesce("line_count", F.lit(0)).cast("bigint").alias("line_count")
     )
 
 
 @query(
     "merge_upsert",
-    f"""WITH {CLOSED_SQL}, {REPRICED_SQL}
-      SELECT * FROM closed WHERE o_orderkey NOT IN (SELECT o_orderkey FROM repriced)
-      UNION ALL SELECT o_orderkey, o_totalprice, 'R' FROM repriced""",
+    f"""WITH {STORED_SQL}, {DELIVERED_SQL}
+      SELECT * FROM stored WHERE o_orderkey NOT IN (SELECT o_orderkey FROM delivered)
+      UNION ALL SELECT o_orderkey, o_totalprice, 'R' FROM delivered""",
 )
 def merge_upsert(spark, sf_dir):
-    source = repriced_orders(spark, sf_dir).drop("line_count").withColumn("o_orderstatus", F.lit("R"))
-    return merge.upsert(closed_orders(spark, sf_dir), source, ["o_orderkey"], unique=True)
+    source = delivered_orders(spark, sf_dir).drop("line_count").withColumn("o_orderstatus", F.lit("R"))
+    return merge.upsert(stored_orders(spark, sf_dir), source, ["o_orderkey"], unique=True)
 
 
 @query(
     "merge_insert_only",
-    f"""WITH {CLOSED_SQL}, {REPRICED_SQL}
-      SELECT * FROM closed UNION ALL
-      SELECT o_orderkey, o_totalprice, 'R' FROM repriced WHERE o_orderkey NOT IN (SELECT o_orderkey FROM closed)""",
+    f"""WITH {STORED_SQL}, {DELIVERED_SQL}
+      SELECT * FROM stored UNION ALL
+      SELECT o_orderkey, o_totalprice, 'R' FROM delivered WHERE o_orderkey NOT IN (SELECT o_orderkey FROM stored)""",
 )
 def merge_insert_only(spark, sf_dir):
-    source = repriced_orders(spark, sf_dir).drop("line_count").withColumn("o_orderstatus", F.lit("R"))
-    return merge.merge_insert_only(closed_orders(spark, sf_dir), source, ["o_orderkey"], unique=True)
+    source = delivered_orders(spark, sf_dir).drop("line_count").withColumn("o_orderstatus", F.lit("R"))
+    return merge.merge_insert_only(stored_orders(spark, sf_dir), source, ["o_orderkey"], unique=True)
 
 
 @query(
     "merge_schema_evolution",
-    f"""WITH {CLOSED_SQL}, {REPRICED_SQL}
-      SELECT *, CAST(NULL AS BIGINT) AS line_count FROM closed WHERE o_orderkey NOT IN (SELECT o_orderkey FROM repriced)
-      UNION ALL SELECT o_orderkey, o_totalprice, NULL, line_count FROM repriced""",
+    f"""WITH {STORED_SQL}, {DELIVERED_SQL}
+      SELECT *, CAST(NULL AS BIGINT) AS line_count FROM stored WHERE o_orderkey NOT IN (SELECT o_orderkey FROM delivered)
+      UNION ALL SELECT o_orderkey, o_totalprice, NULL, line_count FROM delivered""",
 )
 def merge_schema_evolution(spark, sf_dir):
-    target, source = closed_orders(spark, sf_dir), repriced_orders(spark, sf_dir)
+    target, source = stored_orders(spark, sf_dir), delivered_orders(spark, sf_dir)
     return merge.upsert(target, source, ["o_orderkey"], unique=True, evolve=True)
 
 
@@ -126,7 +131,7 @@ DAY1, DAY2 = "TIMESTAMP '2024-01-01 00:00:00'", "TIMESTAMP '2024-01-02 00:00:00'
     "scd2_apply",
     f"""WITH {CUSTOMER_REGIONS}, base AS (
         SELECT r.*, c_acctbal FROM customer_regions r JOIN customer ON c_custkey = user_id),
-      day1 AS (SELECT "LCLid", "stdorToU", region FROM base WHERE region <> 'ASIA'),
+      day1 AS (SELECT "LCLid", "stdorToU", region FROM base WHERE region IS DISTINCT FROM 'ASIA' OR c_acctbal < 0),
       day2 AS (SELECT "LCLid", CASE WHEN c_acctbal > 5000 THEN 'ToU' ELSE "stdorToU" END AS "stdorToU", region
         FROM base WHERE c_acctbal >= 0),
       j AS (SELECT coalesce(a."LCLid", b."LCLid") AS "LCLid", a."stdorToU" AS t1, a.region AS r1, b."stdorToU" AS t2,
@@ -139,11 +144,11 @@ DAY1, DAY2 = "TIMESTAMP '2024-01-01 00:00:00'", "TIMESTAMP '2024-01-02 00:00:00'
         WHERE in2 AND NOT (in1 AND t1 IS NOT DISTINCT FROM t2 AND r1 IS NOT DISTINCT FROM r2)""",
 )
 def scd2_apply(spark, sf_dir):
-    """Two customer snapshots: the second has Asia added, debtors gone and wealthy customers moved to ToU."""
+    """Two customer snapshots: in the second, solvent Asians are new, debtors are gone and wealthy customers moved to ToU."""
     balances = mapping.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_acctbal")
     base = mapping.customer_regions(spark, sf_dir).join(balances, "user_id")
     columns = ["LCLid", "stdorToU", "region"]
-    day1 = base.filter("region <> 'ASIA'").select(*columns)
+    day1 = base.filter("NOT (region <=> 'ASIA') OR c_acctbal < 0").select(*columns)
     moved = F.when(F.col("c_acctbal") > 5000, F.lit("ToU")).otherwise(F.col("stdorToU"))
     day2 = base.filter("c_acctbal >= 0").withColumn("stdorToU", moved).select(*columns)
     first, second = (F.lit(f"2024-01-0{d} 00:00:00").cast("timestamp_ntz") for d in (1, 2))
@@ -190,26 +195,27 @@ def incremental_extract(spark, sf_dir):
 
 @query(
     "lineage_snapshot",
-    """SELECT 'manual' AS run_id, 'sample_gold' AS table_schema, t AS table_name, 'EXTERNAL' AS table_type, n AS total_rows,
+    """SELECT 'manual' AS run_id, t AS table_name, 'EXTERNAL' AS table_type, n AS total_rows,
              true AS ended_after_start
       FROM (SELECT 'orders_totals' AS t, CAST(count(DISTINCT o_orderpriority) AS BIGINT) AS n FROM orders
             UNION ALL SELECT 'events_totals', CAST(count(DISTINCT event_type) AS BIGINT) FROM events)""",
 )
 def lineage_snapshot(spark, sf_dir):
     """Save the sample's order and event totals as catalog tables, snapshot the catalog, and count the listed tables."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS sample_gold LOCATION '{stage_path(spark, 'sample_gold')}'")
+    schema = f"sample_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{stage_path(spark, schema)}'")
     for name, key in (("orders", "o_orderpriority"), ("events", "event_type")):
         totals = mapping.table(spark, sf_dir, name).where(F.col(key).isNotNull()).groupBy(key).count()
         path = stage_path(spark, name)
-        totals.write.mode("overwrite").option("path", path).saveAsTable(f"sample_gold.{name}_totals")
-    found = stage(audit.lineage_snapshot(spark, ("sample_gold",), "manual", datetime(2024, 1, 31, 6, 0, 0)), "lineage")
+        totals.write.mode("overwrite").option("path", path).saveAsTable(f"{schema}.{name}_totals")
+    found = stage(audit.lineage_snapshot(spark, (schema,), "manual", datetime(2024, 1, 31, 6, 0, 0)), "lineage")
     names = [row.table_name for row in found.select("table_name").collect()]
     counts = [
-        stage(spark.table(f"sample_gold.{n}").agg(F.count(F.lit(1)).alias("total_rows")), n).withColumn("table_name", F.lit(n))
+        stage(spark.table(f"{schema}.{n}").agg(F.count(F.lit(1)).alias("total_rows")), n).withColumn("table_name", F.lit(n))
         for n in names
     ]
-    spark.sql("DROP SCHEMA sample_gold CASCADE")
+    spark.sql(f"DROP SCHEMA {schema} CASCADE")
     ended = (F.col("pipeline_end_ts") >= F.col("pipeline_start_ts")).alias("ended_after_start")
     return found.join(reduce(DataFrame.unionByName, counts), "table_name").select(
-        "run_id", "table_schema", "table_name", "table_type", "total_rows", ended
+        "run_id", "table_name", "table_type", "total_rows", ended
     )

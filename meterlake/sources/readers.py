@@ -52,7 +52,8 @@ def _by_layout(spark: SparkSession, paths: str | list[str], wanted: T.StructType
         reader = spark.read.option("header", True)
         if line:
             fields.append(T.StructField(line, T.StringType()))
-            reader = reader.option("columnNameOfCorruptRecord", line)
+            # Fields are only counted where none is skipped.
+            reader = reader.option("columnNameOfCorruptRecord", line).option("columnPruning", False)
         frame = with_provenance(reader.schema(T.StructType(fields)).csv(files))
         if line:
             frame = frame.withColumn(_REASON, _reason(header, kinds, line))

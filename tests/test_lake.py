@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from meterlake.functions.scalars import floor_minutes
-from meterlake.operators import audit, marts, rating
+from meterlake.operators import marts, rating, security
 from meterlake.operators.drift import check_contract, null_violations
 from meterlake.operators.tables import SCHEMAS, Lake
 from meterlake.plans import bronze
@@ -58,6 +58,36 @@ def test_backfill_runs_once(spark, lake):
     assert not lake.backfill("silver.f", dimension, "k", "region")
 
 
+def test_sql_functions_follow_the_membership_table(spark, lake):
+    security.install_masks(lake)
+    reader = spark.sql("SELECT session_user()").first()[0]
+    security.set_groups(lake, "somebody else", {security.ENGINEERS})
+    calls = "gold.mask_customer_id('C'), gold.mask_lclid('L'), gold.mask_financial_value(1.5D), gold.region_filter('SOUTH')"
+
+    def view(groups):
+        security.set_groups(lake, reader, groups)
+        return tuple(spark.sql(f"SELECT {calls}").first())
+
+    assert view({security.ENGINEERS}) == ("C", "L", 1.5, True)
+    assert view({security.ANALYSTS, "north_team"}) == ("********", "********", 1.5, False)
+    spark.sql(f"DECLARE OR REPLACE VARIABLE reader_groups ARRAY<STRING> DEFAULT array('{security.ENGINEERS}')")
+    assert view(set()) == ("********", "********", None, True)
+    spark.sql("DROP TEMPORARY VARIABLE reader_groups")
+
+
+def test_lakes_stand_side_by_side(spark, lake, tmp_path):
+    other = Lake(spark, str(tmp_path / "other"), prefix="other_")
+    lake.upsert("silver.t", frame(spark, [(1, "a", "x")]), ["k"])
+    assert not other.exists("silver.t")
+    other.upsert("silver.t", frame(spark, [(2, "b", "y")]), ["k"], ["d"])
+    other.upsert("silver.t", frame(spark, [(3, "c", "z")]), ["k"], ["d"])
+    assert (rows(lake.read("silver.t").select("k")), rows(other.read("silver.t").select("k"))) == ([(1,)], [(2,), (3,)])
+    other.forget()
+    again = Lake(spark, other.root, prefix="again_")
+    assert rows(again.read("silver.t").select("k")) == [(2,), (3,)]
+    again.forget()
+
+
 def test_contract_tables(spark, lake):
     for table, contract in CONTRACTS.items():
         lake.create_from_contract(table, contract)
@@ -286,11 +316,14 @@ def test_lines_that_do_not_fit_are_set_apart(spark, tmp_path):
     folder = tmp_path / "bad"
     write_lines(folder, "a.csv", "at,name,n", "2024-01-01 00:00:00,ok,1", "2024-01-01,short", "2024-01-01 00:00:00,long,2,3")
     write_lines(folder, "b.csv", "n,at,name", 'x,"not, a time",two', ",,", "7,2024-01-02 00:00:00,")
+    write_lines(folder, "c.csv", "note,n,at,name", "x,1", "x,1,2024-01-01 00:00:00,extra,more")
     scan = readers.scan_csv_checked(spark, f"{folder}/*.csv", StructType.fromDDL("at timestamp_ntz, name string, n int"))
     assert rows(scan.rows.select("name", "n")) == [("ok", 1), (None, 7), (None, None)]
     assert rows(scan.quarantine.select("line", "reason")) == [
         ("2024-01-01 00:00:00,long,2,3", "wrong number of fields"),
         ("2024-01-01,short", "wrong number of fields"),
+        ("x,1", "wrong number of fields"),
+        ("x,1,2024-01-01 00:00:00,extra,more", "wrong number of fields"),
         ('x,"not, a time",two', "n is no int; at is no timestamp_ntz"),
     ]
     (tmp_path / "none").mkdir()
@@ -338,12 +371,19 @@ def test_retyped_values_are_cast_or_refused(spark, lake):
 
 
 def test_loads_are_told_apart_by_record_not_by_time(spark, tmp_path):
-    rows = spark.createDataFrame([("20240102_060000", 1), ("20231220_060000", 2)], "_load_id string, x int")
-    recorded = spark.createDataFrame([("w", "20240102_060000"), ("other", "20231220_060000")], "root string, _load_id string")
-    late, ids = audit.new_loads(rows, recorded, "w")
-    assert ids == ["20231220_060000"] and [r.x for r in late.collect()] == [2]
-    assert audit.new_loads(rows, None, "w")[0].count() == 2
-    assert audit.new_loads(rows.limit(0), recorded, "w")[0].count() == 0
+    root = str(tmp_path / "landed")
+    for load_id, x in (("20240102_060000", 1), ("20231220_060000", 2), ("odd: id/1 %", 3)):
+        landing.land_raw(spark.createDataFrame([(x,)], "x int"), root, "S", load_id)
+    recorded = spark.createDataFrame([(root, "20240102_060000"), ("other", "20231220_060000")], "root string, _load_id string")
+    late, ids = landing.new_loads(spark, root, recorded, provenance=True)
+    assert ids == ["20231220_060000", "odd: id/1 %"]
+    assert rows(late.select("_load_id", "x")) == [("20231220_060000", 2), ("odd: id/1 %", 3)]
+    # The recorded load is not even listed: its folder may be gone.
+    assert not [f for f in late.inputFiles() if "20240102" in f]
+    assert landing.new_loads(spark, root, None)[0].count() == 3
+    every = spark.createDataFrame([(root, i) for i in landing.load_ids(spark, root)], "root string, _load_id string")
+    nothing, ids = landing.new_loads(spark, root, every)
+    assert ids == [] and nothing.count() == 0 and "x" in nothing.columns
 
 
 def test_changed_schedule_and_class_reach_earlier_months(spark, lake, tmp_path):
