@@ -3,7 +3,8 @@
 Each source gets a target number of words.  Its documents are shuffled by a hash and laid on an axis of words, which is cut
 into blocks of equal length; a source that is taken more than once goes over its axis again.  The slots of the mix are points
 of a golden-ratio sequence, mapped through the cumulative target shares to a source, so that every stretch of the mix holds
-the sources in proportion.  The r-th slot of a source carries its r-th block.
+the sources in proportion.  Slots are drawn until every source has met all its blocks: the r-th slot of a source carries its
+r-th block, and what a document gives to the mix is what its blocks with a slot hold of it.
 
 Ranks and running sums are made in two levels (within hash ranges, then over their totals), so that a source holding a third of
 all rows is spread over many tasks.  Only the table of sources is taken whole: one row per source, of which there are few.
@@ -11,6 +12,7 @@ all rows is spread over many tasks.  Only the table of sources is taken whole: o
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,9 +21,12 @@ from pyspark.sql import functions as F
 from meterlake.sources.staging import stage
 
 BLOCK_WORDS = 4096
-RANGE_ROWS = 20_000  # documents or slots ranked together in one task, about
-CHUNK_BLOCKS = 100_000  # blocks of a source listed together in one task
+RANGE_ROWS = 2_000  # documents or slots ranked together in one task, about; the root of their number, if that is more
 CELLS = 1024  # grid over the cumulative shares
+# The golden-ratio sequence leaves no gap wider than 2.618 / n after n points, so that among so many slots for each block every
+# stretch of the shares that is a block long has been hit.
+SLOTS_A_BLOCK = 2.7
+SPARE_SLOTS = 64
 # The golden ratio as a multiplier of a prime modulus; products stay within 63 bits.
 MODULUS = 2_147_483_647
 GOLDEN = 1_327_217_884
@@ -30,7 +35,7 @@ GOLDEN = 1_327_217_884
 @dataclass
 class Mix:
     sources: DataFrame  # source, source_size, target, goal (whole words)
-    blocks: DataFrame  # slot, source, block: the order of the mix; slot null for blocks after the schedule
+    blocks: DataFrame  # slot, source, block: the order of the mix
     docs: DataFrame  # doc_id, source, size, source_size, target, taken, extra columns
 
 
@@ -77,37 +82,44 @@ def _ranged(df: DataFrame, by: str, ranges: Column) -> tuple[DataFrame, DataFram
     return df, per.select(F.col("source").alias("s"), F.col("range").alias("q"), F.coalesce(F.sum("here").over(so_far), F.lit(0)).alias("offset"))
 
 
-def schedule(sources: DataFrame, slots: int, block_words: int) -> DataFrame:
-    """slot, source, block: slots of the golden-ratio sequence, each with the rank it has within its source.
+def _range_rows(rows: int) -> int:
+    return max(RANGE_ROWS, math.isqrt(rows))
 
-    More slots than blocks are drawn; the few blocks a source has beyond its ranks come after the schedule.
+
+def schedule(sources: DataFrame, blocks: int, block_words: int) -> DataFrame:
+    """slot, source, block: the slots of the golden-ratio sequence that carry a block.  ``blocks``: of all sources together.
+
+    The shares of the sources are their blocks; a source takes the slots that fall into its share until it has none left.
     """
     spark = sources.sparkSession
-    shares = sources.where("goal > 0").select(
+    slots = int(blocks * SLOTS_A_BLOCK) + SPARE_SLOTS
+    shares = sources.where("goal > 0").withColumn("blocks", n_blocks(block_words))
+    shares = shares.select(
         F.struct("source").alias("source"),  # a struct is never null: a null source joins like any other
-        "goal",
-        F.sum("goal").over(Window.partitionBy(F.lit(1)).orderBy(F.col("source").asc_nulls_last())).alias("upto"),
-        F.sum("goal").over(Window.partitionBy(F.lit(1))).alias("all"),
+        "blocks",
+        F.sum("blocks").over(Window.partitionBy(F.lit(1)).orderBy(F.col("source").asc_nulls_last())).alias("upto"),
+        F.lit(blocks).alias("all"),
     )
     edges = shares.select(
         "source",
-        ((F.col("upto") - F.col("goal")) / F.col("all") * MODULUS).cast("bigint").alias("lo"),
+        "blocks",
+        ((F.col("upto") - F.col("blocks")) / F.col("all") * MODULUS).cast("bigint").alias("lo"),
         F.when(F.col("upto") == F.col("all"), F.lit(MODULUS)).otherwise((F.col("upto") / F.col("all") * MODULUS).cast("bigint")).alias("hi"),
     )
     width = -(-MODULUS // CELLS)
     cells = edges.where("lo < hi").withColumn("cell", F.explode(F.expr(f"sequence(lo div {width}, (hi - 1) div {width})")))
     points = spark.range(slots).select(F.col("id").alias("slot"), F.expr(f"(id % {MODULUS}) * {GOLDEN} % {MODULUS}").alias("point"))
     drawn = points.withColumn("cell", F.expr(f"point div {width}")).join(cells, "cell").where("point >= lo AND point < hi")
-    drawn, before = _ranged(drawn.select("slot", "source", F.lit(1).alias("one")), "one", F.expr(f"slot div {RANGE_ROWS}"))
+    drawn = drawn.select("slot", "source", "blocks", F.lit(1).alias("one"))
+    drawn, before = _ranged(drawn, "one", F.expr(f"slot div {_range_rows(slots)}"))
     rank = F.row_number().over(Window.partitionBy("source", "range").orderBy("slot")) - 1
     ranked = drawn.withColumn("rank", rank).join(before, F.expr("source = s AND range = q"))
-    ranked = ranked.select("slot", "source", (F.col("rank") + F.col("offset")).alias("block"))
-    # Blocks of a source are dealt to tasks by chunks, so that no task or array holds all of a large source.
-    last = F.expr(f"(goal - 1) div {block_words}")
-    chunks = shares.select("source", last.alias("last"), F.explode(F.sequence(F.lit(0), F.floor(last / CHUNK_BLOCKS))).alias("chunk"))
-    ends = F.least("last", (F.col("chunk") + 1) * CHUNK_BLOCKS - 1)
-    blocks = chunks.repartition("source", "chunk").select("source", F.explode(F.sequence(F.col("chunk") * CHUNK_BLOCKS, ends)).alias("block"))
-    return blocks.join(ranked, ["source", "block"], "left").select("slot", F.col("source.source").alias("source"), "block")
+    ranked = ranked.withColumn("block", F.col("rank") + F.col("offset")).where("block < blocks")
+    return ranked.select("slot", F.col("source.source").alias("source"), "block")
+
+
+def n_blocks(block_words: int) -> Column:
+    return F.expr(f"(goal + {block_words - 1}) div {block_words}")
 
 
 def mix_sources(
@@ -124,8 +136,8 @@ def mix_sources(
     """Mix all documents: sources weigh ``weights`` in turn by name (null last) and share ``percent`` of all words.
 
     A target stops at ``most`` times its source; the excess is shared again by weight.  taken of a document is the sum of its
-    words in the blocks of the schedule, repeats counted: at most ``most`` times its size, and over a source exactly its target
-    rounded to whole words.  Documents without words, or with a null text, take part with 0 words; a null source is a source.
+    words in the blocks that have a slot of the schedule, repeats counted: at most ``most`` times its size, and over a source
+    exactly its target rounded to whole words.  first_slot is the first slot that holds a word of it, null if none does.  Documents without words, or with a null text, take part with 0 words; a null source is a source.
     Rows are told apart by their place on the axis, so repeated rows and null ids stay rows of their own.  ``keep`` names columns
     to carry along; they come out under ``extra``, a struct, so that no name can clash.
     """
@@ -137,8 +149,8 @@ def mix_sources(
     per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     sources = source_targets(per_source.select("source.source", "source_size"), list(weights), percent, most)
     sources = stage(sources, "targets")
-    total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    ranges = max(1, -(-total[0] // RANGE_ROWS))
+    total = rows.agg(F.count(F.lit(1))).first()
+    ranges = max(1, -(-total[0] // _range_rows(total[0])))
     order = F.xxhash64(F.lit("mix"), "doc_id", "size")
     placed, before = _ranged(rows.withColumn("order", order), "size", F.pmod("order", F.lit(ranges)))
     # Ties of the hash are rows of one id and size; any order of them gives the same rows.
@@ -147,8 +159,10 @@ def mix_sources(
     goals = sources.select(F.struct("source").alias("s2"), "source_size", "target", "goal")
     placed = placed.join(goals, F.expr("source = s2")).withColumn("begin", F.col("begin") + F.col("offset"))
     placed = stage(placed.select("doc_id", "source", "size", "extra", "begin", "source_size", "target", "goal"), "axis")
-    slots = int(total[1] * percent / 100 / block_words * 1.02) + 64
-    blocks = stage(schedule(sources, slots, block_words), "schedule")
+    wanted = sources.agg(F.coalesce(F.sum(n_blocks(block_words)), F.lit(0))).first()[0]
+    blocks = stage(schedule(sources, wanted, block_words), "schedule")
+    if (scheduled := blocks.count()) != wanted:
+        raise RuntimeError(f"{scheduled} of {wanted} blocks have a slot: more blocks than the sequence has points for, take larger ones")
     # Words of each document in each pass over the axis, cut at the goal, then by block.
     passes = placed.where("size > 0").select("source", "size", "begin", "goal", "source_size", F.explode(F.sequence(F.lit(0), F.lit(most - 1))).alias("pass"))
     passes = passes.select(

@@ -71,7 +71,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(_table(spark, sf_dir, "documents")).docs.select("doc_id", "size", "source_size", "target", "taken")
+    return mix_sources(_table(spark, sf_dir, "documents")).docs.select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

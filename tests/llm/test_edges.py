@@ -252,9 +252,9 @@ def test_steps_are_bounded(monkeypatch):
     assert list(_steps(np.array([], int))) == []
 
 
-def test_chunks_of_blocks(spark, monkeypatch):
-    """Sources whose blocks come in several chunks are taken whole, like any other."""
-    monkeypatch.setattr("meterlake.llm.mixing.CHUNK_BLOCKS", 3)
+def test_every_block_has_a_slot(spark, monkeypatch):
+    """Sources are taken whole, whatever the ranges in which slots and documents are ranked."""
+    monkeypatch.setattr("meterlake.llm.mixing.RANGE_ROWS", 3)
     rows = [(i, "w " * 50, "a" if i % 2 else "b") for i in range(60)]
     mix = mix_sources(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), block_words=50)
     goals = {r.source: r.goal for r in mix.sources.collect()}
