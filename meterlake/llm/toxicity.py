@@ -1,13 +1,16 @@
 """Toxicity by compression distance: two zstandard dictionaries, one of toxic and one of ordinary text.
 
-The dictionaries share a background of frequent ordinary words and differ in a part of equal length: words that toxic
-documents hold far more often than ordinary ones, against ordinary words.  Counts of a word are of documents with different
-surroundings of it, so that copies of one document count once.  A run of letters longer than a word can be, as in scripts
-without spaces, is cut into overlapping pieces that count as words: every byte is in one, here and in scoring.  A window is a
-word followed by a filler both dictionaries
-hold; its gain is the length it compresses to with the ordinary dictionary less the length with the toxic one, its distance
-the bytes it adds to the filler under the toxic one.  The gains and distances of a whole text, counted at several thresholds,
-are calibrated to a probability on labelled rows.
+The dictionaries share a background of frequent ordinary words and differ in a part of equal length: terms that toxic documents
+hold far more often than ordinary ones, against ordinary words.  A term is a word, or a beginning that many words of toxic
+documents have in common.  Counts of a term are of documents with different surroundings of it, so that copies of one document
+count once.  A run of letters longer than a word can be, as in scripts without spaces, is cut into overlapping pieces that count as
+words: every byte is in one, here and in scoring.
+
+Every word is a window, compressed before a filler that both dictionaries hold; its gain is the length it compresses to with the
+ordinary dictionary less the length with the toxic one, its distance the bytes it adds to the filler under the toxic one.  About
+each word that gains, the words on either side make a wider window, and windows of neighbours overlap; their gains tell terms
+among terms from a lone likeness.  Gains and distances of a whole text, counted at several thresholds, are calibrated to a
+probability on labelled rows.
 
 Dictionaries and calibration are fitted on a bounded sample of labelled rows; scoring covers every document.  A word is
 compressed once per task and remembered within a bound.
@@ -30,10 +33,16 @@ from meterlake.llm.text import LETTER_DIGIT, Slice, Words, mix, slices, word_has
 from meterlake.sources.staging import stage
 
 SAMPLE_ROWS = 12_000  # labelled documents the dictionaries and the calibration are fitted on, at most (in expectation)
-BACKGROUND_BYTES = 100_000
-CLASS_WORDS = 1_000
+BACKGROUND_BYTES = 8_000
+CLASS_TERMS = 1_000
+# A term of the toxic dictionary is in more than LEAST toxic documents, LIFT times as often as in ordinary ones, and Z deviations more often than by chance.
+LEAST, LIFT, Z = 4, 4, 4
+STEM = (4, 7)  # characters of a beginning
+STEM_GAIN = 1.5  # times the documents of any longer term it begins, or the longer ones say as much
 FILLER_BYTES = 40
-LEVEL = 3
+SIDE_WORDS = 2  # words on either side of one that gains
+SUSPECT = 2  # gain of such a word
+HASH_LOG = 17  # the match finder keeps every place of a dictionary
 REMEMBERED = 500_000  # words whose window a task keeps: 16 bytes each
 LONGEST_WORD = 200  # bytes of a word; a longer run of letters is cut into pieces
 PIECE_BYTES = 48  # bytes of a piece; pieces overlap by half
@@ -67,7 +76,8 @@ def _pieces(part: Slice) -> Words:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """y, text -> one row per document and word: the word and one value of its surroundings (the least there)."""
+    """y, text -> one row per document and term: a word with a blank behind it, or a beginning, and a value of its surroundings
+    (the least there)."""
     for batch in batches:
         labels = batch.column(0).to_numpy()
         for part in slices(batch.column(1)):
@@ -85,15 +95,21 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 text = part.data.tobytes() if len(part) == 1 else part.data[part.offsets[i] : part.offsets[i + 1]].tobytes()
                 base = part.offsets[i]
                 names = [text[found.starts[lo + k] - base : found.ends[lo + k] - base].lower() for k in first]
-                y = np.full(len(first), labels[part.first + i], np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.binary()), pa.array(y), pa.array(around[first].view(np.int64))], ["word", "y", "around"]
-                )
+                terms: dict[bytes, int] = {}
+                for name, k in zip(names, first):
+                    terms[name + b" "] = k
+                    letters = name.decode("utf-8", "ignore")
+                    for size in range(STEM[0], min(STEM[1] + 1, len(letters))):
+                        terms.setdefault(letters[:size].encode(), k)
+                y = np.full(len(terms), labels[part.first + i], np.int32)
+                seen = around[list(terms.values())].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(list(terms), pa.binary()), pa.array(y), pa.array(seen)], ["word", "y", "around"])
 
 
 def _joined(names: list[bytes], size: int) -> bytes:
     out = b" "
     for name in names:
+        name = name.strip()
         if len(out) + len(name) + 1 <= size:
             out += name + b" "
     return out + b" " * (size - len(out))
@@ -112,14 +128,26 @@ def _dictionaries(sample: DataFrame) -> Model | None:
         "z", (F.col("toxic") - n1 * share) / F.sqrt(F.greatest(n1 * share * (1 - share) * (n0 / (n0 + n1)), F.lit(1e-9)))
     ).withColumn("lift", (F.col("toxic") + 0.5) / (n1 + 1) / ((F.col("ordinary") + 0.5) / (n0 + 1)))
     counts = stage(counts, "word-counts")
-    marked = counts.where("z > 4 AND lift > 4 AND toxic > 4")
-    toxic = [bytes(r.word) for r in marked.orderBy(F.desc("z"), "word").limit(CLASS_WORDS).collect()]
-    plain = counts.join(marked.select("word"), "word", "left_anti").where("ordinary > 0")
-    frequent = [bytes(r.word) for r in plain.orderBy(F.desc("ordinary"), "word").limit(BACKGROUND_BYTES // 2).collect()]
+    marked = counts.where(f"z > {Z} AND lift > {LIFT} AND toxic > {LEAST}").orderBy(F.desc("z"), "word").limit(8 * CLASS_TERMS)
+    found = {bytes(r.word): r.toxic for r in marked.select("word", "toxic").collect()}
+    terms = _telling(found)[:CLASS_TERMS]
+    plain = counts.where("ordinary > 0 AND endswith(word, X'20')").orderBy(F.desc("ordinary"), "word").limit(BACKGROUND_BYTES)
+    frequent = [bytes(r.word) for r in plain.select("word").collect()]
+    frequent = [w for w in frequent if not any(w.startswith(t) for t in terms)]
     background = _joined(frequent, BACKGROUND_BYTES)
-    size = max(16, sum(len(w) + 1 for w in toxic) + 1)
-    rest = frequent[background.count(b" ") :] or frequent
-    return Model(_joined(toxic, size) + background, _joined(rest, size) + background)
+    size = max(16, sum(len(t.strip()) + 1 for t in terms) + 1)
+    return Model(_joined(terms[::-1], size) + background, _joined(frequent, size) + background)
+
+
+def _telling(found: dict[bytes, int]) -> list[bytes]:
+    """The terms without beginnings that say little more than a longer term; the most telling first, as given."""
+    longest: dict[bytes, int] = {}
+    for term, n in found.items():
+        letters = term.decode("utf-8", "ignore")
+        for size in range(STEM[0], len(letters)):
+            begin = letters[:size].encode()
+            longest[begin] = max(longest.get(begin, 0), n)
+    return [t for t, n in found.items() if t.endswith(b" ") or n >= STEM_GAIN * longest.get(t, 0)]
 
 
 class _Windows:
@@ -135,10 +163,35 @@ class _Windows:
     def compressor(content: bytes) -> zstandard.ZstdCompressor:
         kept = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         settings = zstandard.ZstdCompressionParameters.from_level(
-            LEVEL, source_size=64, dict_size=len(content), write_content_size=False, write_dict_id=False
+            3,
+            strategy=zstandard.STRATEGY_BTLAZY2,
+            min_match=4,
+            hash_log=HASH_LOG,
+            chain_log=HASH_LOG,
+            source_size=256,
+            dict_size=len(content),
+            write_content_size=False,
+            write_dict_id=False,
+            write_checksum=False,
         )
         return zstandard.ZstdCompressor(dict_data=kept, compression_params=settings)
 
+    def length(self, window: bytes) -> tuple[int, int]:
+        """Gain and distance of a window."""
+        window = b" " + window.lower() + self.filler
+        size = len(self.compress[0](window))
+        return len(self.compress[1](window)) - size, size - self.alone
+
+    def wider(self, data: np.ndarray, found: Words, gain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(word, gain) of the wider window about each word that gains, within its text."""
+        at = np.flatnonzero(gain >= SUSPECT)
+        row = np.searchsorted(found.first, at, "right") - 1
+        lo, hi = np.maximum(at - SIDE_WORDS, found.first[row]), np.minimum(at + SIDE_WORDS + 1, found.first[row + 1])
+        out = np.zeros(len(at), np.int64)
+        for k, (a, b) in enumerate(zip(lo, hi)):
+            out[k] = self.length(b" ".join(data[found.starts[i] : found.ends[i]].tobytes() for i in range(a, b)))[0]
+        return at, out
+
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         values, first, which = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
         row = np.minimum(np.searchsorted(self.values, values), max(0, len(self.values) - 1))
@@ -146,12 +199,9 @@ class _Windows:
         out = np.zeros((len(values), 2), np.int16)
         out[seen] = self.known[row[seen]]
         new = np.flatnonzero(~seen)
-        toxic, ordinary = self.compress
         for k in new:
             i = first[k]
-            window = b" " + data[starts[i] : ends[i]].tobytes().lower() + self.filler
-            size = len(toxic(window))
-            out[k] = len(ordinary(window)) - size, size - self.alone
+            out[k] = self.length(data[starts[i] : ends[i]].tobytes())
         if len(self.values) + len(new) > REMEMBERED:
             self.values, self.known = self.values[::2], self.known[::2]
         self.values = np.concatenate([self.values, values[new]])
@@ -161,32 +211,39 @@ class _Windows:
         return out[which]
 
 
-def _features(windows: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Per row of a slice: words at several thresholds of gain, also by distance, as amounts and as shares."""
+FEATURES = 39
+
+
+def _features(words: np.ndarray, wider: tuple[np.ndarray, np.ndarray], first: np.ndarray) -> np.ndarray:
+    """Per row of a slice: words at several thresholds of gain, also by distance, and wider windows by gain, as amounts and as
+    shares."""
     n = np.diff(first)
-    gain, distance = windows[:, 0], windows[:, 1]
+    gain, distance = words[:, 0], words[:, 1]
 
-    def count(mask: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(mask)])
-        return np.diff(total[first]).astype(np.float64)
+    def count(at: np.ndarray) -> np.ndarray:
+        return np.diff(np.searchsorted(at, first)).astype(np.float64)
 
-    by_gain = [count(gain >= k) for k in range(1, 6)]
-    close = [count((gain >= k) & (distance <= m)) for k in (2, 3) for m in (3, 4, 5, 6)]
-    return np.column_stack(
-        [*map(np.log1p, by_gain), *(c / np.sqrt(n + 20) for c in by_gain), *map(np.log1p, close), np.log(n + 20)]
-    )
+    counts = [count(np.flatnonzero(gain >= k)) for k in range(1, 6)]
+    counts += [count(np.flatnonzero((gain >= k) & (distance <= m))) for k in (2, 3) for m in (3, 4, 5, 6)]
+    counts += [count(wider[0][wider[1] >= k]) for k in (2, 3, 4, 5, 6, 8)]
+    return np.column_stack([*map(np.log1p, counts), *(c / np.sqrt(n + 20) for c in counts), np.log(n + 20)])
 
 
 def _feature_rows(texts: pa.Array, windows: _Windows) -> np.ndarray:
     rows = []
     for part in slices(texts):
         found = _pieces(part)
-        rows.append(_features(windows(part.data, found.starts, found.ends), found.first))
-    return np.concatenate(rows) if rows else np.zeros((0, 19))
+        words = windows(part.data, found.starts, found.ends)
+        rows.append(_features(words, windows.wider(part.data, found, words[:, 0]), found.first))
+    return np.concatenate(rows) if rows else np.zeros((0, FEATURES))
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """Dictionaries and calibration from labelled documents outside the held-out fold; None if a class is missing."""
+    """Dictionaries and calibration from labelled documents outside the held-out fold; None if a class is missing.
+
+    A labelled id counts once, however often it repeats, with the least of its texts and the largest of its labels; null ids and
+    labels are left out, a null text is empty.  Texts of any length count whole.  Other columns play no part.
+    """
     known = training_labels(labels, label, sample_rows, doc_id)
     sample = docs.where(~held_out(doc_id)).select(F.col(doc_id).alias("id"), F.coalesce(text, F.lit("")).alias("text"))
     # One row per labelled id, however often the id repeats.
@@ -203,14 +260,17 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             x = _feature_rows(batch.column(1), windows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64()))], ["y", "x"])
 
-    table = sample.mapInArrow(features, "y int, x array<double>").toArrow()  # the bounded sample: 19 numbers a row
+    table = sample.mapInArrow(features, "y int, x array<double>").toArrow()  # the bounded sample: FEATURES numbers a row
     x = np.array(table.column("x").to_pylist(), np.float64).reshape(table.num_rows, -1)
     model.weights = logistic(x, table.column("y").to_numpy().astype(np.float64))
     return model
 
 
 def toxicity(docs: DataFrame, text: Column | str, model: Model | None) -> Column:
-    """Probability that a text is toxic, 0 to 1; a null text counts as empty.  Without a model every score is 0."""
+    """Probability that a text is toxic, 0 to 1; a null text counts as empty.  Without a model every score is 0.
+
+    A score follows from the text alone: repeated rows score alike, and no other column counts, whatever its name.
+    """
     if model is None:
         return F.lit(0.0)
     shared = share(docs.sparkSession.sparkContext, model)
