@@ -5,8 +5,8 @@ token: of its shingles of three words, ordered by rarity over all documents, the
 tokens only; the place of a token in its window bounds where the window may begin and end in the document, and what is left
 is verified word by word.
 
-The benchmark is taken in blocks of a bounded number of windows, each of them broadcast to one scan.  Documents are not
-shuffled.
+The benchmark is taken in blocks of a bounded number of windows, one broadcast at a time.  With one block, documents are not
+shuffled; with several, what each finds is written and joined to the documents by a 64-bit value of the text.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.llm.hot import hot_keys, spread_join
 from meterlake.llm.sharing import bound_batches, load, share
 from meterlake.llm.text import LETTER_DIGIT, rolling, slices, word_hashes, words
 from meterlake.sources.staging import stage
@@ -224,7 +225,7 @@ def _scan(shared):
     return scan
 
 
-def _merged(spans: Column) -> Column:
+def _merged(spans: Column | str) -> Column:
     """Union of spans given as flat [start, end) pairs."""
 
     @F.arrow_udf("array<bigint>")
@@ -264,26 +265,29 @@ def find_benchmark(
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text"))
     items = items.dropna(subset=["text"] if without_id else ["item", "text"])
     items = items.mapInArrow(_windows(window), "item string, window array<bigint>").distinct()
-    context, columns = docs.sparkSession.sparkContext, []
-    for block in _blocks(stage(items, "windows"), window):
-        index = _by_rarity(block, docs, text)
-        columns.append(_scan(share(context, (block, index))))
-    if not columns:
-        nothing = _Block(np.zeros((0, window), np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), [""])
-        columns.append(_scan(share(context, (nothing, {}))))
+    context, windows = docs.sparkSession.sparkContext, stage(items, "windows")
     keep = [c for c in docs.columns if c != "leak"]
-    if len(columns) == 1:
-        return docs.select(*keep, columns[0](text).alias("leak"))
-    parts = docs.select(*keep, *(c(text).alias(f"_leak{i}") for i, c in enumerate(columns)))
-    each = [F.col(f"_leak{i}") for i in range(len(columns))]
-    return parts.select(
-        *keep,
-        F.struct(
-            each[0]["n_words"].alias("n_words"),
-            _merged(F.concat(*(c["hits"] for c in each))).alias("hits"),
-            F.array_distinct(F.concat(*(c["items"] for c in each))).alias("items"),
-        ).alias("leak"),
-    )
+    if windows.count() * 5 <= 4 * BLOCK_WINDOWS:
+        nothing = _Block(np.zeros((0, window), np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), [""])
+        block = next(_blocks(windows, window), nothing)
+        index = _by_rarity(block, docs, text) if len(block.rows) else {}
+        return docs.select(*keep, _scan(share(context, (block, index)))(text).alias("leak"))
+    # What is found depends on the text alone.  Of each block the texts with hits are written, then its broadcast goes.
+    found = None
+    for block in _blocks(windows, window):
+        shared = share(context, (block, _by_rarity(block, docs, text)))
+        hit = docs.select(F.xxhash64(text).alias("key"), _scan(shared)(text).alias("leak")).where("size(leak.hits) > 0")
+        hit = stage(hit.select("key", "leak.hits", "leak.items").distinct(), "hits")
+        shared.unpersist()
+        found = hit if found is None else found.unionByName(hit)
+    found = found.groupBy("key").agg(F.flatten(F.collect_list("hits")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    found = stage(found.select("key", _merged("spans").alias("hits"), "items"), "merged-hits")
+    keyed = docs.select(F.struct(*keep).alias("row"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
+    out = spread_join(keyed, found, "key", stage(hot_keys(keyed.select("key")), "hot"))
+    none = _Block(np.zeros((0, window), np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), [""])
+    out = out.withColumn("n_words", _scan(share(context, (none, {})))("text")["n_words"])
+    hits, items = F.coalesce("hits", F.lit([]).cast("array<bigint>")), F.coalesce("items", F.lit([]).cast("array<string>"))
+    return out.select("row.*", F.struct("n_words", hits.alias("hits"), items.alias("items")).alias("leak"))
 
 
 def n_hit(leak: str = "leak") -> Column:

@@ -44,7 +44,7 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = find_benchmark(docs, _table(spark, sf_dir, "benchmark"))
+    found = find_benchmark(docs, _table(spark, sf_dir, "benchmark"), without_id=True)
     return found.select("doc_id", F.col("leak.n_words").alias("n_words"), n_hit().alias("n_hit"), F.array_sort("leak.items").alias("items")).select(
         "doc_id",
         "n_words",
@@ -191,7 +191,7 @@ _OP11_SQL = _near_sql(2, 80, ", w.doc_id = min(r.y) AS kept")
 _OP3_SQL = f"""
 WITH words AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_LETTERS}') AS w FROM documents),
 items AS (
-    SELECT item_id, regexp_extract_all({_LOWER}, '{_LETTERS}') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+    SELECT item_id, regexp_extract_all({_LOWER}, '{_LETTERS}') AS w FROM benchmark WHERE text IS NOT NULL),
 windows AS (
     SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS v
     FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0),
@@ -201,7 +201,7 @@ places AS (
 hits AS (SELECT doc_id, i, k, item_id FROM places JOIN windows USING (v)),
 hit_words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM hits, unnest(range(i, i + k)) AS t(j) GROUP BY doc_id),
 hit_items AS (
-    SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    SELECT doc_id, count(id) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
     FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
