@@ -1,12 +1,13 @@
 """Exact top-k search by inner product with a three-phase uniform threshold.
 
-A score is the sum of the scores on SEGMENTS parts of the vector.  For a block of queries:
+A score is the sum of the scores on two parts of the vector.  The first part's is computed for all pairs of a query and a row; the
+second part's only where it can matter.  For a block of queries:
 
-1. every task takes, for each query, the k best rows of each part and reports their whole scores (a local score list); the
-   k-th best over all tasks is a safe cutoff, since k rows reach it;
-2. the cutoffs are broadcast; a row that reaches the cutoff has a part that reaches cutoff / SEGMENTS, so the entries that do
-   are sufficient;
-3. the remaining parts of their scores are added exactly, and the best k per query are merged.
+1. every task takes, for each query, the k best rows by the first part of each step of rows, resolves their whole scores, and
+   reports the k best (a local score list); the k-th best over all tasks is a safe cutoff, since k rows reach it;
+2. the cutoffs are broadcast; the second part adds at most the product of the lengths of both vectors there, so the entries that
+   reach the cutoff with that added are sufficient, and every other row is done with its first part;
+3. the second parts of the sufficient entries are added exactly, and the best k per query are merged.
 
 Queries come in blocks of bounded size against all rows; scores are not emitted but for the best k of a task and query.
 """
@@ -24,8 +25,10 @@ from meterlake.sources.staging import stage
 
 QUERY_BLOCK = 4096
 ROW_STEP = 4096
-SEGMENTS = 2
+PAIRS_AT_ONCE = 100_000  # second parts gathered and multiplied together
+DENSE = 8  # from one in so many pairs on, second parts are computed as a whole matrix
 _EXACT = float(1 << 53)
+_LARGEST = float(1 << 63)
 
 
 def quantised(vector: str = "embedding", scale: int = 256) -> Column:
@@ -47,15 +50,33 @@ def _matrix(column: pa.ListArray, width: int) -> np.ndarray:
     return out
 
 
+def _most(a: np.ndarray, b: np.ndarray) -> float:
+    return float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
+
+
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer products: in floating point where every sum is exact, else in 64 bits."""
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
+    """Integer products: in floating point where every sum is exact, else in 64 bits; raises where those might not do."""
+    if (most := _most(a, b)) >= _LARGEST:
+        raise ValueError("components too large: scores may leave 64 bits")
     return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64) if most < _EXACT else a @ b.T
 
 
-def _parts(queries: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
-    cut = np.linspace(0, queries.shape[1], SEGMENTS + 1).astype(int)
-    return [_product(queries[:, a:b], rows[:, a:b]) for a, b in zip(cut[:-1], cut[1:])]
+def _rest(queries: np.ndarray, rows: np.ndarray, q: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Scores of the second parts of the pairs (q, r)."""
+    if len(q) * DENSE >= len(queries) * len(rows):
+        return _product(queries, rows)[q, r]
+    if _most(queries, rows) >= _LARGEST:
+        raise ValueError("components too large: scores may leave 64 bits")
+    out = np.empty(len(q), np.int64)
+    for lo in range(0, len(q), PAIRS_AT_ONCE):
+        some = slice(lo, lo + PAIRS_AT_ONCE)
+        out[some] = np.einsum("ij,ij->i", queries[q[some]], rows[r[some]])
+    return out
+
+
+def _lengths(part: np.ndarray) -> np.ndarray:
+    """Euclidean lengths, rounded up."""
+    return np.sqrt((part.astype(np.float64) ** 2).sum(axis=1)) * (1 + 1e-9)
 
 
 _NEVER = np.iinfo(np.int64).min
@@ -69,21 +90,20 @@ def _steps(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.n
 
 
 def _local_lists(shared, k: int):
-    """Phase 1: (query, score), the k best whole scores among the rows that lead one of the parts."""
+    """Phase 1: (query, score), the k best whole scores among the rows that lead the first part."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, queries = shared.value
+        half = queries.shape[1] // 2
         best = np.full((len(ids), k), _NEVER)
         for names, rows in _steps(batches, queries.shape[1]):
-            parts = _parts(queries, rows)
-            own = ids[:, None] == names[None, :]
-            lead = np.zeros(own.shape, bool)
-            for p in parts:
-                leaders = np.argpartition(np.where(own, _NEVER, p), max(0, len(names) - k), axis=1)[:, -k:]
-                np.put_along_axis(lead, leaders, True, axis=1)
-            found = np.where(lead & ~own, sum(parts), _NEVER)
-            best = np.concatenate([best, np.partition(found, max(0, len(names) - k), axis=1)[:, -k:]], axis=1)
-            best = np.sort(best, axis=1)[:, -k:]
+            part = np.where(ids[:, None] == names[None, :], _NEVER, _product(queries[:, :half], rows[:, :half]))
+            lead = np.argpartition(part, max(0, len(names) - k), axis=1)[:, -k:]
+            q, r = np.repeat(np.arange(len(ids)), lead.shape[1]), lead.reshape(-1)
+            own = ids[q] == names[r]
+            found = np.full(len(q), _NEVER)
+            found[~own] = part[q[~own], r[~own]] + _rest(queries[:, half:], rows[:, half:], q[~own], r[~own])
+            best = np.sort(np.concatenate([best, found.reshape(lead.shape)], axis=1), axis=1)[:, -k:]
         q, j = np.nonzero(best > _NEVER)
         yield pa.RecordBatch.from_arrays([pa.array(q.astype(np.int32)), pa.array(best[q, j])], ["q", "score"])
 
@@ -91,21 +111,19 @@ def _local_lists(shared, k: int):
 
 
 def _sufficient(shared, cutoffs, k: int):
-    """Phases 2 and 3 in a task: entries with a part at the uniform threshold, their whole scores, the best k per query."""
+    """Phases 2 and 3 in a task: entries that may reach the cutoff by their first part, their whole scores, the best k per query."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, queries = shared.value
-        cutoff = cutoffs.value
-        threshold = -(-cutoff // SEGMENTS)  # a sum that reaches the cutoff has a part that reaches its mean, rounded up
+        cutoff, half = cutoffs.value, queries.shape[1] // 2
+        reach = _lengths(queries[:, half:])
         held = [np.zeros(0, np.int64) for _ in range(3)]
         for names, rows in _steps(batches, queries.shape[1]):
-            parts = _parts(queries, rows)
-            enough = parts[0] >= threshold[:, None]
-            for p in parts[1:]:
-                enough |= p >= threshold[:, None]
-            q, r = np.nonzero(enough)
-            score = sum(p[q, r] for p in parts)
-            fine = (score >= cutoff[q]) & (ids[q] != names[r])
+            part = _product(queries[:, :half], rows[:, :half])
+            enough = part + np.multiply.outer(reach, _lengths(rows[:, half:])) + 1 >= cutoff[:, None]
+            q, r = np.nonzero(enough & (ids[:, None] != names[None, :]))
+            score = part[q, r] + _rest(queries[:, half:], rows[:, half:], q, r)
+            fine = score >= cutoff[q]
             held = [np.concatenate(x) for x in zip(held, (q[fine], score[fine], names[r[fine]]))]
             order = np.lexsort((held[2], -held[1], held[0]))
             held = [x[order] for x in held]
@@ -120,7 +138,8 @@ def top_k(rows: DataFrame, is_query: str, k: int = 5, vec_id: str = "vec_id", ve
     """query_id, rank, vec_id, score: for each query its k highest scores (all, if fewer), ties to the smaller vec_id.
 
     is_query: SQL condition on vec_id.  Candidates are all rows with another vec_id than the query's.  Rows with a null id, or a
-    null vector or component, or one that is not finite, take no part; scores are 64-bit.  A query id that repeats asks once, with
+    null vector or component, or one that is not finite, take no part; scores are 64-bit, and components so large that a score
+    might not fit raise.  A query id that repeats asks once, with
     the smallest of its vectors; as candidates all repeats count.  Vectors of unequal length multiply over their common part.
     """
     spark = rows.sparkSession

@@ -283,6 +283,40 @@ def test_schedule_is_even(spark):
         assert abs(order[lo : lo + 60].count("a") / 60 - share) < 0.06
 
 
+def test_top_k_scores_few_pairs_whole(monkeypatch):
+    """The second part is computed for leaders and for what the bound leaves, a small share of all pairs."""
+    import pyarrow as pa
+
+    from meterlake.llm import topk
+
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+
+    rnd = np.random.default_rng(3)
+    vectors = (rnd.normal(size=(4000, 32)) * np.geomspace(3, 0.3, 32) * 256).astype(np.int64)
+    ids = np.arange(0, 4000, 50)
+    queries = Shared((ids, vectors[ids]))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(4000)), pa.array(list(vectors), pa.list_(pa.int64()))], ["vec_id", "v"])
+    counted, whole = [], topk._rest
+    monkeypatch.setattr(topk, "_rest", lambda a, b, q, r: counted.append(len(q)) or whole(a, b, q, r))
+    lists = next(topk._local_lists(queries, 5)(iter([batch]))).to_pandas()
+    cutoff = lists.groupby("q").score.min().to_numpy()
+    found = next(topk._sufficient(queries, Shared(cutoff), 5)(iter([batch]))).to_pandas()
+    scores = vectors[ids] @ vectors.T
+    for i, own in enumerate(ids):
+        want = sorted(((-s, j) for j, s in enumerate(scores[i]) if j != own))[:5]
+        got = found[found.query_id == own]
+        assert [(-s, j) for s, j in zip(got.score, got.vec_id)] == want
+    assert sum(counted) < 0.2 * len(ids) * len(vectors)
+
+
+def test_scores_beyond_64_bits_raise(spark):
+    table = spark.createDataFrame([(0, [1e300, 1.0]), (1, [3e15, -3e15])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        top_k(table, "vec_id % 50 = 0").collect()
+
+
 def test_top_k(spark):
     import random
 
