@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from meterlake.functions.scalars import month_period, month_start
 from meterlake.operators.dedup import dedup_latest
 from meterlake.operators.lookups import lookup_join
+from meterlake.sources.staging import stage
 
 # Texts of the outlier verdict.
 BELOW_PEERS = "Consumption is materially below tariff peer usage"
@@ -52,12 +53,13 @@ def peer_outliers(
 ) -> DataFrame:
     """Compare each member with the mean and population deviation of its peer group.
 
-    Peer statistics join back on a salted key: a peer group may hold most members, so it is never one task's window.
+    Peer statistics are staged, counted and joined back, broadcast if they are few: a peer group may hold most members, so it is
+    never one task's window.
     Members with a NULL peer key have no peers and are not flagged.
     """
     mean, spread = f"peer_avg_{measure}", f"peer_stddev_{measure}"
     stats = members.groupBy(*peer_keys).agg(F.avg(measure).alias(mean), F.stddev_pop(measure).alias(spread))
-    compared = lookup_join(members, stats, peer_keys, probe=False)
+    compared = lookup_join(members, stage(stats, "peers"), peer_keys)
     below = (F.col(measure) < F.col(mean) - sigmas * F.col(spread)) & (F.col(measure) < F.col(mean) * floor)
     flag = F.coalesce(below, F.lit(False))
     return compared.withColumns(

@@ -188,9 +188,12 @@ class Lake:
         partition_by: list[str] | None = None,
         order_by: list[Column] | None = None,
         unique: bool = False,
+        staged: bool = False,
     ) -> None:
         """Create the table or merge ``source`` into it; new source columns widen the table.
 
+        ``staged`` promises that ``source`` is read from a written copy: if it has one row per key, it is not written again.
+
         The table's types stay: values that fit are cast, others raise before anything is written.
         In a partitioned table the partition follows from the key, so only the partitions the source has rows in can
         change; the others are neither read nor written.
@@ -208,7 +211,7 @@ class Lake:
         if not partitions:
             self.replace(table, merge.upsert(target, source, keys, unique=True))
             return
-        source = stage(source, "merge_source")
+        source = source if staged and unique else stage(source, "merge_source")
         affected = target.filter(self._touched(source, partitions))
         self._overwrite_partitions(table, merge.upsert(affected, source, keys, unique=True), partitions)
 

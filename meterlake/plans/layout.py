@@ -73,7 +73,7 @@ LAYOUTS = {
         ],
     ),
     "bronze.bronze_meter_events": Layout(
-        ["LCLid", "event_timestamp"],
+        ["LCLid", "event_timestamp", "event_id"],  # two events of a meter may fall on one moment
         [not_null("event_id"), not_null("LCLid"), not_null("event_timestamp"), unique("event_id")],
         insert_only=True,
         prune_by="event_timestamp",
@@ -138,6 +138,7 @@ LAYOUTS = {
             _non_negative("demand_mwh", "demand_mwh"),
             unique("demand_business_key"),
         ],
+        ["date_key"],
         repeats=True,
     ),
     "silver.fact_billing": Layout(

@@ -29,7 +29,7 @@ from meterlake.plans import bronze, silver
 from meterlake.plans.contracts import CONTRACTS
 from meterlake.plans.layout import LAYOUTS
 from meterlake.sources import calendar, landing, readers
-from meterlake.sources.staging import side_by_side, stage
+from meterlake.sources.staging import released, side_by_side, stage
 
 FAILURE_LOG = "silver.dq_failures"
 LINEAGE = "audit.pipeline_lineage"
@@ -86,7 +86,7 @@ def load(lake: Lake, table: str, df: DataFrame, fail_on_error: bool = False) ->
         lake.insert_missing(table, checked, layout.keys, prune_by=layout.prune_by)
     else:
         order = [F.col(layout.latest_by).desc_nulls_last()] if layout.latest_by else None
-        lake.upsert(table, checked, layout.keys, layout.partition_by, order, unique=not layout.repeats)
+        lake.upsert(table, checked, layout.keys, layout.partition_by, order, unique=not layout.repeats, staged=True)
     return checked
 
 
@@ -233,10 +233,11 @@ def build_dimensions(lake: Lake, fresh_readings: DataFrame) -> set[int]:
     """
     fresh_readings = not_older(fresh_readings, lake.read_or_none("silver.dim_meter"))
     tariff = lake.read("bronze.bronze_tariff")
+    last = silver.last_readings(fresh_readings)
     customers, meters = side_by_side(
         [
-            partial(silver.dim_customer, fresh_readings, lake.read_or_none("silver.dim_customer")),
-            partial(silver.dim_meter, fresh_readings, lake.read_or_none("silver.dim_meter")),
+            partial(silver.dim_customer, last, lake.read_or_none("silver.dim_customer")),
+            partial(silver.dim_meter, last, lake.read_or_none("silver.dim_meter")),
         ]
     )
     frames = {
@@ -301,8 +302,15 @@ def build_marts(lake: Lake, fresh: dict[str, DataFrame], reached: set[int] = fro
 
 
 def refresh(lake: Lake, raw: RawInputs, run_id: str = "manual", started: datetime | None = None) -> None:
-    """Land, build and audit everything once; safe to repeat with the same or overlapping input."""
-    started = started or datetime.now()
+    """Land, build and audit everything once; safe to repeat with the same or overlapping input.
+
+    What it stages on the way is dropped when the tables hold it.
+    """
+    with released(lake.spark):
+        _refresh(lake, raw, run_id, started or datetime.now())
+
+
+def _refresh(lake: Lake, raw: RawInputs, run_id: str, started: datetime) -> None:
     loads = land_tables(lake, raw)
     fresh, batches = unbuilt_batches(lake)
     reached = build_dimensions(lake, fresh["bronze.bronze_meter_readings"])

@@ -19,6 +19,7 @@ from meterlake.operators.keys import assign_keys
 from meterlake.operators.lookups import lookup_join
 from meterlake.operators.quality import passed_only, row_flags
 from meterlake.plans.layout import LAYOUTS
+from meterlake.sources.staging import stage
 
 # Fixed values of the generated dimension attributes.
 REGION = "LONDON"
@@ -29,13 +30,19 @@ INSTALL_DATE = "2012-01-01"
 
 
 def latest_per_meter(readings: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per meter with the attributes of its last reading."""
+    """One row per meter with the attributes of its last reading: by time, in whatever format it is written, then by its text."""
     known = readings.filter(F.col("LCLid").isNotNull()).select("LCLid", "DateTime", *columns)
-    return dedup_latest(known, ["LCLid"], [F.col("DateTime").desc_nulls_last()])
+    return dedup_latest(known, ["LCLid"], [safe_timestamp("DateTime").desc_nulls_last(), F.col("DateTime").desc_nulls_last()])
+
+
+def last_readings(readings: DataFrame) -> DataFrame:
+    """The last reading of each meter, staged: both dimensions are built from it, so that the readings are gone through once."""
+    region = ["region"] if "region" in readings.columns else []
+    return stage(latest_per_meter(readings, ["stdorToU", *region, "kwh_hh"]), "last-readings")
 
 
 def dim_customer(readings: DataFrame, existing: DataFrame | None = None, region: Column | None = None) -> DataFrame:
-    """Customers, one per meter id, with keys kept from ``existing``."""
+    """Customers, one per meter id, with keys kept from ``existing``.  ``readings``: all of them, or `last_readings`."""
     extra = ["region"] if region is None and "region" in readings.columns else []
     members = latest_per_meter(readings, ["stdorToU", *extra]).drop("DateTime")
     keyed = assign_keys(members, existing, "LCLid", "customer_key")
@@ -51,7 +58,7 @@ def dim_customer(readings: DataFrame, existing: DataFrame | None = None, region:
 
 
 def dim_meter(readings: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Meters with the last reading as a sample; keys kept from ``existing``."""
+    """Meters with the last reading as a sample; keys kept from ``existing``.  ``readings``: all of them, or `last_readings`."""
     members = latest_per_meter(readings, ["stdorToU", "kwh_hh"])
     keyed = assign_keys(members, existing, "LCLid", "meter_key")
     return keyed.select(

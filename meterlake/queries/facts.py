@@ -28,7 +28,8 @@ from meterlake.sources.staging import side_by_side, stage
 def consumption(spark, sf_dir):
     """The consumption fact and its dimensions.  The readings are staged: three consumers follow."""
     readings = stage(mapping.readings(spark, sf_dir), "readings")
-    customers, meters = side_by_side([partial(silver.dim_customer, readings), partial(silver.dim_meter, readings)])
+    last = silver.last_readings(readings)
+    customers, meters = side_by_side([partial(silver.dim_customer, last), partial(silver.dim_meter, last)])
     return silver.fact_consumption(readings, customers, meters), customers, meters
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.operators.tables import Lake
 from meterlake.plans.refresh import dated_readings, load, scan_readings
+from meterlake.sources.staging import released
 
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"  # fixed by the source
 
@@ -42,6 +43,7 @@ def ingest_readings(lake: Lake, folder: str, checkpoint: str, files_per_batch: i
     def merge(batch: DataFrame) -> None:
         files = [row.path for row in batch.collect()]  # one name a file
         if files:
-            load(lake, "bronze.bronze_meter_readings", dated_readings(scan_readings(lake, files)))
+            with released(lake.spark):
+                load(lake, "bronze.bronze_meter_readings", dated_readings(scan_readings(lake, files)))
 
     run_available(new_files(lake.spark, folder, files_per_batch), merge, checkpoint)

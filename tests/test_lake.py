@@ -11,11 +11,11 @@ from meterlake.functions.scalars import floor_minutes
 from meterlake.operators import marts, rating, security
 from meterlake.operators.drift import check_contract, null_violations
 from meterlake.operators.tables import SCHEMAS, Lake
-from meterlake.plans import bronze
+from meterlake.plans import bronze, silver
 from meterlake.plans.contracts import CONTRACTS
 from meterlake.plans.layout import LAYOUTS
 from meterlake.plans.refresh import FAILURE_LOG, LINEAGE, QUARANTINE, RawInputs, checked_csv, load, not_older, refresh, unbuilt_batches, unsettled_months
-from meterlake.sources import calendar, landing, payloads, readers
+from meterlake.sources import calendar, landing, payloads, readers, staging
 from meterlake.streaming.ingest import ingest_readings
 
 
@@ -351,6 +351,41 @@ def test_bad_lines_of_a_delivery_are_kept(spark, lake, tmp_path):
     ]
 
 
+def test_staged_frames_go_when_the_work_is_done(spark):
+    import os
+
+    def there(frame):
+        return [os.path.exists(f.removeprefix("file://")) for f in files[frame]]
+
+    files = {}
+    with staging.released(spark):
+        frames = {"own": staging.stage(spark.range(3)), **dict(zip("ab", staging.side_by_side([lambda: staging.stage(spark.range(3))] * 2)))}
+        files = {name: df.inputFiles() for name, df in frames.items()}
+        assert all(all(there(name)) for name in files)
+    assert not any(any(there(name)) for name in files)
+    outside = staging.stage(spark.range(3))
+    assert outside.count() == 3
+
+
+def test_meters_are_described_by_their_last_reading_in_time(spark):
+    """Two formats of one moment's text: '2024-01-02' sorts after '2024-01-01T...', but not before every later text."""
+    raw = spark.createDataFrame(
+        [("A", "2024-01-09 00:00:00", "Std", "1"), ("A", " 2024-01-10 00:00:00", "ToU", "2"), ("A", "not a time", "odd", "3")],
+        "LCLid string, DateTime string, stdorToU string, kwh_hh string",
+    )
+    assert rows(silver.latest_per_meter(raw, ["stdorToU"]).select("stdorToU")) == [("ToU",)]
+    last = silver.last_readings(raw)
+    assert rows(silver.dim_meter(last).select("stdorToU", "kwh_hh")) == [("ToU", "2")]
+    assert rows(silver.dim_customer(last).select("customer_type")) == [("ToU",)]
+
+
+def test_two_events_of_a_meter_at_one_moment_are_both_kept(spark, lake):
+    raw = [("E1", "A", "OUTAGE", "2024-01-01 00:10:00"), ("E2", "A", "RESTORE", "2024-01-01 00:10:00")]
+    for part in (raw[:1], raw):
+        load(lake, "bronze.bronze_meter_events", bronze.bronze_meter_events(spark.createDataFrame(part, bronze.EVENT_COLUMNS)))
+    assert rows(lake.read("bronze.bronze_meter_events").select("event_id")) == [("E1",), ("E2",)]
+
+
 def test_missing_table_is_none(spark):
     assert readers.scan_table(spark, "nowhere_at_all") is None
 
