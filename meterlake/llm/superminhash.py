@@ -8,8 +8,9 @@
 2. *Banding.*  Documents of one set are one class.  Classes that agree on all components of a band meet in its bucket.  With 32
    bands of 4, a pair at a similarity of 0.8 meets nowhere once in (1 - 0.8 ** 4) ** -32, 2e7, pairs; more similar ones far less.
 3. *Verification.*  Pairs whose signatures agree in half of their components or more are compared on their whole sets.  (Of a pair
-   at 0.8 fewer agree once in 1e14.)  A bucket first holds all its members against its most central one; what is then still in
-   different components is compared exhaustively, all but the largest component of a bucket against the rest.
+   at 0.8 fewer agree once in 1e14.)  A bucket first holds all its members against its most central one, its center; what is then still in
+   different components is compared exhaustively: under each center, all but the largest component against everything there,
+   in blocks that are matrix products of whole sets.  The work grows with the square only of families of near misses.
 4. *Grouping.*  Tasks reduce the links they hold to spanning trees by union-find; trees of all tasks are put together by star
    contraction.
 """
@@ -36,6 +37,10 @@ AGREEING = COMPONENTS // 2
 HELD_SHINGLES = 1 << 16  # shingles whose signatures are made together; also shingles sent on together
 REMEMBERED = 200_000  # classes a task knows it has sent a text of
 TREE_LINKS = 200_000  # links a task puts together at once
+BLOCK_SHINGLES = 400_000  # shingles on each side of a block of the exhaustive comparison, about
+BLOCK_ROWS, BLOCK_COLUMNS = 512, 1024  # a block's matrices
+SPARSE = 200  # a shingle of less than one in so many pairs of a block's rows is counted pair by pair
+PAIRS_AT_ONCE = 2_000_000
 _STEP = 0x9E3779B97F4A7C15
 
 
@@ -190,10 +195,10 @@ class _Join:
     def __init__(self, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> None:
         self.docs, self.classes, self.words, self.percent = docs, classes, words, percent
 
-    def buckets(self) -> DataFrame:
-        """key, ref, n, center, size: members of the buckets that several classes meet in, with the most central of them.
+    def stars(self) -> DataFrame:
+        """center, ref, n: the most central class of every bucket that several classes meet in, with all classes of its buckets.
 
-        Central is who has most company over all its buckets.
+        Central is who has most company over all its buckets.  Two classes that meet in a bucket stand under its center both.
         """
         slices = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * 2 * ROWS + 1, F.lit(2 * ROWS))))
         entries = self.classes.select("ref", "n", F.explode(slices).alias("key"))
@@ -204,20 +209,18 @@ class _Join:
         company = entries.groupBy("ref").agg(F.sum("size").alias("company"))
         told = entries.select("key", "ref").join(company, "ref")
         central = told.groupBy("key").agg(F.max_by("ref", F.struct("company", "ref")).alias("center"))
-        return stage(spread_join(entries, central, "key", hot, "inner"), "members")
+        return stage(spread_join(entries, central, "key", hot, "inner").select("center", "ref", "n").distinct(), "stars")
 
     def alike(self, pairs: DataFrame) -> DataFrame:
-        """a, b, agree of the distinct pairs (a, b) whose sizes and signatures allow a link."""
+        """a, b, agree of the pairs (a, b) whose sizes and signatures allow a link."""
         a = self.classes.select(F.col("ref").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa"))
         b = self.classes.select(F.col("ref").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
-        pairs = stage(pairs.select("a", "b").distinct(), "pairs")
         both = spread_join(pairs.join(a, "a"), b, "b", stage(hot_keys(pairs.select("b")), "hot"), "inner")
         both = both.where(_linked("least(na, nb)", "na", "nb", self.percent))
         return stage(both.select("a", "b", agreeing("sa", "sb").alias("agree")).where(F.col("agree") >= AGREEING), "alike")
 
-    def sets(self, pairs: DataFrame) -> DataFrame:
-        """ref, n, shingles: the whole sets of the classes of the pairs; one text of each class and task is shuffled."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("ref")).distinct()
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """ref, n, shingles: the whole sets of the wanted classes (ref); one text of each class and task is shuffled."""
         texts = self.docs.select("text").mapInArrow(_one_text(self.words), "ref bigint, text string")
         texts = texts.join(wanted.hint("shuffle_hash"), "ref", "left_semi")
         return stage(texts.mapInArrow(_whole_sets(self.words), "ref bigint, n bigint, shingles array<bigint>").dropDuplicates(["ref"]), "sets")
@@ -230,28 +233,109 @@ class _Join:
         both = spread_join(pairs.select("a", "b").join(a, "a"), b, "b", hot, "inner")
         return stage(both.where(_linked("size(array_intersect(sa, sb))", "na", "nb", self.percent)).select("a", "b"), "links")
 
-    def rest(self, members: DataFrame, found: DataFrame) -> DataFrame:
-        """Pairs of one bucket that lie in different components, all but its largest component against every other."""
+    def rest(self, stars: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
+        """Links between different components under one center: all but its largest component against everything there.
+
+        Blocks of the one meet blocks of the other, each a matrix product of whole sets, so no pair is ever a row.
+        """
         label = grouped(found).select(F.col("node").alias("ref"), "component")
-        placed = members.select("key", "ref", "n").join(label, "ref", "left").withColumn("comp", F.coalesce("component", "ref"))
-        per = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"))
-        mixed = per.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("k", "comp")).alias("major"), F.sum("k").alias("size"))
-        mixed = stage(mixed.where("comps > 1"), "mixed")
-        most = max(HOT_ROWS, (mixed.agg(F.sum("size")).first()[0] or 0) // HOT_KEYS)
-        hot = mixed.where(F.col("size") > most).select("key", F.ceil(F.col("size") / most).cast("int").alias("salts"))
-        units = stage(spread_join(placed.select("key", "ref", "n", "comp"), mixed.select("key", "major"), "key", hot, "inner"), "units")
-        a = units.where("comp <> major").select("key", "major", F.col("ref").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-        b = units.select("key", F.col("ref").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-        pairs = spread_join(a, b, "key", hot, "inner").where("cb = major OR ca < cb")
-        return pairs.where(_linked("least(na, nb)", "na", "nb", self.percent)).select("a", "b")
+        placed = stage(stars.join(label, "ref", "left").withColumn("comp", F.coalesce("component", "ref")).drop("component"), "placed")
+        per = placed.groupBy("center", "comp").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
+        mixed = per.groupBy("center").agg(
+            F.count(F.lit(1)).alias("comps"), F.max_by(F.struct("comp", "n"), F.struct("k", "comp")).alias("major"), F.sum("n").alias("n")
+        )
+        blocks = F.ceil((F.col("n") - F.col("major.n")) / BLOCK_SHINGLES).cast("int"), F.ceil(F.col("n") / BLOCK_SHINGLES).cast("int")
+        mixed = mixed.where("comps > 1").select("center", F.col("major.comp").alias("major"), blocks[0].alias("rows"), blocks[1].alias("columns"))
+        hot = stage(hot_keys(placed.select("center")), "hot")
+        units = stage(spread_join(placed.drop("n"), stage(mixed, "mixed"), "center", hot, "inner"), "units")
+        units = spread_join(units, sets, "ref", stage(hot_keys(units.select("ref")), "hot"), "inner")
+        row, column = F.expr("pmod(xxhash64(ref), rows)").cast("int"), F.expr("pmod(xxhash64(ref), columns)").cast("int")
+        sought = units.where("comp <> major").withColumn("i", row).withColumn("j", F.explode(F.expr("sequence(0, columns - 1)")))
+        against = units.withColumn("j", column).withColumn("i", F.explode(F.expr("sequence(0, rows - 1)")))
+        columns = ["center", "i", "j", "ref", "comp", "n", "shingles"]
+        dealt = sought.select(*columns, F.lit(True).alias("sought")).unionByName(against.select(*columns, F.lit(False).alias("sought")))
+        links = dealt.groupBy("center", "i", "j").applyInArrow(_block_links(self.percent), "a bigint, b bigint")
+        return stage(links.distinct(), "links")
+
+
+def _block_links(percent: int):
+    """The links between the sought rows of a block and its other rows, of different components."""
+
+    def links(table: pa.Table) -> pa.Table:
+        sought = table.column("sought").to_numpy()
+        refs, comps, sizes = (table.column(c).to_numpy() for c in ("ref", "comp", "n"))
+        sets = table.column("shingles").combine_chunks()
+        flat = sets.flatten().to_numpy()
+        owner = np.repeat(np.arange(len(refs)), np.diff(sets.offsets.to_numpy()))
+        # Only shingles on both sides can be common; who has too few of them has no link.  Dropping rows drops shingles in turn.
+        while True:
+            left = np.isin(flat, np.intersect1d(flat[sought[owner]], flat[~sought[owner]]))
+            flat, owner = flat[left], owner[left]
+            held = np.bincount(owner, minlength=len(refs))
+            left = (100 * held >= percent * sizes)[owner]
+            if left.all():
+                break
+            flat, owner = flat[left], owner[left]
+        if not len(flat):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        a, b = np.unique(owner[sought[owner]]), np.unique(owner[~sought[owner]])
+        at = np.zeros(len(refs), np.int64)
+        at[a], at[b] = np.arange(len(a)), np.arange(len(b))
+        both, place = np.unique(flat, return_inverse=True)
+        mine = sought[owner]
+        pairs = np.bincount(place[mine], minlength=len(both)) * np.bincount(place[~mine], minlength=len(both))
+        out: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
+        for lo in range(0, len(a), BLOCK_ROWS):
+            some = a[lo : lo + BLOCK_ROWS]
+            common = np.zeros((len(some), len(b)), np.float32)
+            here = ~mine | ((at[owner] >= lo) & (at[owner] < lo + BLOCK_ROWS))
+            dense = pairs >= len(a) * len(b) / SPARSE
+            _multiply(common, at[owner[here]] - np.where(mine[here], lo, 0), place[here], mine[here], dense)
+            enough = (100 + percent) * common.astype(np.int64) >= percent * (sizes[some][:, None] + sizes[b][None, :])
+            i, j = np.nonzero(enough & (comps[some][:, None] != comps[b][None, :]))
+            out.append(np.column_stack([refs[some[i]], refs[b[j]]]))
+        found = np.concatenate(out)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+
+    return links
+
+
+def _multiply(common: np.ndarray, row: np.ndarray, place: np.ndarray, mine: np.ndarray, dense: np.ndarray) -> None:
+    """Add to common[i, j] the number of places that row i of one side and row j of the other hold: places that many rows hold
+    as matrix products, the others pair by pair."""
+    order = np.argsort(place, kind="stable")
+    row, place, mine = row[order], place[order], mine[order]
+    columns = np.flatnonzero(dense)
+    for first in range(0, len(columns), BLOCK_COLUMNS):
+        some = columns[first : first + BLOCK_COLUMNS]
+        index = np.full(len(dense), -1)
+        index[some] = np.arange(len(some))
+        here = index[place] >= 0
+        x, y = (np.zeros((n, len(some)), np.float32) for n in common.shape)
+        x[row[here & mine], index[place[here & mine]]] = 1
+        y[row[here & ~mine], index[place[here & ~mine]]] = 1
+        common += x @ y.T
+    thin = ~dense[place]
+    row, place, mine = row[thin], place[thin], mine[thin]
+    i, at_i, j, at_j = row[mine], place[mine], row[~mine], place[~mine]
+    begin, end = np.searchsorted(at_j, at_i), np.searchsorted(at_j, at_i, "right")
+    upto = np.cumsum(end - begin)
+    lo = 0
+    while lo < len(i):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS_AT_ONCE, "right")))
+        n = (end - begin)[lo:hi]
+        which = np.repeat(begin[lo:hi] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        flat = np.repeat(i[lo:hi], n) * common.shape[1] + j[which]
+        np.add.at(common.reshape(-1), flat, np.float32(1))
+        lo = hi
 
 
 def _links(join: _Join) -> DataFrame:
     """Links (a, b) between classes that connect what all links connect."""
-    members = join.buckets()
+    stars = join.stars()
     # First every class against the center it agrees with most, then against the centers that are still apart from it.
-    starred = join.alike(members.where("ref <> center").select(F.col("ref").alias("a"), F.col("center").alias("b")))
-    sets = join.sets(starred)
+    starred = join.alike(stars.where("ref <> center").select(F.col("ref").alias("a"), F.col("center").alias("b")))
+    sets = join.sets(stars.select("ref").distinct())
     best = starred.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
     found = join.verified(best, sets)
     label = stage(grouped(found), "labels")
@@ -260,10 +344,8 @@ def _links(join: _Join) -> DataFrame:
         apart = apart.join(label.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
     apart = apart.where("coalesce(ca, a) <> coalesce(cb, b)")
     found = stage(found.unionByName(join.verified(stage(apart.select("a", "b"), "apart"), sets)), "links")
-    # Then whatever a bucket still holds in different components; the pairs above have been decided.
-    rest = join.alike(join.rest(members, found)).join(starred, ["a", "b"], "left_anti").select("a", "b")
-    rest = stage(rest.join(starred.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "rest")
-    return found.unionByName(join.verified(rest, join.sets(rest)))
+    # Then whatever stands under one center in different components.
+    return found.unionByName(join.rest(stars, sets, found))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 2, percent: int = 80) -> DataFrame:
