@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from meterlake.llm.decontaminate import find_benchmark, n_hit
 from meterlake.llm.mixing import mix_sources
-from meterlake.llm.ngram_join import near_duplicates, sets_of
+from meterlake.llm.ngram_join import COPY_SALTS, near_duplicates, sets_of
 from meterlake.llm.quality import score_quality
 from meterlake.llm.secrets import redacted, secret_spans
-from meterlake.sources.staging import stage, stage_path
+from meterlake.sources.staging import drop, released, stage, stage_path
 
 REJECT_BELOW = 0.5
 ORACLE_SQL = None  # trained classifiers and hashed shuffles have no SQL form
@@ -37,8 +37,10 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     per_row = found.groupBy("component", "doc_id", "ref").agg(F.count(F.lit(1)).alias("n"))
     first = per_row.groupBy("component").agg(F.min(F.struct("doc_id", "ref", "n")).alias("first"))
     first = stage(first.select(*(F.col(f"first.{c}").alias(f"_first_{c}") for c in ("doc_id", "ref", "n"))), "kept")
-    marked = docs.withColumn("_ref", sets_of("text")["ref"])
-    kept = marked.join(first.hint("shuffle_hash"), F.expr("doc_id <=> _first_doc_id AND _ref = _first_ref"))
+    # Many copies of one row are spread by the partition they come from.
+    marked = docs.withColumn("_ref", sets_of("text")["ref"]).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(COPY_SALTS)))
+    first = first.withColumn("_first_salt", F.explode(F.sequence(F.lit(0), F.lit(COPY_SALTS - 1))))
+    kept = marked.join(first.hint("shuffle_hash"), F.expr("doc_id <=> _first_doc_id AND _ref = _first_ref AND _salt = _first_salt"))
     once = kept.where("_first_n = 1").select(*docs.columns)
     repeated = kept.where("_first_n > 1").groupBy("_first_doc_id", "_first_ref").agg(F.min(F.struct(*docs.columns)).alias("row"))
     wordless = marked.where("_ref IS NULL").select(*docs.columns)
@@ -76,11 +78,17 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other, each written as Parquet and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages one after the other, each written as Parquet and read again by the next.
+
+    What a stage stages on its way, and its input, is dropped when its output is written.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     token = uuid.uuid4().hex
     for number, (_, apply) in enumerate(STAGES):
         path = stage_path(spark, f"pipeline-{token}-{number}")
-        apply(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with released(spark):
+            apply(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            drop(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.components import components
+from meterlake.llm.hot import hot_keys, spread_join
 from meterlake.llm.sharing import bound_batches
 from meterlake.llm.text import shingle_sets
 from meterlake.sources.staging import stage
@@ -38,6 +39,7 @@ BUCKET_SHINGLES = 1_000_000  # shingles counted together in one task
 CHUNK_SHINGLES = 500_000  # shingles one map task holds before it sends them on
 SCREENED_CLASSES = 50_000  # classes whose counts are put together in one task
 SENT_SHINGLES = 50_000  # shingles of whole sets that are sent on together
+COPY_SALTS = 16  # tasks that the copies of one row are dealt to
 
 
 def _least(n, percent: int):
@@ -137,16 +139,17 @@ def _send_prefixes(words: int, percent: int, buckets: int, places: int):
         bucket = (shingles % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         shingles, owner, bucket = shingles[order], owner[order], bucket[order]
-        cuts = np.searchsorted(bucket, np.arange(buckets + 1))
         several_in = (several % np.uint64(buckets)).astype(np.int32)
-        for b in range(buckets):
-            lo, hi = cuts[b], cuts[b + 1]
+        order = np.argsort(several_in, kind="stable")
+        several, several_in = several[order], several_in[order]
+        # Only buckets that this chunk has something for: their number is bounded by the chunk, not by the corpus.
+        present = np.union1d(bucket, several_in)
+        begin, end = np.searchsorted(bucket, present), np.searchsorted(bucket, present, "right")
+        begin_both, end_both = np.searchsorted(several_in, present), np.searchsorted(several_in, present, "right")
+        for b, lo, hi, lo_both, hi_both in zip(present.tolist(), begin, end, begin_both, end_both):
             mine, counts = np.unique(owner[lo:hi], return_counts=True)
-            both = several[several_in == b]
-            if hi > lo or len(both):
-                rows.append(
-                    (b, refs[mine].tobytes(), counts.astype(np.int32).tobytes(), shingles[lo:hi].tobytes(), both.tobytes())
-                )
+            both = several[lo_both:hi_both]
+            rows.append((b, refs[mine].tobytes(), counts.astype(np.int32).tobytes(), shingles[lo:hi].tobytes(), both.tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SENT, strict=True)], schema=_SENT)
 
     return send
@@ -239,7 +242,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets overlap enough; one side's set travels to the other."""
     left = sets.select(F.col("ref").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("ref").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b")
+    # A family meets at its one central class b: its rows are spread.
+    both = spread_join(pairs.join(left, "a"), right, "b", stage(hot_keys(pairs.select("b")), "hot"), "inner")
     both = both.where(_linked("least(na, nb)", "na", "nb", percent))
     return both.where(_linked("size(array_intersect(sa, sb))", "na", "nb", percent)).select("a", "b")
 
@@ -275,7 +279,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
             members.join(groups.select("g", "leader"), "g").where("ref <> leader").select(F.col("ref").alias("a"), F.col("leader").alias("b"))
         )
     )
-    found = stage(_verified(round_one, sets, percent), "links")
+    found = stage(_verified(stage(round_one, "round-one"), sets, percent), "links")
     # Second round: what may link different components, the largest component of a shingle against the others.
     label = components(found)
     placed = members.join(label.withColumnRenamed("node", "ref"), "ref", "left").withColumn("comp", F.coalesce("component", "ref"))
@@ -296,7 +300,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     )
     in_a = placed.select(F.col("ref").alias("a"), F.col("g").alias("g_a"), F.col("comp").alias("comp_a"))
     in_b = placed.select(F.col("ref").alias("b"), F.col("g").alias("g_b"), F.col("comp").alias("comp_b"))
-    rest = pairs.join(in_a, ["g_a", "comp_a"]).join(in_b, ["g_b", "comp_b"]).select("a", "b")
+    rest = stage(pairs.join(in_a, ["g_a", "comp_a"]).join(in_b, ["g_b", "comp_b"]).select("a", "b"), "rest")
     return found.unionByName(stage(_verified(rest, sets, percent), "links"))
 
 
@@ -318,10 +322,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     screened = _screened(docs, "text", words, percent, shingles, rows)
     kept = stage(classes.join(screened, "ref", "left_semi"), "screened")
     # Whole sets of the classes left: only they are shuffled, one document of each class.
-    wanted = kept.select(F.col("least_id").alias("wanted_id"), F.col("ref").alias("wanted_ref")).hint("shuffle_hash")
-    # By id and set: one id, or none, may stand on many texts.  <=> on both, else a filter would run the function twice.
-    marked = docs.withColumn("_ref", sets_of("text", words)["ref"])
-    sets = marked.join(wanted, F.expr("doc_id <=> wanted_id AND _ref <=> wanted_ref")).select("text", "wanted_ref")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(COPY_SALTS - 1))).alias("wanted_salt")
+    wanted = kept.select(F.col("least_id").alias("wanted_id"), F.col("ref").alias("wanted_ref"), salts).hint("shuffle_hash")
+    # By id and set: one id, or none, may stand on many texts.  <=> on both, else a filter would run the function twice.  Many
+    # copies of one row are spread by the partition they come from.
+    marked = docs.withColumn("_ref", sets_of("text", words)["ref"]).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(COPY_SALTS)))
+    same = F.expr("doc_id <=> wanted_id AND _ref <=> wanted_ref AND _salt = wanted_salt")
+    sets = marked.join(wanted, same).select("text", "wanted_ref")
     sets = sets.mapInArrow(_whole_sets(words), "ref bigint, n bigint, shingles array<bigint>").dropDuplicates(["ref"])
     sets = stage(sets, "shingles")
     label = components(_links(sets, percent))
@@ -333,6 +340,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     final = final.select(
         "ref", F.coalesce("component", "ref").alias("component"), F.coalesce("component_id", "least_id").alias("component_id")
     )
-    return base.join(final, "ref", "left").select(
+    return spread_join(base, final, "ref", stage(hot_keys(base.select("ref")), "hot")).select(
         "doc_id", F.col("n").alias("n_shingles"), "ref", "component", F.coalesce("component_id", "doc_id").alias("component_id")
     )
