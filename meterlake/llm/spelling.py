@@ -2,14 +2,17 @@
 
 The trie is a table of edges (node, label, child).  A node is a prefix at which words end or part; a label is the stretch of
 characters to the next such node, so that a walk takes as many levels as words part, whatever their length.  A state (word,
-position, node, edits) says that the word has been read up to the position and stands at the node.  Each level joins all states
-with the edges of their nodes: a state without edits goes on along the label it agrees with, or spends its one edit where it first
-disagrees with a label (replacing, inserting or leaving out a character); a state that has spent it needs full agreement.  A
-state with one edit that has read its whole word at a node where words end has found a neighbour.
+position, node, edits) says that the word has been read up to the position and stands at the node.  Without edits a word stands
+at the nodes of its own path, which its row of the trie lists: these states, of all levels, are the first frontier.  Where an edge
+begins with another letter than the word goes on with, the one edit is spent: the letter is replaced, left out, or put in.  Each
+further level joins the frontier with the edges of its nodes, and word and label must agree.  A state with one edit that has
+read its whole word at a node where words end has found a neighbour.
 
 Words are entered twice, as they are and reversed, and an edit is sought in the second half of what was entered.  So every edit is
-found from one side at least, and the walk of a word starts below its first half, where nodes have few edges: no state ever meets
-the crowded nodes about the root with its edit unspent.
+found from one side at least, and no state ever meets the crowded nodes about the root with its edit unspent.
+
+Once the edit is spent, the rest of the word must be one of the ends below the child.  An edge keeps a digest of them: one of 256
+bits for each, by hash.  States whose rest is not in the digest are given up at once; the walk decides about the others.
 """
 
 from __future__ import annotations
@@ -26,14 +29,13 @@ from pyspark.sql import functions as F
 from meterlake.llm.sharing import bound_batches
 from meterlake.sources.staging import stage
 
-LETTERS = "[A-Za-zÀ-ÿ]+"
-HELD_WORDS = 200_000  # words a task counts before it sends them on
+HELD_WORDS = 300_000  # words a task counts before it sends them on
 
 
-def _counts(spoil: int):
+def _counts(spoil: int, shortest: int):
     """doc id as text, text -> (word, n): partial counts of the words of a task."""
-    # The texts are in lower case (A-Z only) when they are searched.
-    letters = re.compile(LETTERS)
+    # The texts are in lower case (A-Z only) when they are searched; a planted error only shortens a run.
+    letters = re.compile(f"[a-zÀ-ÿ]{{{shortest},}}")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter[str] = Counter()
@@ -73,100 +75,82 @@ def word_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sho
     """
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    counted = rows.mapInArrow(_counts(spoil), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(_counts(spoil, shortest), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     return counted.where((F.char_length("word") >= shortest) & (F.col("n") >= fewest))
 
 
-def _trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(edges: node, label, child, ends; states: side, word, pos, node, low) of words (side, word).
+def _place(rest: str) -> str:
+    """The bit of an end in a digest."""
+    return f"crc32(CAST({rest} AS BINARY)) % 256"
+
+
+def _may_end(rest: str) -> str:
+    """Whether the digest of the edge has the rest of a word."""
+    return f"getbit(array(below0, below1, below2, below3)[CAST({_place(rest)} div 64 AS INT)], CAST({_place(rest)} % 64 AS INT)) = 1"
 
-    ends says that a word ends at the child.  Every word starts at its deepest node that is not beyond ``low``, the end of the
-    half in which it takes no edit.
+
+def _trie(words: DataFrame, first: int) -> tuple[DataFrame, DataFrame]:
+    """(edges: node, label, child, ends, below0 to below3; paths: side, word, stops) of words (side, word).
+
+    stops are the nodes on the path of a word from the depth ``first`` on (depth, node, ends); ends says that a word ends there.
     """
     node = F.xxhash64("side", F.substring("word", F.lit(1), F.col("depth")))
-    prefixes = words.withColumn("depth", F.explode(F.sequence(F.lit(1), F.char_length("word"))))
+    prefixes = words.withColumn("depth", F.explode(F.sequence(F.lit(first), F.char_length("word"))))
     prefixes = prefixes.select("side", "word", "depth", node.alias("node"), F.expr("substring(word, depth + 1, 1)").alias("next"))
     # The empty next letter is the end of a word, so a node at which words end is one where the next letters differ, or a leaf.
     forks = prefixes.groupBy("node").agg(F.min("next").alias("least"), F.max("next").alias("most"))
     forks = forks.where("least <> most OR least = ''").select("node", (F.col("least") == "").alias("ends"))
     paths = prefixes.join(forks, "node").groupBy("side", "word").agg(F.sort_array(F.collect_list(F.struct("depth", "node", "ends"))).alias("stops"))
-    # The root is on every path: it is set in front and met in no join.
-    root = F.struct(F.lit(0).alias("depth"), F.xxhash64("side", F.lit("")).alias("node"), F.lit(False).alias("ends"))
-    paths = paths.withColumn("stops", F.concat(F.array(root), "stops"))
     paths = stage(paths, "paths")
     edge = F.expr(
-        "transform(sequence(1, size(stops) - 1), i -> struct(stops[i - 1].node AS node, "
-        "substring(word, stops[i - 1].depth + 1, stops[i].depth - stops[i - 1].depth) AS label, stops[i].node AS child, stops[i].ends AS ends))"
+        "transform(sequence(1, size(stops) - 1), i -> struct(stops[i - 1].node AS node, substring(word, stops[i - 1].depth + 1, "
+        "stops[i].depth - stops[i - 1].depth) AS label, stops[i].node AS child, stops[i].ends AS ends, "
+        f"{_place('substring(word, stops[i].depth + 1)')} AS place))"
     )
-    edges = paths.select(F.explode(edge).alias("e")).select("e.*").distinct()
-    length = F.char_length("word")
-    low = F.when(F.col("side") == 0, F.floor(length / 2)).otherwise(length - F.floor(length / 2)).cast("int")
-    start = F.element_at(F.filter("stops", lambda s: s["depth"] <= F.col("low")), -1)
-    states = paths.withColumn("low", low).withColumn("start", start)
-    return edges, states.select("side", "word", F.col("start.depth").alias("pos"), F.col("start.node").alias("node"), F.col("start.ends").alias("ends"), "low")
+    below = [F.expr(f"bit_or(IF(place div 64 = {k}, shiftleft(1L, CAST(place % 64 AS INT)), 0L)) AS below{k}") for k in range(4)]
+    edges = paths.where("size(stops) > 1").select(F.explode(edge).alias("e")).select("e.*").groupBy("node", "label", "child", "ends").agg(*below)
+    return edges.withColumn("first", F.expr("substring(label, 1, 1)")), paths
 
 
-_STATE = "side int, word string, pos int, node bigint, edits int, low int, ends boolean, text string"
-
-
-def _advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """States joined with the edges of their nodes -> the states at the edges' far ends.
-
-    side, word, pos, edits, low, text, label, child, ends -> side, word, pos, node, edits, low, ends, text.  text is what the
-    walk has read of the trie.
-    """
-    for batch in batches:
-        out: list[tuple] = []
-        for side, word, pos, edits, low, text, label, child, ends in zip(*(c.to_pylist() for c in batch.columns)):
-            m = len(label)
-            if word.startswith(label, pos):
-                out.append((side, word, pos + m, child, edits, low, ends, text + label))
-                continue
-            if edits:
-                continue
-            at, rest = 0, len(word) - pos
-            while at < m and at < rest and label[at] == word[pos + at]:
-                at += 1
-            if pos + at < low:
-                continue
-            # The edit is where word and label first differ: replaced, missing in the word, or too much in it.
-            if rest >= m and word.startswith(label[at + 1 :], pos + at + 1):
-                out.append((side, word, pos + m, child, 1, low, ends, text + label))
-            if word.startswith(label[at + 1 :], pos + at):
-                out.append((side, word, pos + m - 1, child, 1, low, ends, text + label))
-            if word.startswith(label[at:], pos + at + 1):
-                out.append((side, word, pos + m + 1, child, 1, low, ends, text + label))
-        if out:
-            kinds = [pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.string()]
-            names = [c.split()[0] for c in _STATE.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names)
+# Where in the word the walk goes on behind a label that begins with another letter.
+_SPENT = (
+    "filter(array("
+    # replaced
+    "IF(pos + char_length(label) <= char_length(word) AND substring(label, 2) = substring(word, pos + 2, char_length(label) - 1),"
+    " pos + char_length(label), NULL), "
+    # missing in the word
+    "IF(substring(label, 2) = substring(word, pos + 1, char_length(label) - 1), pos + char_length(label) - 1, NULL), "
+    # too much in the word
+    "IF(label = substring(word, pos + 2, char_length(label)), pos + char_length(label) + 1, NULL)), e -> e IS NOT NULL)"
+)
 
 
 def neighbours(words: DataFrame) -> DataFrame:
     """word, near: all ordered pairs of the distinct words of the frame's only column that are one edit apart."""
     (name,) = words.columns
-    spark = words.sparkSession
     words = words.select(F.col(name).alias("word")).where("word IS NOT NULL AND word <> ''").distinct()
+    words = stage(words, "distinct")
+    shortest = words.agg(F.min(F.char_length("word"))).first()[0] or 0
     words = words.select(F.lit(0).alias("side"), "word").unionByName(words.select(F.lit(1).alias("side"), F.reverse("word").alias("word")))
-    edges, states = _trie(words)
+    edges, paths = _trie(words, shortest // 2)
     edges = stage(edges, "edges")
-    start = F.expr("substring(word, 1, pos)")
-    states = stage(states.select("side", "word", "pos", "node", F.lit(0).alias("edits"), "low", "ends", start.alias("text")), "states")
-    found = []
+    length = F.char_length("word")
+    low = F.when(F.col("side") == 0, F.floor(length / 2)).otherwise(length - F.floor(length / 2))
+    unspent = paths.withColumn("stop", F.explode(F.filter("stops", lambda s: s["depth"] >= low)))
+    unspent = unspent.select("side", "word", F.col("stop.depth").alias("pos"), F.col("stop.node").alias("node"), F.col("stop.ends").alias("ends"))
+    # One letter is left over where another word ends.
+    found = [unspent.where("ends AND pos = char_length(word) - 1").select("side", "word", F.expr("substring(word, 1, pos)").alias("text"))]
+    # Read with the edit spent: what of the trie (text) and up to where in the word (pos).
+    text = F.expr("concat(substring(word, 1, pos), label)").alias("text")
+    states = unspent.drop("ends").join(edges.hint("shuffle_hash"), "node").where("first <> substring(word, pos + 1, 1)")
+    states = states.withColumn("end", F.explode(F.expr(_SPENT))).where(_may_end("substring(word, end + 1)"))
+    states = stage(states.select("side", "word", text, F.col("end").alias("pos"), F.col("child").alias("node"), "ends"), "states")
     while not states.isEmpty():
-        # A whole word read with its edit spent; or one letter left over where a word ends.
-        found.append(
-            states.where("ends AND (edits = 1 AND pos = char_length(word) OR edits = 0 AND pos = char_length(word) - 1 AND pos >= low)").select(
-                "side", "word", "text"
-            )
-        )
-        met = states.where("edits = 0 OR pos < char_length(word)").drop("ends").join(edges, "node")
-        # An edge is worth a look if its first letter is the word's next one, or if an edit may be spent on it.
-        near = F.expr("substring(label, 1, 1) = substring(word, pos + 1, 1) OR edits = 0 AND pos >= low")
-        met = met.where(near).select("side", "word", "pos", "edits", "low", "text", "label", "child", "ends")
-        states = stage(met.mapInArrow(_advance, _STATE), "states")
-    if not found:
-        return spark.createDataFrame([], "word string, near string")
+        found.append(states.where("ends AND pos = char_length(word)").select("side", "word", "text"))
+        going = states.where("pos < char_length(word)").drop("ends").withColumn("first", F.expr("substring(word, pos + 1, 1)"))
+        met = going.join(edges.hint("shuffle_hash"), ["node", "first"]).where("label = substring(word, pos + 1, char_length(label))")
+        met = met.withColumn("pos", F.col("pos") + F.char_length("label")).where(_may_end("substring(word, pos + 1)"))
+        states = stage(met.select("side", "word", F.concat("text", "label").alias("text"), "pos", F.col("child").alias("node"), "ends"), "states")
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
