@@ -319,13 +319,16 @@ def test_lines_that_do_not_fit_are_set_apart(spark, tmp_path):
     write_lines(folder, "c.csv", "note,n,at,name", "x,1", "x,1,2024-01-01 00:00:00,extra,more")
     scan = readers.scan_csv_checked(spark, f"{folder}/*.csv", StructType.fromDDL("at timestamp_ntz, name string, n int"))
     assert rows(scan.rows.select("name", "n")) == [("ok", 1), (None, 7), (None, None)]
-    assert rows(scan.quarantine.select("line", "reason")) == [
-        ("2024-01-01 00:00:00,long,2,3", "wrong number of fields"),
-        ("2024-01-01,short", "wrong number of fields"),
-        ("x,1", "wrong number of fields"),
-        ("x,1,2024-01-01 00:00:00,extra,more", "wrong number of fields"),
-        ('x,"not, a time",two', "n is no int; at is no timestamp_ntz"),
-    ]
+    assert rows(scan.quarantine.select("line", "reason")) == sorted(
+        [
+            ("2024-01-01 00:00:00,long,2,3", "wrong number of fields"),
+            ("2024-01-01,short", "wrong number of fields"),
+            ("x,1", "wrong number of fields"),
+            ("x,1,2024-01-01 00:00:00,extra,more", "wrong number of fields"),
+            ('x,"not, a time",two', "n is no int; at is no timestamp_ntz"),
+        ],
+        key=repr,
+    )
     (tmp_path / "none").mkdir()
     write_lines(tmp_path / "none", "empty.csv")
     (tmp_path / "none" / "empty.csv").write_text("")
