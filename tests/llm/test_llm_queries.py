@@ -116,3 +116,19 @@ def test_mix_targets(spark, con):
         assert abs(r.target - float(want[source])) < 1e-6 * max(1.0, r.target)
         taken[source] += r.taken
     assert all(abs(taken[s] - want[s]) <= 1 for s in sizes)
+
+
+def test_items_without_id_are_hit(spark, tmp_path):
+    """Query and SQL agree on a benchmark item without id: its words are hit, no list has it."""
+    docs = [(1, "one two three"), (2, "nothing"), (3, None), (4, "six seven one two")]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    items = [(None, "one two"), (7, "six seven"), (8, None)]
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
+    result = con.execute(registered.oracle_sql()["op3_decontaminate"])
+    columns = [d[0] for d in result.description]
+    got = sorted(tuple(r[c] for c in columns) for r in registered.queries()["op3_decontaminate"](spark, str(tmp_path)).collect())
+    assert got == sorted(result.fetchall())
+    assert [(r[columns.index("n_hit")], r[columns.index("n_items")]) for r in got] == [(2, 0), (0, 0), (0, 0), (4, 1)]
