@@ -195,17 +195,21 @@ def incremental_extract(spark, sf_dir):
 
 @query(
     "lineage_snapshot",
-    """SELECT 'manual' AS run_id, t AS table_name, 'EXTERNAL' AS table_type, n AS total_rows,
+    """SELECT 'manual' AS run_id, 'sample_gold' AS table_schema, t AS table_name, 'EXTERNAL' AS table_type, n AS total_rows,
              true AS ended_after_start
-      FROM (SELECT 'orders_totals' AS t, CAST(count(DISTINCT o_orderpriority) AS BIGINT) AS n FROM orders
-            UNION ALL SELECT 'events_totals', CAST(count(DISTINCT event_type) AS BIGINT) FROM events)""",
+      FROM (SELECT 'orders_totals' AS t, count(*) AS n FROM (SELECT DISTINCT o_orderpriority FROM orders)
+            UNION ALL SELECT 'events_totals', count(*) FROM (SELECT DISTINCT event_type FROM events))""",
 )
 def lineage_snapshot(spark, sf_dir):
-    """Save the sample's order and event totals as catalog tables, snapshot the catalog, and count the listed tables."""
-    schema = f"sample_{uuid.uuid4().hex[:10]}"
+    """Save the sample's order and event totals as catalog tables, snapshot the catalog, and count the listed tables.
+
+    The schema carries a tag of the run, so that no schema of a user or of another run is dropped; its name is told without it.
+    """
+    tag = f"_{uuid.uuid4().hex[:10]}"
+    schema = f"sample_gold{tag}"
     spark.sql(f"CREATE SCHEMA {schema} LOCATION '{stage_path(spark, schema)}'")
     for name, key in (("orders", "o_orderpriority"), ("events", "event_type")):
-        totals = mapping.table(spark, sf_dir, name).where(F.col(key).isNotNull()).groupBy(key).count()
+        totals = mapping.table(spark, sf_dir, name).groupBy(key).count()
         path = stage_path(spark, name)
         totals.write.mode("overwrite").option("path", path).saveAsTable(f"{schema}.{name}_totals")
     found = stage(audit.lineage_snapshot(spark, (schema,), "manual", datetime(2024, 1, 31, 6, 0, 0)), "lineage")
@@ -215,7 +219,8 @@ def lineage_snapshot(spark, sf_dir):
         for n in names
     ]
     spark.sql(f"DROP SCHEMA {schema} CASCADE")
+    untagged = F.replace("table_schema", F.lit(tag)).alias("table_schema")
     ended = (F.col("pipeline_end_ts") >= F.col("pipeline_start_ts")).alias("ended_after_start")
     return found.join(reduce(DataFrame.unionByName, counts), "table_name").select(
-        "run_id", "table_name", "table_type", "total_rows", ended
+        "run_id", untagged, "table_name", "table_type", "total_rows", ended
     )

@@ -50,3 +50,23 @@ def test_entry(spark):
 
 def test_every_oracle_has_its_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_lineage_snapshot_tells_schema_and_all_totals(spark, tmp_path):
+    """Rows without priority or type are a group of the totals; a schema that a user has under the plain name stays."""
+    spark.createDataFrame([("1-URGENT",), ("1-URGENT",), (None,)], "o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([("click",), ("error",), (None,)], "event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    local = duckdb.connect()
+    for table in ("orders", "events"):
+        local.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
+    result = local.execute(contract.oracle_sql()["lineage_snapshot"])
+    columns = [d[0] for d in result.description]
+    spark.sql("CREATE SCHEMA sample_gold")
+    try:
+        df = contract.queries()["lineage_snapshot"](spark, str(tmp_path))
+        got = {r.table_name: (r.table_schema, r.total_rows) for r in df.collect()}
+        assert spark.catalog.databaseExists("sample_gold")
+    finally:
+        spark.sql("DROP SCHEMA sample_gold")
+    assert got == {"orders_totals": ("sample_gold", 2), "events_totals": ("sample_gold", 3)}
+    assert ordered(df.columns, [tuple(r) for r in df.collect()]) == ordered(columns, result.fetchall())
