@@ -2,7 +2,8 @@
 
 A keyed side is broadcast only after its rows were counted and their bytes, by the width of its columns, found few.  Beyond that
 bound both sides are shuffled on the key plus a salt: the fact side takes its salt from the partition a row sits in, which stays the same when a task is
-retried and spreads even exact copies of one row; the keyed side is repeated once per salt.
+retried and spreads even exact copies of one row; the keyed side is repeated once per salt.  That join is asked to merge: Spark
+takes the size of the stored files for that of the repeated side, and would send it to the driver for a broadcast of its own.
 """
 
 from __future__ import annotations
@@ -57,5 +58,5 @@ def lookup_join(
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     for side, is_small in zip(sides, small):
         if not is_small:
-            facts = facts.join(side.withColumn(_SALT, every_salt), [*keys, _SALT], how)
+            facts = facts.join(side.withColumn(_SALT, every_salt).hint("merge"), [*keys, _SALT], how)
     return facts.drop(_SALT)

@@ -12,13 +12,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.operators.lookups import BROADCAST_BYTES, at_most, row_bytes
+
 
 def changes_of(held: DataFrame, delivered: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(gone, come): rows of ``held`` that ``delivered`` replaces, and all delivered rows.
 
     Both hold one row per key and the same columns; rows that come as they are stand on both sides and cancel out.
+    The delivered keys are broadcast only if they were counted and found few.
     """
-    gone = held.join(delivered.select(*keys), keys, "left_semi")
+    replaced = delivered.select(*keys)
+    few = at_most(delivered, BROADCAST_BYTES // row_bytes(replaced))
+    gone = held.join(F.broadcast(replaced) if few else replaced.hint("merge"), keys, "left_semi")
     return gone.select(*held.columns), delivered.select(*held.columns)
 
 

@@ -227,7 +227,7 @@ def peer_moments(spark, sf_dir):
     pending = F.col("o_orderstatus") == "P"
     held = stage(totals(orders.where(~pending)), "held")
     touched = orders.where(pending).select("billing_period", "o_custkey").distinct()
-    delivered = stage(totals(orders.join(touched, ["billing_period", "o_custkey"], "left_semi")), "delivered")
+    delivered = stage(totals(orders.join(touched.hint("merge"), ["billing_period", "o_custkey"], "left_semi")), "delivered")
     gone, come = states.changes_of(held, delivered, ["billing_period", "o_custkey"])
     state = stage(states.moments(held, group, "kwh"), "moments")
     state = states.apply_moments(state, gone, come, group, "kwh")

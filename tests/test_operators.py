@@ -122,6 +122,16 @@ def test_salted_lookup_spreads_exact_copies(spark):
     assert sum(r[1] for r in held) == 4000 and max(r[1] for r in held) < 4000
 
 
+def test_salted_lookup_is_never_broadcast(spark, tmp_path):
+    """A keyed side counted as too large is not broadcast on the size of its stored file."""
+    spark.range(2000).select(F.col("id").alias("k"), F.lit("x").alias("v")).write.parquet(f"{tmp_path}/keyed")
+    facts = spark.range(3000).withColumnRenamed("id", "k")
+    joined = lookups.lookup_join(facts, spark.read.parquet(f"{tmp_path}/keyed"), "k", broadcast_bytes=1000)
+    assert joined.where("v IS NOT NULL").count() == 2000
+    plan = joined._jdf.queryExecution()
+    assert "Broadcast" not in plan.executedPlan().toString() and "SortMergeJoin" in plan.executedPlan().toString()
+
+
 def test_lookup_join_with_two_sides(spark):
     facts = spark.createDataFrame([(1, "f1"), (2, "f2"), (None, "f3")], "k int, f string")
     a = spark.createDataFrame([(1, "a1")], "k int, a string")

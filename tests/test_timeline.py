@@ -121,6 +121,16 @@ def test_moments_follow_deliveries(spark):
             assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], abs=1e-7)
 
 
+def test_many_delivered_keys_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Keys counted as too many are not broadcast on the size of their stored file."""
+    spark.range(2000).select(F.col("id").cast("int").alias("id"), F.lit("a").alias("g"), F.lit(1.0).alias("v")).write.parquet(f"{tmp_path}/held")
+    held = spark.read.parquet(f"{tmp_path}/held")
+    monkeypatch.setattr(states, "BROADCAST_BYTES", 1000, raising=False)
+    gone, come = states.changes_of(held, held.where("id % 2 = 0"), ["id"])
+    assert "Broadcast" not in gone._jdf.queryExecution().executedPlan().toString()
+    assert gone.count() == come.count() == 1000
+
+
 def test_sketches_unite(spark):
     df = spark.range(20_000).select(F.expr("id % 30").alias("day"), F.expr("id % 7000").alias("member"))
     daily = states.distinct_sketches(df, ["day"], ["member"])
